@@ -19,12 +19,15 @@ from pyspark.sql import functions as F
 
 from millrace.functions import timestamps as ts
 from millrace.plans import once
+from millrace.session import small_enough
 
 #: Costs: of a change of order from one slash date to the next, of a step back in time (by days, up to BACK_MOST), of contradicting what the source declares.
 SWITCH, BACK_DAY, BACK_MOST = 8.0, 0.02, 4.0
 DECLARED = 2 * (SWITCH + BACK_MOST) + 1
 #: Records of a chain block: chains are cut at multiples of it, so that no source is one task.
 BLOCK = 1 << 16
+#: Rows of sites (about 100 bytes each) that may be broadcast.
+SITES_MOST = 100_000
 
 
 def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str = "domain", zone_utc: str | None = None, only_undeclared: bool | None = None) -> DataFrame:
@@ -42,6 +45,8 @@ def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str
     table = [(z, ts.zone_abbreviations(z)) for z in zones]
     abbr = spark.createDataFrame(table or [("UTC", {"utc": 0})], "_zone string, _abbr map<string,int>")
     known = known.join(F.broadcast(abbr), F.col("time_zone") == F.col("_zone"), "left").drop("_zone")
+    # a row per domain: joined by broadcast if it is as small as it should be, since rows per domain are skewed
+    known = F.broadcast(known) if small_enough(sites, SITES_MOST) else known
     out = df.join(known, F.col(domain) == F.col("_domain"), "left").drop("_domain")
     if only_undeclared is not None:
         undeclared = ~F.coalesce(F.col("date_order").isin("dmy", "mdy"), F.lit(False))
