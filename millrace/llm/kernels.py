@@ -64,6 +64,12 @@ def chunks(texts: list[str]):
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word, text it is in) of lower-cased ``texts``; words are runs of letters and digits."""
+    h, doc, _, _ = words_and_ends(texts)
+    return h, doc
+
+
+def words_and_ends(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``words``, with the bytes of each word and the number of sentence ends of each text."""
     raw = [t.lower().encode("utf-8", "replace") for t in texts]
     buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     begin = np.cumsum([0, *(len(r) + 1 for r in raw)])
@@ -71,7 +77,9 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     edge = np.flatnonzero(is_word[1:] != is_word[:-1])
     start, end = edge[::2], edge[1::2]
     run = running(buf)
-    return stretch(run, start, end), np.searchsorted(begin, start, side="right") - 1
+    stop = np.flatnonzero(((buf[:-1] == 46) | (buf[:-1] == 33) | (buf[:-1] == 63)) & ((buf[1:] == 32) | (buf[1:] == 10)))
+    stops = np.bincount(np.searchsorted(begin, stop, side="right") - 1, minlength=len(texts))
+    return stretch(run, start, end), np.searchsorted(begin, start, side="right") - 1, end - start, stops
 
 
 def shingles(h: np.ndarray, doc: np.ndarray, n_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:

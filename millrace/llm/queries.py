@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import mainbody, quality, repeated, residue
+from millrace.llm import leakage, mainbody, packing, quality, reading, repeated, residue
 from millrace.llm.lines import headlines_of
 from millrace.sources.tables import table
 
@@ -46,6 +46,30 @@ def _p5_statistics(s: SparkSession, d: str) -> DataFrame:
     return quality.text_statistics(articles, headlines_of(articles))
 
 
+def _p8_containers(s: SparkSession, d: str) -> DataFrame:
+    return packing.pack(packing.token_counts(table(s, d, "documents")), table(s, d, "pack_targets"))
+
+
+def _p8_fill(s: SparkSession, d: str) -> DataFrame:
+    return packing.fill(_p8_containers(s, d), table(s, d, "pack_targets"))
+
+
+def _p9_found(s: SparkSession, d: str) -> DataFrame:
+    return leakage.found(table(s, d, "documents"), table(s, d, "eval_items"))
+
+
+def _p9_passages(s: SparkSession, d: str) -> DataFrame:
+    return leakage.passages(table(s, d, "documents"), table(s, d, "eval_items"))
+
+
+def _p10_found(s: SparkSession, d: str) -> DataFrame:
+    return reading.found(table(s, d, "documents"), table(s, d, "reading_labels"))
+
+
+def _p10_levels(s: SparkSession, d: str) -> DataFrame:
+    return reading.levels(table(s, d, "documents"), table(s, d, "reading_labels"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "p1_found": _p1_found,
@@ -55,6 +79,12 @@ def queries() -> dict[str, Query]:
         "p4_main_bodies": _p4_main_bodies,
         "p5_found": _p5_found,
         "p5_statistics": _p5_statistics,
+        "p8_containers": _p8_containers,
+        "p8_fill": _p8_fill,
+        "p9_found": _p9_found,
+        "p9_passages": _p9_passages,
+        "p10_found": _p10_found,
+        "p10_levels": _p10_levels,
     }
 
 
