@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.operators import asof, history, moments
+from millrace.functions import articles as A
+from millrace.functions import calendar, matching, urls
+from millrace.operators import asof, audit, crawls, history, membership, moments, preselect, queue, series
 from millrace.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +42,226 @@ def _p7_undeclared(s: SparkSession, d: str) -> DataFrame:
     return moments.resolve(fields, sites, source=["field_name", "domain"], zone_utc="as_utc").select("field_name", "row_key", moments.ts.format_us(F.col("us")).alias("utc")).distinct()
 
 
+def url_normalize(s: SparkSession, d: str) -> DataFrame:
+    u = F.col("url")
+    return table(s, d, "discovered_urls").select("id", urls.normalize(u).alias("normal"), urls.host(u).alias("host"), urls.is_http(u).alias("valid"), urls.year(u).alias("year"))
+
+
+def url_first(s: SparkSession, d: str) -> DataFrame:
+    """The first row of each canonical URL and ticker."""
+    rows = table(s, d, "discovered_urls").select(urls.normalize(F.col("url")).alias("url"), "ticker", "id", "source", "status")
+    return queue.first_per_key(rows, ["url", "ticker"], ["id"])
+
+
+def sitemap_duplicates(s: SparkSession, d: str) -> DataFrame:
+    return crawls.duplicates(table(s, d, "sitemap_entries"))
+
+
+def queue_stats(s: SparkSession, d: str) -> DataFrame:
+    return queue.stats(table(s, d, "discovered_urls"))
+
+
+def queue_page(s: SparkSession, d: str) -> DataFrame:
+    """The second page of accepted pairs of a part of a name, newest id first."""
+    return queue.page(table(s, d, "discovered_urls"), match_class="accept", company_part="HOLDINGS", order_by="id", descending=True, limit=50, offset=50)[0].select("id", "url", "ticker", "company", "status")
+
+
+def queue_page_total(s: SparkSession, d: str) -> DataFrame:
+    return queue.page(table(s, d, "discovered_urls"), match_class="accept", company_part="HOLDINGS")[1]
+
+
+def queue_merge(s: SparkSession, d: str) -> DataFrame:
+    """The queue after its rediscoveries: first rows of each pair as stored, all later rows as one batch."""
+    rows = table(s, d, "discovered_urls")
+    first = queue.first_per_key(rows, ["url", "ticker"], ["id"])
+    later = rows.join(first.select("id"), "id", "left_anti").withColumn("ordinal", F.col("id"))
+    return queue.merge(first, later).select("id", "url", "ticker", "status", "match_class", "match_reason", "query")
+
+
+def table_fingerprint(s: SparkSession, d: str) -> DataFrame:
+    return queue.fingerprint(table(s, d, "discovered_urls"), table(s, d, "articles"))
+
+
+def unfinished_pairs(s: SparkSession, d: str) -> DataFrame:
+    """Pairs of company and site that no queue row has yet."""
+    q = table(s, d, "discovered_urls")
+    return queue.unfinished(q, table(s, d, "sites"), q)
+
+
+def _titled(s: SparkSession, d: str) -> DataFrame:
+    """Pairs with the queue's title or, where it has none, the article's."""
+    articles = table(s, d, "articles").select("id", F.col("title").alias("_t"))
+    rows = table(s, d, "discovered_urls").join(articles, "id", "left")
+    return rows.withColumn("title", F.coalesce(F.nullif("title", F.lit("")), F.col("_t"), F.lit(""))).drop("_t")
+
+
+def _classified(s: SparkSession, d: str) -> DataFrame:
+    rows = matching.company_columns(matching.text_columns(_titled(s, d).withColumnsRenamed({"match_class": "stored_class", "match_reason": "stored_reason"})))
+    return matching.classified(rows)
+
+
+def match_classify(s: SparkSession, d: str) -> DataFrame:
+    return _classified(s, d).select("id", "match_class", "match_reason")
+
+
+def class_transitions(s: SparkSession, d: str) -> DataFrame:
+    return _classified(s, d).groupBy("stored_class", "match_class").agg(F.count("*").alias("n"))
+
+
+def _entries(s: SparkSession, d: str) -> DataFrame:
+    e = table(s, d, "sitemap_entries").select(urls.normalize(F.col("url")).alias("url"), "title")
+    return e.groupBy("url").agg(F.max("title").alias("title")).withColumn("entry_id", F.col("url"))
+
+
+def _companies(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "universe_membership").groupBy(F.col("symbol").alias("ticker")).agg(F.max("security").alias("company"))
+
+
+def match_preselect(s: SparkSession, d: str) -> DataFrame:
+    """Sitemap entries against all tracked companies, by rare tokens."""
+    return preselect.matches(_entries(s, d), _companies(s, d)).select(F.col("entry_id").alias("url"), "ticker", "match_class", "match_reason")
+
+
+def match_counts(s: SparkSession, d: str) -> DataFrame:
+    return match_preselect(s, d).groupBy("ticker").agg(F.count("*").alias("pairs"), F.count_if(F.col("match_class") == "accept").alias("accepted"))
+
+
+def mode_audit(s: SparkSession, d: str) -> DataFrame:
+    return audit.mode_audit(table(s, d, "discovered_urls"))
+
+
+def quality_audit(s: SparkSession, d: str) -> DataFrame:
+    return audit.quality_audit(table(s, d, "articles"))
+
+
+def wall_by_status(s: SparkSession, d: str) -> DataFrame:
+    a = table(s, d, "articles").select("fetch_status", A.wall_kind(F.coalesce("body_text", F.lit(""))).alias("wall"))
+    return a.groupBy("fetch_status").agg(F.count("*").alias("rows"), F.count_if(F.col("wall") == "failed").alias("failed"), F.count_if(F.col("wall") == "paywalled").alias("paywalled"))
+
+
+def article_words(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "articles").filter("body_text IS NOT NULL").select("id", A.word_count(F.col("body_text")).alias("words"), (A.word_count(F.col("body_text")) < A.THIN).alias("thin"))
+
+
+def latest_crawls(s: SparkSession, d: str) -> DataFrame:
+    return crawls.latest_complete(table(s, d, "sitemap_crawls"))
+
+
+def crawl_gaps(s: SparkSession, d: str) -> DataFrame:
+    return crawls.gaps(table(s, d, "sitemap_crawls"))
+
+
+def current_entries(s: SparkSession, d: str) -> DataFrame:
+    return crawls.current_entries(table(s, d, "sitemap_entries"), table(s, d, "sitemap_crawls")).select("domain", "url", "lastmod", "last_seen")
+
+
+def entry_upsert(s: SparkSession, d: str) -> DataFrame:
+    """Entries of both halves of the sightings, merged without setting any sighting back."""
+    e = table(s, d, "sitemap_entries")
+    half = F.pmod(F.length("url"), F.lit(2)) == 0
+    return crawls.upsert(e.filter(half), e.filter(~half).unionByName(e.filter(half)))
+
+
+def membership_as_of(s: SparkSession, d: str) -> DataFrame:
+    return membership.as_of(table(s, d, "universe_membership"), "2023-06-30")
+
+
+def members_by_day(s: SparkSession, d: str) -> DataFrame:
+    days = table(s, d, "roster_snapshots").select(F.col("snapshot_date").alias("day")).distinct()
+    return membership.members_on(table(s, d, "universe_membership"), days)
+
+
+def closed_targets(s: SparkSession, d: str) -> DataFrame:
+    return membership.closed_targets(table(s, d, "universe_membership"), "2022-01-01")
+
+
+def snapshot_changes(s: SparkSession, d: str) -> DataFrame:
+    return membership.snapshot_changes(table(s, d, "roster_snapshots"))
+
+
+def resolve_names(s: SparkSession, d: str) -> DataFrame:
+    """Every third word of company names, looked up as a symbol or part of a name."""
+    u = table(s, d, "universe_membership")
+    asked = u.select(F.split_part("security", F.lit(" "), F.lit(1)).alias("query")).unionByName(u.select(F.lower("symbol").alias("query")))
+    return membership.resolve(u.select("symbol", "security").distinct(), asked)
+
+
+def strata_sample(s: SparkSession, d: str) -> DataFrame:
+    rows = table(s, d, "discovered_urls").withColumn("stratum", F.concat_ws("/", "domain", "source"))
+    return audit.sample(rows.select("id", "stratum"), "stratum", 8, 54)
+
+
+def strata_rates(s: SparkSession, d: str) -> DataFrame:
+    """Rate of stored rejects that the rule would take, per domain, weighted by source."""
+    rows = _classified(s, d).withColumn("stratum", F.concat_ws("/", "domain", "source"))
+    sized = rows.select("domain", "stratum", (F.col("match_class") != F.col("stored_class")).alias("wrong"), F.count("*").over(Window.partitionBy("stratum")).alias("stratum_size"))
+    return audit.stratified_rate(sized, "domain")
+
+
+def class_confusion(s: SparkSession, d: str) -> DataFrame:
+    return audit.confusion(_classified(s, d), F.col("match_class") == "accept", F.col("stored_class") == "accept", "source")
+
+
+def wilson_by_source(s: SparkSession, d: str) -> DataFrame:
+    g = table(s, d, "discovered_urls").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "failed").alias("k"))
+    low, high = audit.wilson(F.col("k").cast("double"), F.col("n").cast("double"))
+    return g.select("source", "n", "k", F.round(low, 6).alias("low"), F.round(high, 6).alias("high"))
+
+
+def top_tickers(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "discovered_urls").groupBy("ticker").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "ticker").limit(20)
+
+
+def trading_sessions(s: SparkSession, d: str) -> DataFrame:
+    return calendar.sessions(s, "2021-01-01", "2025-12-31")
+
+
+def quiet_sessions(s: SparkSession, d: str) -> DataFrame:
+    """Sessions on which no article was fetched."""
+    days = table(s, d, "articles").select(F.to_date("fetched_at").alias("day")).distinct()
+    return calendar.sessions(s, "2024-01-01", "2025-12-31").join(days, "day", "left_anti").select("day")
+
+
+def date_windows(s: SparkSession, d: str) -> DataFrame:
+    w = calendar.windows(s, "2024-01-01", "2025-12-31", 7)
+    a = table(s, d, "articles").select(F.to_date("fetched_at").alias("day"))
+    return a.join(F.broadcast(w), F.col("day").between(F.col("first"), F.col("last"))).groupBy("first", "last").agg(F.count("*").alias("n"))
+
+
+def _events(s: SparkSession, d: str) -> DataFrame:
+    return table(s, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def busiest_hour(s: SparkSession, d: str) -> DataFrame:
+    return series.busiest(_events(s, d), "event_type", "ts", 3_600_000_000)
+
+
+def user_sessions(s: SparkSession, d: str) -> DataFrame:
+    return series.sessionize(_events(s, d), "user_id", "ts", 1800)
+
+
+def daily_change(s: SparkSession, d: str) -> DataFrame:
+    """Change of each event type's daily total against the day before it."""
+    g = _events(s, d).groupBy("event_type", F.to_date("ts").alias("day")).agg(F.sum(F.when(~F.isnan("value"), F.col("value"))).alias("total"))
+    return g.select("event_type", "day", F.round(series.change_ratio(F.col("total"), "event_type", "day"), 6).alias("change"))
+
+
+def name_mentions(s: SparkSession, d: str) -> DataFrame:
+    """How often an article's body has its company's full name."""
+    a = table(s, d, "articles").filter("body_text IS NOT NULL AND company IS NOT NULL").select("id", matching.full_name(F.col("company")).alias("n"), matching.flat(F.col("body_text")).alias("b"))
+    return a.filter("n <> ''").select("id", (F.size(F.split("b", F.concat(F.lit("\\Q "), F.col("n"), F.lit(" \\E")), -1)) - 1).alias("mentions"))
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Dates as text and timestamps as microseconds: values that any two engines write alike."""
+    kinds = {"date": lambda c: F.col(c).cast("string"), "timestamp": lambda c: F.unix_micros(c)}
+    return df.select(*[kinds[t](c).alias(c) if t in kinds else F.col(c) for c, t in df.dtypes])
+
+
+def _named(*fs: Query) -> dict[str, Query]:
+    return {f.__name__: (lambda s, d, f=f: _plain(f(s, d))) for f in fs}
+
+
 def queries() -> dict[str, Query]:
     return {
         "p2_found": _p2_found,
@@ -48,4 +270,9 @@ def queries() -> dict[str, Query]:
         "p6_versions": _p6_versions,
         "p7_found": _p7_found,
         "p7_undeclared": _p7_undeclared,
-    }
+    } | _named(
+        url_normalize, url_first, sitemap_duplicates, queue_stats, queue_page, queue_page_total, queue_merge, table_fingerprint, unfinished_pairs,
+        match_classify, class_transitions, match_preselect, match_counts, mode_audit, quality_audit, wall_by_status, article_words,
+        latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
+        strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
+    )
