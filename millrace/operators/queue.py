@@ -54,6 +54,16 @@ def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFra
     return picked.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in (*order, *rest)]).select(*rows.columns)
 
 
+def numbered_rows(rows: DataFrame, at: str, ties: list[str], block: int = 1 << 16) -> DataFrame:
+    """``rows`` with ``n``, their number from 1 in order of the long ``at``: counted by block, so that no task sorts them all."""
+    blocked = rows.withColumn("_block", F.floor(F.col(at) / block).cast("long"))
+    sizes = blocked.groupBy("_block").agg(F.count("*").alias("_n"))
+    # a row per block of ``block`` values
+    before = sizes.select("_block", F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("_block").orderBy(at, *ties))
+    return blocked.join(before, "_block").withColumn("n", own + F.col("_before")).drop("_block", "_before")
+
+
 def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """``stored`` after a batch of rediscoveries: new pairs appended, known pairs promoted, none demoted.
 
@@ -83,8 +93,7 @@ def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
     kept = known.select(*[updates[c].alias(c) if c in updates else F.col(c) for c in stored.columns])
     new = best.join(stored.select(*keys).distinct(), keys, "left_anti")
     top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
-    # ids in order of first appearance; the new pairs of a batch are few beside the table
-    numbered = new.withColumn("n", F.row_number().over(Window.orderBy("b_first.ordinal", *keys))).join(F.broadcast(top))
+    numbered = numbered_rows(new.withColumn("_at", F.col("b_first.ordinal").cast("long")), "_at", keys).join(F.broadcast(top))
     cls = F.col("b.match_class")
     values = {
         "id": (F.col("top") + F.col("n")).cast("long"), "url": F.col("url"), "ticker": F.col("ticker"), "match_class": cls,
