@@ -111,10 +111,6 @@ def _grid(s: str, text: str, words: int, function: bool) -> bool:
         return True  # mostly symbols
     if n > 40 and max(map(len, s.split())) >= 40 and "://" not in s:
         return True
-    if not s.isascii():
-        odd = sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«»°€£©")
-        if odd > 0.08 * n:
-            return True  # wrongly decoded
     if function:
         return False
     if digits >= 0.3 * n and n >= 3:
@@ -137,6 +133,8 @@ def read_line(line: str, site: str, headlines: Headlines) -> Line:
         return Line(PROSE, text, n, chars, True, 0, True)  # far too long for furniture, far too wordy for a grid
     function = not FUNCTION.isdisjoint(words)
     stop = text[-1:] in '.!?"…:' and not text.endswith("...")
+    if not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«»°€£©") > 0.08 * len(s):
+        return Line(GRID, text, n, chars, stop, 1, function)  # wrongly decoded
     if n <= 32:
         bare = text.rstrip(".!")
         if site and site in text.replace(" ", "") or _START.match(bare) or _INSIDE.search(bare) or n <= 10 and _BYLINE.match(bare):

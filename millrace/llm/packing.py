@@ -21,7 +21,7 @@ TOKENIZER = os.environ.get("MILLRACE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.t
 #: fixed value: how the byte-level vocabulary splits text before merging
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Steps of length in which patterns are fitted, sweeps of the fit, rows of one length that one task ranks.
-UNITS, SWEEPS, RANK_ROWS = 96, 60, 1_000_000
+UNITS, SWEEPS, RANK_ROWS = 512, 8, 1_000_000
 
 _encodings: dict[str, object] = {}
 
@@ -67,28 +67,40 @@ def _patterns(units: int) -> list[tuple[int, ...]]:
 
 
 def fit_repeats(counts: np.ndarray, patterns: list[tuple[int, ...]], sweeps: int = SWEEPS) -> np.ndarray:
-    """Non-negative least squares: repeats x of ``patterns`` with A x near ``counts`` (index: length in units), by coordinate descent."""
-    a = np.zeros((len(counts), len(patterns)))
-    for k, p in enumerate(patterns):
-        for u in p:
-            a[u, k] += 1
-    gram, x = a.T @ a, np.zeros(len(patterns))
-    slope = -(a.T @ counts)
+    """Non-negative least squares: repeats x of ``patterns`` with A x near ``counts`` (index: length in units).
+
+    Coordinate descent on the residual; a column of A has at most three entries, so a step costs three look-ups.
+    """
+    left = counts.astype(float).tolist()
+    x = [0.0] * len(patterns)
+    columns = [tuple((u, p.count(u)) for u in sorted(set(p))) for p in patterns]
     for _ in range(sweeps):
         moved = 0.0
-        for k in range(len(patterns)):
-            new = max(0.0, x[k] - slope[k] / gram[k, k])
-            if (step := new - x[k]) != 0.0:
-                slope += gram[:, k] * step
-                x[k] = new
+        for k, column in enumerate(columns):
+            slope = sum(left[u] * m for u, m in column)
+            new = x[k] + slope / sum(m * m for _, m in column)
+            step = (new if new > 0 else 0.0) - x[k]
+            if step:
+                x[k] += step
+                for u, m in column:
+                    left[u] -= m * step
                 moved = max(moved, abs(step))
         if moved < 0.5:
             break
-    return x
+    return np.array(x)
 
 
 def plan(histogram: dict[int, int], capacity: int) -> list[Group]:
-    """Containers for all lengths 1..capacity of ``histogram``: groups of equal ones, which use every item once."""
+    """Containers for all lengths 1..capacity of ``histogram``: groups of equal ones, which use every item once.
+
+    Fitted patterns can leave a worse rest than they gain, so the rest alone is packed as well and the
+    plan with fewer containers is taken (the fitted one of two as good).
+    """
+    fitted, rest = _plan(histogram, capacity, True), _plan(histogram, capacity, False)
+    return fitted if sum(g.repeats for g in fitted) <= sum(g.repeats for g in rest) else rest
+
+
+def _plan(histogram: dict[int, int], capacity: int, fit: bool) -> list[Group]:
     left = {n: c for n, c in histogram.items() if c > 0 and 0 < n <= capacity}
     groups: list[Group] = []
     for n in [n for n in left if n == capacity]:
@@ -103,7 +115,7 @@ def plan(histogram: dict[int, int], capacity: int) -> list[Group]:
     for u, ns in by_unit.items():
         if u <= top:
             counts[u] = sum(left[n] for n in ns)
-    patterns = [p for p in _patterns(top) if all(counts[u] for u in p)] if top >= 3 else []
+    patterns = [p for p in _patterns(top) if all(counts[u] for u in p)] if fit and top >= 3 else []
     if patterns:
         for p, repeats in zip(patterns, np.floor(fit_repeats(counts, patterns) + 1e-9).astype(int)):
             while repeats > 0:
