@@ -98,7 +98,8 @@ def test_pack(spark, monkeypatch):
             assert [int(whole[i]) for i in range(len(sizes))] == sizes
             assert (own.groupby("doc_id").size() == [max(1, -(-n // cap)) for n in sizes]).all()
             used = own[own.tokens > 0].container
-            assert used.nunique() == used.max() + 1 and used.nunique() <= 1.1 * -(-sum(sizes) // cap) + 1
+            large = (2 * own.tokens > cap).sum()  # no two of these share a container
+            assert used.nunique() == used.max() + 1 and used.nunique() <= 1.12 * max(-(-sum(sizes) // cap), large) + 1
 
 
 def test_pack_nothing(spark):
