@@ -96,3 +96,56 @@ def test_found_leaves_out_canonical(spark):
     entries = spark.createDataFrame([("ny.test", "u", "2024-01-02", None), ("ny.test", "u", "2024-01-03", None), ("ny.test", None, None, None)], "domain string, url string, lastmod string, first_seen timestamp")
     got = sorted(map(tuple, moments.found(urls, entries, sites(spark)).collect()))
     assert got == [("discovered_urls.discovered_at", "1", "2024-01-01T00:00:00.000000Z"), ("sitemap_entries.lastmod", "u", "2024-01-02T05:00:00.000000Z"), ("sitemap_entries.lastmod", "u", "2024-01-03T05:00:00.000000Z")]
+
+
+def plain_reading(value, zone, order):
+    """An independent reading of one value with the standard library."""
+    import re
+    from datetime import datetime, timedelta, timezone
+    from zoneinfo import ZoneInfo
+
+    v, z = value.strip(), ZoneInfo(zone)
+    for f in ("%Y-%m-%d", "%Y-%m-%d %H:%M:%S", "%Y-%m-%dT%H:%M", "%Y-%m-%dT%H:%M:%S.%f", "%B %d, %Y", "%d %B %Y", "%Y%m%d", "%d/%m/%Y %H:%M" if order == "dmy" else "%m/%d/%Y %H:%M"):
+        try:
+            return datetime.strptime(v, f).replace(tzinfo=z).astimezone(timezone.utc)
+        except ValueError:
+            pass
+    for f in ("%a, %d %b %Y %H:%M:%S %z", "%d %b %Y %H:%M:%S %z", "%Y-%m-%d %H:%M:%S%z"):
+        try:
+            return datetime.strptime(v.replace("GMT", "+0000"), f).astimezone(timezone.utc)
+        except ValueError:
+            pass
+    if re.fullmatch(r"\d{10}|\d{13}", v):
+        return datetime(1970, 1, 1, tzinfo=timezone.utc) + timedelta(milliseconds=int(v) * (1000 if len(v) == 10 else 1))
+    if m := re.fullmatch(r"(\w{3} \d+, \d{4} \d+:\d+ [AP]M) ([A-Z]+)", v):
+        t = datetime.strptime(m[1], "%b %d, %Y %I:%M %p")
+        if m[2] in ("UTC", "GMT"):
+            return t.replace(tzinfo=timezone.utc)
+        for month in (1, 7):
+            x = datetime(2022, month, 1, tzinfo=timezone.utc).astimezone(z)
+            if x.tzname() == m[2]:
+                return (t - x.utcoffset()).replace(tzinfo=timezone.utc)
+    try:
+        return datetime.fromisoformat(re.sub(r"(\.\d{6})\d+", r"\1", v.upper().replace(" UTC", "Z"))).astimezone(timezone.utc)
+    except ValueError:
+        return None
+
+
+def test_whole_tables_against_an_independent_reading(spark, small):
+    from millrace.sources.tables import table
+
+    urls, entries, declared = (table(spark, small, n) for n in ("discovered_urls", "sitemap_entries", "sites"))
+    got = {tuple(r) for r in moments.found(urls, entries, declared).collect()}
+    known = {r.domain: (r.time_zone, r.date_order) for r in declared.collect()}
+    import re
+
+    want = set()
+    for field, rows in (
+        ("discovered_urls.pub_date", [(str(r.id), r.pub_date, known[r.domain]) for r in urls.collect()]),
+        ("discovered_urls.discovered_at", [(str(r.id), r.discovered_at, ("UTC", known[r.domain][1])) for r in urls.collect()]),
+        ("sitemap_entries.lastmod", [(r.url, r.lastmod, known[r.domain]) for r in entries.collect()]),
+    ):
+        for key, value, (zone, order) in rows:
+            if value and not re.fullmatch(ts.CANONICAL, value) and (t := plain_reading(value, zone, order)):
+                want.add((field, key, t.strftime("%Y-%m-%dT%H:%M:%S.%fZ")))
+    assert got == want
