@@ -19,6 +19,7 @@ FUNCTION = frozenset(
 )
 #: fixed values: abbreviations of company forms, which end in a point without ending a sentence
 _FORMS = ("inc.", "co.", "corp.", "ltd.", "no.")
+_FORM_WORDS = frozenset("plc inc co corp ltd llc ag sa nv gmbh".split())
 
 _LEAD = re.compile(r"^(?:[-*•·–—>#+]+|\(?\d{1,3}[.)])\s+")
 
@@ -79,7 +80,7 @@ def learn_headlines(counts: list[tuple[str, int]], word_share: float = 0.04, sha
         for w in {x.strip("\"'()[].,:;?!") for x in t.split()}:
             if w and w.islower():
                 df[w] += c
-    model = Headlines(frozenset(w for w, c in df.items() if c >= word_share * n and c > 1))
+    model = Headlines(frozenset(w for w, c in df.items() if c >= word_share * n and c > 1 and w not in _FORM_WORDS))
     shapes: Counter = Counter()
     for t, c in counts:
         shapes[model.shape(plain(t))] += c

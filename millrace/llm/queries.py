@@ -88,6 +88,12 @@ def queries() -> dict[str, Query]:
     }
 
 
+def _grams(table: str, key: str, text: str) -> str:
+    """SQL of the runs of 13 words of each text."""
+    words = f"list_filter(regexp_split_to_array(regexp_replace(lower({text}), '[^\\p{{L}}\\p{{N}}\\s]', '', 'g'), '\\s+'), lambda x: x <> '')"
+    return f"SELECT DISTINCT {key}, array_to_string(w[k:k + 12], ' ') AS g FROM (SELECT {key}, {words} AS w FROM {table} WHERE {text} IS NOT NULL), unnest(range(1, len(w) - 11)) AS t(k)"
+
+
 #: lines of every body, numbered from 1, with their letters alone in lower case
 _LINES = """
 lines AS (
@@ -103,4 +109,5 @@ WITH {_LINES}, often AS (
   SELECT source_domain, letters FROM lines WHERE length(letters) >= 12 GROUP BY ALL HAVING count(DISTINCT id) >= 5)
 SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM lines JOIN often USING (source_domain, letters)
 """,
+        "p9_found": f"SELECT DISTINCT d.doc_id, i.item_id FROM ({_grams('documents', 'doc_id', 'text')}) d JOIN ({_grams('eval_items', 'item_id', 'item_text')}) i USING (g)",
     }
