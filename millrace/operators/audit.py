@@ -55,7 +55,7 @@ def sample(rows: DataFrame, stratum: str, per_stratum: int, seed: int, key: str
     ranked = rows.withColumn("_o", order).withColumn("_part", F.pmod(F.xxhash64(key), F.lit(64)))
     first = ranked.withColumn("_r", F.row_number().over(Window.partitionBy(stratum, "_part").orderBy("_o", key))).filter(F.col("_r") <= per_stratum)
     best = first.withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_o", key))).filter(F.col("_r") <= per_stratum)
-    return best.drop("_o", "_r", "_part").join(F.broadcast(sizes), stratum)
+    return best.drop("_o", "_r", "_part").join(sizes, stratum)
 
 
 def wilson(k: Column, n: Column) -> tuple[Column, Column]:

@@ -18,7 +18,7 @@ def latest_complete(crawls: DataFrame) -> DataFrame:
 def current_entries(entries: DataFrame, crawls: DataFrame) -> DataFrame:
     """Entries that the latest complete crawl of their domain saw."""
     last = latest_complete(crawls).select("domain", F.col("started_at").alias("_at"))
-    return entries.join(F.broadcast(last), "domain").filter(F.col("last_seen") == F.col("_at")).drop("_at")
+    return entries.join(last, "domain").filter(F.col("last_seen") == F.col("_at")).drop("_at")
 
 
 def duplicates(entries: DataFrame) -> DataFrame:

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import small_enough
+
+#: Names, or revisions of one page, that may be broadcast and searched without a key.
+SEARCHED_ROWS = 100_000
+
 
 def in_force(day: Column) -> Column:
     return (F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") >= day))
@@ -76,6 +81,8 @@ def stints_from_changes(changes: DataFrame, roster: DataFrame, earliest: str) ->
 
 def resolve(names: DataFrame, asked: DataFrame) -> DataFrame:
     """(query, symbol): a query is a symbol without regard to case, else part of a name; of several, the least symbol."""
+    if not small_enough(names, SEARCHED_ROWS):
+        raise ValueError("part of a name can be looked up among a bounded set of names only")
     q = asked.select("query", F.lower("query").alias("_q")).distinct()
     exact = q.join(names, F.col("_q") == F.lower("symbol")).select("query", F.lit(0).alias("r"), "symbol")
     part = q.join(F.broadcast(names), F.lower("security").contains(F.col("_q"))).select("query", F.lit(1).alias("r"), "symbol")
@@ -90,6 +97,8 @@ def last_revision(stints: DataFrame, revisions: DataFrame) -> DataFrame:
     """
     end = F.date_add("valid_to", 1).cast("timestamp")
     times = revisions.select("revid", "ts").distinct()
+    if not small_enough(times, SEARCHED_ROWS):
+        raise ValueError("the revisions of a page are a bounded list")
     near = stints.join(F.broadcast(times), (F.col("ts") < end) & (F.col("ts") >= F.col("valid_from").cast("timestamp")))
     hits = near.join(revisions.select("revid", "symbol", "cik", F.col("gics_sector").alias("label")), ["revid", "symbol", "cik"], "left_semi")
     best = hits.groupBy("symbol", "cik", "valid_from", "valid_to").agg(F.max(F.struct("ts", "revid")).alias("b"))

@@ -105,7 +105,7 @@ def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
 def unfinished(companies: DataFrame, domains: DataFrame, progress: DataFrame) -> DataFrame:
     """(ticker, domain) still to do: all of ``companies`` by ``domains`` (a few sites) without those in ``progress``."""
-    return companies.select("ticker").distinct().crossJoin(F.broadcast(domains.select("domain").distinct())).join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
+    return companies.select("ticker").distinct().crossJoin(domains.select("domain").distinct()).join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
 
 
 def fingerprint(queue: DataFrame, articles: DataFrame) -> DataFrame:

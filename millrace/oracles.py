@@ -129,7 +129,7 @@ def oracle_sql() -> dict[str, str]:
     named = {
         "p6_found": _VERSIONS + "SELECT DISTINCT origin, symbol, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to FROM versions",
         "p6_versions": _VERSIONS + "SELECT origin, symbol, security, gics_sector, gics_sub_industry, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to FROM versions",
-        "url_normalize": rf"SELECT id, {_NORMAL} AS normal, {_HOST} AS host, regexp_matches(lower(url), '^https?://[^/?#]+') AS valid, TRY_CAST(regexp_extract(url, '/((?:19|20)\d{{2}})/', 1) AS INTEGER) AS year FROM discovered_urls",
+        "url_normalize": rf"SELECT id, {_NORMAL} AS normal, {_HOST} AS host, regexp_matches(lower(url), '^https?://[^/?#]+') AS valid, coalesce(TRY_CAST(regexp_extract(url, '/((?:19|20)\d{{2}})/', 1) AS INTEGER), 0) AS year FROM discovered_urls",
         "url_first": f"SELECT n AS url, ticker, id, source, status FROM (SELECT {_NORMAL} AS n, ticker, id, source, status FROM discovered_urls) QUALIFY row_number() OVER (PARTITION BY n, ticker ORDER BY id) = 1",
         "sitemap_duplicates": f"SELECT {_NORMAL} AS url, count(*) AS listed, count(DISTINCT lastmod) AS lastmods, bool_or(lastmod IS NULL) AS undated FROM sitemap_entries GROUP BY 1 HAVING count(*) > 1",
         "queue_stats": "SELECT 'total' AS kind, NULL AS value, count(*) AS n FROM discovered_urls UNION ALL SELECT 'status', status, count(*) FROM discovered_urls GROUP BY status UNION ALL SELECT 'domain', domain, count(*) FROM discovered_urls GROUP BY domain UNION ALL SELECT 'match_class', match_class, count(*) FROM discovered_urls GROUP BY match_class",
@@ -203,5 +203,31 @@ SELECT user_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(
         "name_mentions": rf"""
 WITH a AS (SELECT id, trim(regexp_replace(regexp_replace(lower(replace(company, '&', ' and ')), '\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS n, ' ' || {_words("body_text")} || ' ' AS b FROM articles WHERE body_text IS NOT NULL AND company IS NOT NULL)
 SELECT id, CAST(len(string_split(b, ' ' || n || ' ')) - 1 AS INTEGER) AS mentions FROM a WHERE n <> ''""",
+        "field_formats": r"""
+WITH r AS (SELECT DISTINCT symbol, trim(cik) AS cik, coalesce(TRY_CAST(nullif(regexp_extract(date_added, '^\s*(\d{4}-\d{2}-\d{2})', 1), '') AS DATE), CAST(try_strptime(trim(date_added), '%B %d, %Y') AS DATE), CAST(try_strptime(trim(date_added), '%b %d, %Y') AS DATE)) AS added FROM roster_snapshots)
+SELECT DISTINCT symbol, CASE WHEN regexp_matches(cik, '^[0-9]+$') THEN CASE WHEN length(cik) >= 10 THEN cik ELSE lpad(cik, 10, '0') END END AS cik, CAST(added AS VARCHAR) AS added,
+  CASE WHEN n <= 1 THEN 'd' WHEN n <= 7 THEN 'w' WHEN n <= 31 THEN 'm' WHEN n <= 366 THEN 'y' END AS span FROM (SELECT *, date_diff('day', added, DATE '2025-06-30') AS n FROM r)""",
+        "search_texts": "WITH p AS (SELECT DISTINCT domain, company, ticker FROM discovered_urls) SELECT DISTINCT domain, ticker, 'site:' || domain || ' ' || company || ' ' || ticker || ' ' || y AS query FROM p, range(2021, 2026) t(y) UNION SELECT domain, ticker, 'site:' || domain || ' \"' || company || '\"' FROM p",
+        "name_presence": rf"""
+WITH c AS ({_company("SELECT * FROM discovered_urls")}), x AS (SELECT *, '-' || regexp_replace(lower(regexp_extract(url, '^[a-zA-Z]+://[^/?#]*([^?#]*)', 1)), '[^a-z0-9]+', '-', 'g') || '-' AS p, trim(regexp_replace(regexp_replace(lower(company), '\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS nn FROM c)
+SELECT match_class, count(*) AS n, count(*) FILTER (length(nn) >= 4 AND contains(' ' || regexp_replace(lower(url), '[^a-z0-9]+', ' ', 'g') || ' ' || regexp_replace(lower(coalesce(title, '')), '[^a-z0-9]+', ' ', 'g') || ' ', ' ' || nn || ' ')) AS named,
+  count(*) FILTER (len(list_filter(forms, lambda f: contains(p, '-' || replace(f, ' ', '-') || '-') OR contains(p, '-' || replace(f, ' ', '-') || 's-'))) > 0) AS slugged FROM x GROUP BY match_class""",
+        "stored_presence": rf"""
+WITH c AS (SELECT domain, max(started_at) AS last_start FROM sitemap_crawls WHERE complete GROUP BY domain), e AS (SELECT {_NORMAL} AS url, bool_or(last_seen IS NOT DISTINCT FROM last_start) AS now FROM sitemap_entries LEFT JOIN c USING (domain) GROUP BY 1),
+d AS (SELECT DISTINCT {_NORMAL} AS url FROM discovered_urls)
+SELECT coalesce(TRY_CAST(regexp_extract(d.url, '/((?:19|20)\d{{2}})/', 1) AS INTEGER), 0) AS year, CASE WHEN now THEN 'listed' WHEN e.url IS NOT NULL THEN 'left' ELSE 'never' END AS kind, count(*) AS n FROM d LEFT JOIN e ON d.url = e.url GROUP BY ALL""",
+        "label_weights": """
+WITH d AS (SELECT doc_id, coalesce(doc_type, '?') AS doc_type FROM documents), s AS (SELECT doc_type, count(*) AS size FROM d GROUP BY doc_type), r AS (SELECT doc_type, grade_level AS label FROM reading_labels JOIN d USING (doc_id)), n AS (SELECT doc_type, count(*) AS n FROM r GROUP BY doc_type)
+SELECT r.doc_type, label, count(*) AS n, round(sum(size / n.n), 6) AS weight FROM r JOIN n USING (doc_type) JOIN s USING (doc_type) GROUP BY r.doc_type, label""",
+        "stints_from_log": """
+WITH s AS (SELECT DISTINCT upper(trim(symbol)) AS symbol, snapshot_date AS d FROM roster_snapshots), n AS (SELECT d, lead(d) OVER (ORDER BY d) AS after FROM (SELECT DISTINCT d FROM s)),
+m AS (SELECT symbol, s.d, after, CASE WHEN lag(after) OVER (PARTITION BY symbol ORDER BY s.d) IS DISTINCT FROM s.d THEN 1 ELSE 0 END AS fresh FROM s JOIN n ON s.d = n.d), r AS (SELECT *, sum(fresh) OVER (PARTITION BY symbol ORDER BY d) AS run FROM m)
+SELECT symbol, CAST(min(d) AS VARCHAR) AS valid_from, CASE WHEN bool_or(after IS NULL) THEN NULL ELSE CAST(max(after) - 1 AS VARCHAR) END AS valid_to FROM r GROUP BY symbol, run""",
+        "last_revisions": """
+WITH r AS (SELECT DISTINCT gics_revision_id AS revid, CAST(replace(gics_revision_timestamp, 'Z', '') AS TIMESTAMP) AS ts, symbol, cik FROM universe_membership WHERE gics_revision_timestamp IS NOT NULL),
+s AS (SELECT DISTINCT symbol, cik, valid_from, valid_to FROM universe_membership WHERE valid_to IS NOT NULL),
+b AS (SELECT s.*, arg_max(r.revid, (r.ts, r.revid)) AS revid, max(r.ts) AS ts FROM s JOIN r ON r.symbol = s.symbol AND r.cik = s.cik AND r.ts >= s.valid_from AND r.ts < s.valid_to + INTERVAL 1 DAY GROUP BY ALL),
+d AS (SELECT b.symbol, b.cik, b.valid_from, b.valid_to, b.revid, count(t.ts) AS depth FROM b LEFT JOIN (SELECT DISTINCT revid, ts FROM r) t ON (t.ts > b.ts OR (t.ts = b.ts AND t.revid > b.revid)) AND t.ts < b.valid_to + INTERVAL 1 DAY GROUP BY ALL)
+SELECT s.symbol, s.cik, CAST(s.valid_from AS VARCHAR) AS valid_from, CAST(s.valid_to AS VARCHAR) AS valid_to, revid, coalesce(depth, -1) AS depth FROM s LEFT JOIN d ON s.symbol = d.symbol AND s.cik = d.cik AND s.valid_from = d.valid_from AND s.valid_to = d.valid_to""",
     }
     return named

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import articles as A
-from millrace.functions import calendar, matching, urls
-from millrace.operators import asof, audit, crawls, history, membership, moments, preselect, queue, series
+from millrace.functions import calendar, fields, matching, urls
+from millrace.operators import asof, audit, crawls, history, labels, membership, moments, preselect, queue, series
 from millrace.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,7 +44,7 @@ def _p7_undeclared(s: SparkSession, d: str) -> DataFrame:
 
 def url_normalize(s: SparkSession, d: str) -> DataFrame:
     u = F.col("url")
-    return table(s, d, "discovered_urls").select("id", urls.normalize(u).alias("normal"), urls.host(u).alias("host"), urls.is_http(u).alias("valid"), urls.year(u).alias("year"))
+    return table(s, d, "discovered_urls").select("id", urls.normalize(u).alias("normal"), urls.host(u).alias("host"), urls.is_http(u).alias("valid"), F.coalesce(urls.year(u), F.lit(0)).alias("year"))
 
 
 def url_first(s: SparkSession, d: str) -> DataFrame:
@@ -252,6 +252,59 @@ def name_mentions(s: SparkSession, d: str) -> DataFrame:
     return a.filter("n <> ''").select("id", (F.size(F.split("b", F.concat(F.lit("\\Q "), F.col("n"), F.lit(" \\E")), -1)) - 1).alias("mentions"))
 
 
+def field_formats(s: SparkSession, d: str) -> DataFrame:
+    """Identifiers and dates of the roster in one form."""
+    r = table(s, d, "roster_snapshots").select("symbol", "cik", "date_added").distinct()
+    return r.select("symbol", fields.cik(F.col("cik")).alias("cik"), fields.written_date(F.col("date_added")).alias("added"), fields.span_class(fields.written_date(F.col("date_added")), F.lit("2025-06-30").cast("date")).alias("span")).distinct()
+
+
+def search_texts(s: SparkSession, d: str) -> DataFrame:
+    """What to search each site for, for the tenth of companies that the queue names most."""
+    top = table(s, d, "discovered_urls").select("domain", "company", "ticker").distinct()
+    day = lambda x: F.lit(x).cast("date")
+    return top.select("domain", "ticker", F.explode(fields.search_texts(F.col("domain"), F.col("company"), F.col("ticker"), day("2021-03-01"), day("2025-11-30"))).alias("query")).distinct()
+
+
+def name_presence(s: SparkSession, d: str) -> DataFrame:
+    """Pairs whose address or title has the company's name, and whose path has it as a slug, per class."""
+    q = table(s, d, "discovered_urls")
+    c = F.col("company")
+    return q.groupBy("match_class").agg(F.count("*").alias("n"), F.count_if(fields.full_name_present(c, F.col("url"), F.col("title"))).alias("named"), F.count_if(fields.slug_present(c, F.col("url"))).alias("slugged"))
+
+
+def stored_presence(s: SparkSession, d: str) -> DataFrame:
+    """Stored URLs by year of their address: still in the latest complete crawl, seen before only, never in a sitemap."""
+    now = crawls.current_entries(table(s, d, "sitemap_entries"), table(s, d, "sitemap_crawls")).select(urls.normalize(F.col("url")).alias("url")).distinct().withColumn("now", F.lit(True))
+    ever = table(s, d, "sitemap_entries").select(urls.normalize(F.col("url")).alias("url")).distinct().withColumn("ever", F.lit(True))
+    own = table(s, d, "discovered_urls").select(urls.normalize(F.col("url")).alias("url")).distinct()
+    kind = F.when(F.col("now"), "listed").when(F.col("ever"), "left").otherwise("never")
+    return own.join(now, "url", "left").join(ever, "url", "left").groupBy(F.coalesce(urls.year(F.col("url")), F.lit(0)).alias("year"), kind.alias("kind")).agg(F.count("*").alias("n"))
+
+
+def label_weights(s: SparkSession, d: str) -> DataFrame:
+    """Grades of documents, each standing for all documents of its type."""
+    docs = table(s, d, "documents").withColumn("doc_type", F.coalesce("doc_type", F.lit("?")))
+    rows = table(s, d, "reading_labels").withColumnRenamed("grade_level", "label").join(docs.select("doc_id", "doc_type"), "doc_id")
+    g = labels.weighted(rows, docs.groupBy("doc_type").agg(F.count("*").alias("size")), ["doc_type"])
+    return g.select("doc_type", "label", "n", F.round("weight", 6).alias("weight"))
+
+
+def stints_from_log(s: SparkSession, d: str) -> DataFrame:
+    """Stints of symbols rebuilt from a log of joins and leaves and the last roster."""
+    snaps = table(s, d, "roster_snapshots")
+    log = membership.snapshot_changes(snaps).select("symbol", F.col("snapshot_date").alias("effective_date"), F.when(F.col("change") == "joined", "add").otherwise("remove").alias("kind"), F.lit(0).alias("ordinal"))
+    last = snaps.agg(F.max("snapshot_date").alias("snapshot_date"))
+    roster = snaps.join(F.broadcast(last), "snapshot_date", "left_semi").select(F.upper(F.trim("symbol")).alias("symbol"), F.lit(None).cast("date").alias("date_added")).distinct()
+    return membership.stints_from_changes(log, roster, "2023-01-31")
+
+
+def last_revisions(s: SparkSession, d: str) -> DataFrame:
+    u = table(s, d, "universe_membership")
+    revisions = u.filter("gics_revision_timestamp IS NOT NULL").select(F.col("gics_revision_id").alias("revid"), F.to_timestamp("gics_revision_timestamp").alias("ts"), "symbol", "cik", "gics_sector").distinct()
+    stints = u.filter("valid_to IS NOT NULL").select("symbol", "cik", "valid_from", "valid_to").distinct()
+    return membership.last_revision(stints, revisions).withColumn("depth", F.coalesce("depth", F.lit(-1)))
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Dates as text and timestamps as microseconds: values that any two engines write alike."""
     kinds = {"date": lambda c: F.col(c).cast("string"), "timestamp": lambda c: F.unix_micros(c)}
@@ -274,5 +327,6 @@ def queries() -> dict[str, Query]:
         url_normalize, url_first, sitemap_duplicates, queue_stats, queue_page, queue_page_total, queue_merge, table_fingerprint, unfinished_pairs,
         match_classify, class_transitions, match_preselect, match_counts, mode_audit, quality_audit, wall_by_status, article_words,
         latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
+        field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
         strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
     )

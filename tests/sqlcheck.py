@@ -18,7 +18,7 @@ def connect(sf_dir):
 
 def rows(pdf):
     def plain(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "~"
         if isinstance(v, pd.Timestamp):
             return str(v.tz_localize(None))
