@@ -3,9 +3,8 @@
 Every value gets the array of all its valid readings (day and month either way round, either pass
 of a repeated hour) with a cost for each; the chain of readings of a source, in its record order,
 is chosen by Viterbi, where a change of the day-month order and a step back in time cost extra.
-What a source declares (its date order, "first pass") costs ``DECLARED`` to contradict, more than any
-neighbours can offer, so values whose readings are that far apart are decided without
-their neighbours, and only sources with a value left open are put in order at all.
+To contradict what a source declares (its date order, "first pass") costs ``DECLARED``, more than
+any neighbours can offer.
 """
 
 from __future__ import annotations
@@ -30,14 +29,13 @@ BLOCK = 1 << 16
 SITES_MOST = 100_000
 
 
-def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str = "domain", zone_utc: str | None = None, only_undeclared: bool | None = None) -> DataFrame:
+def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str = "domain", zone_utc: str | None = None) -> DataFrame:
     """``df`` with ``cands``, an array of ``struct(us, ord, cost)``: all valid readings of ``value``.
 
     ``sites`` (domain, time_zone, date_order) is one row per domain and fixed in size; it is broadcast
     only if it is small. ``zone_utc`` names a boolean column: true where text without a zone is UTC.
     A null, blank or unreadable value gives no row; a source that ``sites`` lacks is on UTC
     and declares no date order. ``ord`` is 1 for day first, 2 for month first, 0 for neither.
-    ``only_undeclared`` keeps the rows of sources without (True) or with (False) a declared order.
     """
     spark = df.sparkSession
     known = sites.select(F.col("domain").alias("_domain"), "time_zone", F.lower("date_order").alias("date_order")).dropDuplicates(["_domain"])
@@ -48,9 +46,6 @@ def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str
     # a row per domain: joined by broadcast if it is as small as it should be, since rows per domain are skewed
     known = F.broadcast(known) if small_enough(sites, SITES_MOST) else known
     out = df.join(known, F.col(domain) == F.col("_domain"), "left").drop("_domain")
-    if only_undeclared is not None:
-        undeclared = ~F.coalesce(F.col("date_order").isin("dmy", "mdy"), F.lit(False))
-        out = out.filter(undeclared if only_undeclared else ~undeclared)
     out = once(out, _parts=F.split(ts.canon(F.col(value)), r"\|")).filter(F.col("_parts").isNotNull())
     p = ts.parts(F.col("_parts"))
     tz = F.when(F.col(zone_utc), F.lit("UTC")).otherwise(F.coalesce("time_zone", F.lit("UTC"))) if zone_utc else F.coalesce("time_zone", F.lit("UTC"))
@@ -116,31 +111,52 @@ def _viterbi(us: list, order: list, cost: list) -> list[int]:
     return chosen[::-1]
 
 
+def _choose(pdf: pd.DataFrame) -> np.ndarray:
+    """The moment of each row of whole chains, which follow one another.
+
+    A row with one reading and no order of its own is settled, and the cost between two such rows is the same for
+    every path; so only the other rows and their neighbours take part, which leaves the best path as it is.
+    """
+    us = pdf["_us0"].to_numpy().copy()
+    order, many = pdf["_ord0"].to_numpy(), pdf["_us"].notna().to_numpy()
+    chain = ((pdf["_source"] != pdf["_source"].shift()) | (pdf["_block"] != pdf["_block"].shift())).cumsum().to_numpy()
+    event = many | (order != 0)
+    near = event.copy()
+    near[1:] |= event[:-1] & (chain[1:] == chain[:-1])
+    near[:-1] |= event[1:] & (chain[1:] == chain[:-1])
+    at = np.flatnonzero(near)
+    lists = [pdf[c].to_numpy() for c in ("_us", "_ord", "_cost")]
+    for own in np.split(at, np.flatnonzero(np.diff(chain[at])) + 1) if len(at) else []:
+        if not many[own].any():
+            continue
+        cands = [[x[i].tolist() if many[i] else [one] for i, one in zip(own, ones)] for x, ones in zip(lists, (us[own].tolist(), order[own].tolist(), [0.0] * len(own)))]
+        for i, u, k in zip(own, cands[0], _viterbi(*cands)):
+            us[i] = u[k]
+    return us
+
+
 def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Viterbi over each (source, block) of a sorted partition; batches are joined only within a chain."""
     held: list[pd.DataFrame] = []
+    extra = ["_source", "_block", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
 
-    def done(pdf: pd.DataFrame) -> pd.DataFrame:
-        pick = np.zeros(len(pdf), dtype=np.int64)
-        for _, at in pdf.groupby(["_source", "_block"], sort=False).indices.items():
-            own = pdf.iloc[at]
-            pick[at] = _viterbi(own["_us"].tolist(), own["_ord"].tolist(), own["_cost"].tolist())
-        us = [u[k] for u, k in zip(pdf["_us"], pick)]
-        return pdf.drop(columns=["_source", "_block", "_us", "_ord", "_cost", "_at"]).assign(us=us)
+    def done() -> pd.DataFrame:
+        pdf = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
+        held.clear()
+        return pdf.drop(columns=extra).assign(us=_choose(pdf))
 
     for pdf in batches:
         if not len(pdf):
             continue
-        if held and (held[-1]["_source"].iloc[-1], held[-1]["_block"].iloc[-1]) != (pdf["_source"].iloc[0], pdf["_block"].iloc[0]):
-            yield done(pd.concat(held, ignore_index=True))
-            held = []
-        last = (pdf["_source"] == pdf["_source"].iloc[-1]) & (pdf["_block"] == pdf["_block"].iloc[-1])
-        if not last.all():
-            yield done(pd.concat([*held, pdf[~last]], ignore_index=True))
-            held = []
+        end = pdf["_source"].iloc[-1], pdf["_block"].iloc[-1]
+        last = ((pdf["_source"] == end[0]) & (pdf["_block"] == end[1])).to_numpy()
+        if not last.all() or held and (held[-1]["_source"].iloc[-1], held[-1]["_block"].iloc[-1]) != end:
+            if not last.all():
+                held.append(pdf[~last])
+            yield done()
         held.append(pdf[last])
     if held:
-        yield done(pd.concat(held, ignore_index=True))
+        yield done()
 
 
 def resolve(df: DataFrame, sites: DataFrame, *, value: str = "value", domain: str = "domain", source: list[str], order: str = "ord_key", zone_utc: str | None = None) -> DataFrame:
@@ -149,18 +165,15 @@ def resolve(df: DataFrame, sites: DataFrame, *, value: str = "value", domain: st
     ``source`` names the columns of a chain, ``order`` the long that numbers its records. Unreadable
     and null values give no row; repeated rows give repeated rows; an empty ``df`` gives an empty result.
     """
-    # A source that declares its order leaves no value open: a reading that costs DECLARED more than the
-    # cheapest can't win, whatever its neighbours say. The chains of all other sources are put in order.
-    cheapest = F.array_min(F.transform("cands", lambda x: F.struct(x["cost"], x["us"])))["us"]
-    decided = readings(df, sites, value, domain, zone_utc, only_undeclared=False).select(*df.columns, cheapest.alias("us"))
-    keys = F.concat_ws("\u0001", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source])
-    chain = readings(df, sites, value, domain, zone_utc, only_undeclared=True).select(
-        *df.columns, keys.alias("_source"), F.floor(F.col(order) / F.lit(BLOCK)).cast("long").alias("_block"), F.col(order).alias("_at"),
-        F.transform("cands", lambda x: x["us"]).alias("_us"), F.transform("cands", lambda x: x["ord"]).alias("_ord"), F.transform("cands", lambda x: x["cost"]).alias("_cost"),
+    keys = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source])
+    several = lambda field: F.when(F.size("cands") > 1, F.transform("cands", lambda x: x[field]))
+    chain = readings(df, sites, value, domain, zone_utc).select(
+        *df.columns, keys.alias("_source"), F.coalesce(F.floor(F.col(order) / F.lit(BLOCK)), F.lit(-1)).cast("long").alias("_block"), F.col(order).alias("_at"),
+        F.col("cands")[0]["us"].alias("_us0"), F.col("cands")[0]["ord"].alias("_ord0"), several("us").alias("_us"), several("ord").alias("_ord"), several("cost").alias("_cost"),
     )
     schema = df.select(*df.columns, F.lit(0).cast("long").alias("us")).schema
-    opened = chain.repartition("_source", "_block").sortWithinPartitions("_source", "_block", "_at").mapInPandas(_chains, schema)
-    return decided.unionByName(opened)
+    # of equal places in a chain, the text decides: the same records always make the same chain
+    return chain.repartition("_source", "_block").sortWithinPartitions("_source", "_block", "_at", value).mapInPandas(_chains, schema)
 
 
 def _field(df: DataFrame, name: str, value: str, key: Column, order: Column, utc: bool) -> DataFrame:
