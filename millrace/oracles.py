@@ -203,6 +203,10 @@ SELECT user_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(
         "name_mentions": rf"""
 WITH a AS (SELECT id, trim(regexp_replace(regexp_replace(lower(replace(company, '&', ' and ')), '\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS n, ' ' || {_words("body_text")} || ' ' AS b FROM articles WHERE body_text IS NOT NULL AND company IS NOT NULL)
 SELECT id, CAST(len(string_split(b, ' ' || n || ' ')) - 1 AS INTEGER) AS mentions FROM a WHERE n <> ''""",
+        "stream_hours": "SELECT epoch_us(date_trunc('hour', ts)) AS started, event_type, count(*) AS n FROM events GROUP BY ALL",
+        "stream_queue": """
+WITH r AS (SELECT *, CASE match_class WHEN 'reject' THEN 0 WHEN 'review' THEN 1 WHEN 'accept' THEN 2 END AS rank FROM discovered_urls)
+SELECT url, ticker, CASE WHEN max(rank) = 0 THEN 'skipped' ELSE arg_min(status, id) END AS status, arg_min(match_class, (-rank, id)) AS match_class, arg_min(query, id) FILTER (query IS NOT NULL) AS query FROM r GROUP BY url, ticker""",
         "field_formats": r"""
 WITH r AS (SELECT DISTINCT symbol, trim(cik) AS cik, coalesce(TRY_CAST(nullif(regexp_extract(date_added, '^\s*(\d{4}-\d{2}-\d{2})', 1), '') AS DATE), CAST(try_strptime(trim(date_added), '%B %d, %Y') AS DATE), CAST(try_strptime(trim(date_added), '%b %d, %Y') AS DATE)) AS added FROM roster_snapshots)
 SELECT DISTINCT symbol, CASE WHEN regexp_matches(cik, '^[0-9]+$') THEN CASE WHEN length(cik) >= 10 THEN cik ELSE lpad(cik, 10, '0') END END AS cik, CAST(added AS VARCHAR) AS added,

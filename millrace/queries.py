@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,7 +11,10 @@ from pyspark.sql import functions as F
 from millrace.functions import articles as A
 from millrace.functions import calendar, fields, matching, urls
 from millrace.operators import asof, audit, crawls, history, labels, membership, moments, preselect, queue, series
+from millrace.operators.history import ChainStore
+from millrace.session import shared_dir
 from millrace.sources.tables import table
+from millrace.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -305,6 +309,20 @@ def last_revisions(s: SparkSession, d: str) -> DataFrame:
     return membership.last_revision(stints, revisions).withColumn("depth", F.coalesce("depth", F.lit(-1)))
 
 
+def stream_hours(s: SparkSession, d: str) -> DataFrame:
+    """Events per hour and type, counted by a stream."""
+    events = ingest.file_stream(s, f"{d.rstrip('/')}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    return ingest.settle(ingest.event_counts(events, "1 hour", "1 hour"), "hours")
+
+
+def stream_queue(s: SparkSession, d: str) -> DataFrame:
+    """The queue that a stream of all its rows builds from nothing."""
+    base = f"{shared_dir(s).rstrip('/')}/millrace/queue-{uuid.uuid4().hex}"
+    store = ChainStore(s, f"{base}/store")
+    ingest.ingest(ingest.file_stream(s, f"{d.rstrip('/')}/discovered_urls.parquet"), store, f"{base}/checkpoint").awaitTermination()
+    return store.read().select("url", "ticker", "status", "match_class", "query")
+
+
 def _plain(df: DataFrame) -> DataFrame:
     """Dates as text and timestamps as microseconds: values that any two engines write alike."""
     kinds = {"date": lambda c: F.col(c).cast("string"), "timestamp": lambda c: F.unix_micros(c)}
@@ -328,5 +346,5 @@ def queries() -> dict[str, Query]:
         match_classify, class_transitions, match_preselect, match_counts, mode_audit, quality_audit, wall_by_status, article_words,
         latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
         field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
-        strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
+        stream_hours, stream_queue, strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import queue
 from millrace.operators.history import ChainStore
+from millrace.session import shared_dir
 
 
 def merge_into(store: ChainStore, empty: DataFrame) -> Callable[[DataFrame, int], None]:
@@ -23,13 +25,34 @@ def merge_into(store: ChainStore, empty: DataFrame) -> Callable[[DataFrame, int]
     return run
 
 
-def ingest(spark: SparkSession, source: str, schema, store: ChainStore, checkpoint: str) -> StreamingQuery:
-    """Reads all files that are new in ``source`` and merges them into ``store``, a generation per batch."""
-    stream = spark.readStream.schema(schema).parquet(source)
-    empty = spark.createDataFrame([], schema)
+def file_stream(spark: SparkSession, path: str) -> DataFrame:
+    """A stream of the parquet files in a folder, or of a single file."""
+    schema = spark.read.parquet(path).schema
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    reader = spark.readStream.schema(schema)
+    if at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(at).isFile():
+        return reader.option("pathGlobFilter", at.getName()).parquet(at.getParent().toString())
+    return reader.parquet(path)
+
+
+def ingest(stream: DataFrame, store: ChainStore, checkpoint: str) -> StreamingQuery:
+    """Merges all rows that are new in ``stream`` into ``store``, a generation per batch."""
+    empty = stream.sparkSession.createDataFrame([], stream.schema)
     return stream.writeStream.foreachBatch(merge_into(store, empty)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def settle(stream: DataFrame, name: str) -> DataFrame:
+    """Runs an aggregating stream over all input there is and gives its last state, written to the shared folder."""
+    spark = stream.sparkSession
+    base = f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+
+    def keep(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/state")
+
+    stream.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{base}/state")
+
+
 def event_counts(events: DataFrame, late: str = "10 minutes", size: str = "5 minutes", step: str | None = None) -> DataFrame:
     """(started, event_type, n) per window of event time; events later than ``late`` are left out of a running stream."""
     w = F.window("ts", size, step) if step else F.window("ts", size)

@@ -12,7 +12,7 @@ def test_stream_merges_files_as_they_come(spark, small, tmp_path):
     store = ChainStore(spark, f"file://{tmp_path}/store")
     for part in range(2):
         rows.filter(F.col("id") % 2 == part).coalesce(1).write.mode("append").parquet(source)
-        ingest.ingest(spark, source, rows.schema, store, f"{tmp_path}/check").awaitTermination()
+        ingest.ingest(ingest.file_stream(spark, source), store, f"{tmp_path}/check").awaitTermination()
     assert store.generation() == 2
     got = store.read()
     assert got.count() == rows.select("url", "ticker").distinct().count()
