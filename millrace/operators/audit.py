@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import articles as A
+from millrace.functions import fields
+from millrace.functions import matching as M
+from millrace.plans import once
 
 Z = 1.96
 
@@ -78,6 +81,26 @@ def stratified_rate(labelled: DataFrame, group: str, stratum: str = "stratum", s
     return g.select(group, "n", "n_wrong", F.round("rate", 6).alias("rate"), F.round(F.greatest(F.lit(0.0), F.col("rate") - half), 6).alias("low"), F.round(F.least(F.lit(1.0), F.col("rate") + half), 6).alias("high"))
 
 
+def rule_verdicts(pairs: DataFrame) -> DataFrame:
+    """(rule, predicted, actual) per pair of (url, title, body, company, ticker, actual): what simpler rules would keep.
+
+    ``all`` keeps everything; ``named`` wants the full name in address or title, or an explicit ticker in title or body;
+    ``mentioned`` also takes a body with the name twice or more; ``signalled`` also the ticker or first word in the title.
+    """
+    rows = M.company_columns(pairs)
+    title, body, c, t = F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")), F.col("company"), F.col("ticker")
+    full = M.full_name(c)
+    named = fields.full_name_present(c, F.col("url"), title) | M.explicit_ticker(t, title) | M.explicit_ticker(t, body)
+    mentions = F.size(F.split(M.flat(body), F.concat(F.lit("\\Q "), full, F.lit(" \\E")), -1)) - 1
+    mentioned = named | ((full != "") & (mentions >= 2))
+    edged = M.edges(title)
+    upper = F.coalesce(edged.contains(F.concat(F.lit(" "), F.col("m_upper"), F.lit(" "))), F.lit(False))
+    first = F.coalesce(F.lower(edged).contains(F.concat(F.lit(" "), F.lower("m_first"), F.lit(" "))), F.lit(False))
+    once_each = once(rows, named=named, mentioned=mentioned, signalled=upper | first)
+    rules = {"all": F.lit(True), "named": F.col("named"), "mentioned": F.col("mentioned"), "signalled": F.col("mentioned") | F.col("signalled")}
+    return once_each.select("actual", F.inline(F.array(*[F.struct(F.lit(k).alias("rule"), p.alias("predicted")) for k, p in rules.items()])))
+
+
 def confusion(rows: DataFrame, predicted: Column, actual: Column, group: str) -> DataFrame:
     """(group, tp, fp, fn, tn, precision, recall); 0 where there is nothing to divide by. Nulls count as no."""
     p, a = F.coalesce(predicted, F.lit(False)), F.coalesce(actual, F.lit(False))

@@ -108,6 +108,13 @@ def unfinished(companies: DataFrame, domains: DataFrame, progress: DataFrame) ->
     return companies.select("ticker").distinct().crossJoin(domains.select("domain").distinct()).join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
 
 
+def deletable(queue: DataFrame, articles: DataFrame, crawls_done: DataFrame, protected: DataFrame) -> DataFrame:
+    """Rejected, skipped sitemap pairs without an article, of domains (domain, entries) whose latest crawl found entries; never a protected id."""
+    filled = crawls_done.filter("entries > 0").select("domain").distinct()
+    rows = queue.filter("match_class = 'reject' AND status = 'skipped' AND source = 'sitemap'")
+    return rows.join(filled, "domain", "left_semi").join(articles.select("id"), "id", "left_anti").join(protected.select("id"), "id", "left_anti")
+
+
 def fingerprint(queue: DataFrame, articles: DataFrame) -> DataFrame:
     """One row that changes with the tables: counts, sums and maxima of ids, rows per class, articles without a pair."""
     q = queue.agg(F.count("*").alias("pairs"), F.sum("id").cast("long").alias("id_sum"), F.max("id").alias("id_max"), *[F.count_if(F.col("match_class") == c).alias(c) for c in RANK])

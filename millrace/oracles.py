@@ -203,6 +203,20 @@ SELECT user_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(
         "name_mentions": rf"""
 WITH a AS (SELECT id, trim(regexp_replace(regexp_replace(lower(replace(company, '&', ' and ')), '\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS n, ' ' || {_words("body_text")} || ' ' AS b FROM articles WHERE body_text IS NOT NULL AND company IS NOT NULL)
 SELECT id, CAST(len(string_split(b, ' ' || n || ' ')) - 1 AS INTEGER) AS mentions FROM a WHERE n <> ''""",
+        "deletable_pairs": """
+WITH c AS (SELECT domain FROM sitemap_crawls WHERE complete AND started_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY domain ORDER BY started_at DESC, entries DESC) = 1 AND entries > 0),
+p AS (SELECT id FROM (SELECT id, row_number() OVER (PARTITION BY domain || '/' || source ORDER BY md5(CAST(id AS VARCHAR) || ':54'), id) AS k FROM discovered_urls) WHERE k <= 8)
+SELECT domain, count(*) AS n, min(id) AS first_id, max(id) AS last_id FROM discovered_urls WHERE match_class = 'reject' AND status = 'skipped' AND source = 'sitemap' AND domain IN (SELECT domain FROM c) AND id NOT IN (SELECT id FROM articles) AND id NOT IN (SELECT id FROM p) GROUP BY domain""",
+        "rule_scores": rf"""
+WITH p AS (SELECT d.url, d.company, d.ticker, d.match_class = 'accept' AS actual, coalesce(nullif(d.title, ''), a.title, '') AS title, coalesce(a.body_text, '') AS body FROM discovered_urls d JOIN articles a ON a.id = d.id),
+c AS (SELECT *, trim(regexp_replace(regexp_replace(lower(company), '\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?', ' ', 'g'), '[^a-z0-9]+', ' ', 'g')) AS nn,
+  '\({_EXCHANGE}\s*:\s*' || ticker || '\)|{_EXCHANGE}\s*:\s*' || ticker || '($|[^A-Za-z0-9&-])|\$' || ticker || '($|[^A-Za-z0-9&-])' AS et FROM ({_company("SELECT * FROM p")})),
+v AS (SELECT actual, (length(nn) >= 4 AND contains(' ' || regexp_replace(lower(url), '[^a-z0-9]+', ' ', 'g') || ' ' || regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g') || ' ', ' ' || nn || ' ')) OR regexp_matches(title, et) OR regexp_matches(body, et) AS named,
+  fn <> '' AND len(string_split(' ' || {_words("body")} || ' ', ' ' || fn || ' ')) - 1 >= 2 AS twice,
+  (NOT m_common AND length(ticker) >= 2 AND contains({_edges("title")}, ' ' || ticker || ' ')) OR coalesce(contains(lower({_edges("title")}), ' ' || lower(m_first) || ' '), false) AS signal FROM c),
+r AS (SELECT actual, 'all' AS rule, true AS predicted FROM v UNION ALL SELECT actual, 'named', named FROM v UNION ALL SELECT actual, 'mentioned', named OR twice FROM v UNION ALL SELECT actual, 'signalled', named OR twice OR signal FROM v),
+g AS (SELECT rule, count(*) FILTER (predicted AND actual) AS tp, count(*) FILTER (predicted AND NOT actual) AS fp, count(*) FILTER (NOT predicted AND actual) AS fn, count(*) FILTER (NOT predicted AND NOT actual) AS tn FROM r GROUP BY rule)
+SELECT *, CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) ELSE 0.0 END AS recall FROM g""",
         "stream_hours": "SELECT epoch_us(date_trunc('hour', ts)) AS started, event_type, count(*) AS n FROM events GROUP BY ALL",
         "stream_queue": """
 WITH r AS (SELECT *, CASE match_class WHEN 'reject' THEN 0 WHEN 'review' THEN 1 WHEN 'accept' THEN 2 END AS rank FROM discovered_urls)

@@ -202,6 +202,21 @@ def strata_rates(s: SparkSession, d: str) -> DataFrame:
     return audit.stratified_rate(sized, "domain")
 
 
+def deletable_pairs(s: SparkSession, d: str) -> DataFrame:
+    """Pairs that may go, per domain: none of the ids that the strata sample holds."""
+    last = crawls.latest_complete(table(s, d, "sitemap_crawls"))
+    rows = queue.deletable(table(s, d, "discovered_urls"), table(s, d, "articles"), last, strata_sample(s, d))
+    return rows.groupBy("domain").agg(F.count("*").alias("n"), F.min("id").alias("first_id"), F.max("id").alias("last_id"))
+
+
+def rule_scores(s: SparkSession, d: str) -> DataFrame:
+    """How well simpler rules would find the stored accepts among fetched pairs."""
+    q = table(s, d, "discovered_urls").select("id", "url", "title", "company", "ticker", (F.col("match_class") == "accept").alias("actual"))
+    pairs = q.join(table(s, d, "articles").select("id", F.col("title").alias("_t"), F.col("body_text").alias("body")), "id")
+    verdicts = audit.rule_verdicts(pairs.withColumn("title", F.coalesce(F.nullif("title", F.lit("")), "_t")))
+    return audit.confusion(verdicts, F.col("predicted"), F.col("actual"), "rule")
+
+
 def class_confusion(s: SparkSession, d: str) -> DataFrame:
     return audit.confusion(_classified(s, d), F.col("match_class") == "accept", F.col("stored_class") == "accept", "source")
 
@@ -346,5 +361,5 @@ def queries() -> dict[str, Query]:
         match_classify, class_transitions, match_preselect, match_counts, mode_audit, quality_audit, wall_by_status, article_words,
         latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
         field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
-        stream_hours, stream_queue, strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
+        stream_hours, stream_queue, deletable_pairs, rule_scores, strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
     )
