@@ -89,6 +89,29 @@ def resolve(names: DataFrame, asked: DataFrame) -> DataFrame:
     return exact.unionByName(part).groupBy("query").agg(F.min(F.struct("r", "symbol")).alias("b")).select("query", "b.symbol")
 
 
+def spans(membership: DataFrame, symbols: DataFrame) -> DataFrame:
+    """(symbol, stints): all stints of the asked symbols, oldest first, each once."""
+    rows = membership.join(symbols.select("symbol").distinct(), "symbol", "left_semi")
+    return rows.groupBy("symbol").agg(F.array_sort(F.collect_set(F.struct("valid_from", "valid_to"))).alias("stints"))
+
+
+def names(asked: DataFrame, today: DataFrame, membership: DataFrame, day: str) -> DataFrame:
+    """(ticker, name): of today's list (symbol, security) first, else of the list in force on ``day``; null where neither has it."""
+    now = today.groupBy(F.col("symbol").alias("ticker")).agg(F.min("security").alias("_now"))
+    then = as_of(membership, day).groupBy(F.col("symbol").alias("ticker")).agg(F.min("security").alias("_then"))
+    return asked.select("ticker").distinct().join(now, "ticker", "left").join(then, "ticker", "left").select("ticker", F.coalesce("_now", "_then").alias("name"))
+
+
+def label_stability(revisions: DataFrame, days: int = 30) -> DataFrame:
+    """(symbol, cik, ts, same): each revision row's label against the newest row of its symbol and cik at least ``days`` older.
+
+    ``revisions`` is (ts, symbol, cik, label); ``same`` is null without an older row. One window per symbol and cik.
+    """
+    line = Window.partitionBy("symbol", "cik").orderBy(F.unix_micros("ts")).rangeBetween(Window.unboundedPreceding, -days * 86_400_000_000)
+    older = F.max(F.struct("ts", "label")).over(line)
+    return revisions.withColumn("_o", older).select("symbol", "cik", "ts", F.when(F.col("_o").isNotNull(), F.col("_o.label").eqNullSafe(F.col("label"))).alias("same"))
+
+
 def last_revision(stints: DataFrame, revisions: DataFrame) -> DataFrame:
     """For each stint (symbol, cik, valid_from, valid_to) the newest revision row with its symbol and cik up to the end of its last day.
 

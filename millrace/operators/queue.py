@@ -108,6 +108,26 @@ def unfinished(companies: DataFrame, domains: DataFrame, progress: DataFrame) ->
     return companies.select("ticker").distinct().crossJoin(domains.select("domain").distinct()).join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
 
 
+def replace_rows(stored: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
+    """``stored`` with the rows of ``new`` in the place of those with their keys; columns in ``keep`` stay as stored.
+
+    ``new`` has one row per key. Keys without a stored row are added.
+    """
+    old = stored.select(*keys, *[F.col(c).alias(f"_{c}") for c in keep])
+    put = new.join(old, keys, "left").select(*[F.col(f"_{c}").alias(c) if c in keep else F.col(c) for c in stored.columns])
+    return stored.join(new.select(*keys), keys, "left_anti").unionByName(put)
+
+
+def run_summary(runs: DataFrame, shown: int = 3) -> DataFrame:
+    """Per domain of (domain, ticker, inserted, error): pairs, rows inserted, distinct errors with how many pairs met them, the commonest ``shown`` as text."""
+    errors = runs.filter("error IS NOT NULL").groupBy("domain", "error").agg(F.count("*").alias("n"))
+    lines = errors.groupBy("domain").agg(F.count("*").alias("errors"), F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "error"))).alias("e"))
+    head = F.array_join(F.transform(F.slice("e", 1, shown), lambda x: F.concat(x["error"], F.lit(" x"), (-x["k"]).cast("string"))), "; ")
+    text = F.concat(head, F.when(F.col("errors") > shown, F.concat(F.lit(" and "), (F.col("errors") - shown).cast("string"), F.lit(" more"))).otherwise(F.lit("")))
+    sums = runs.groupBy("domain").agg(F.count("*").alias("pairs"), F.coalesce(F.sum("inserted"), F.lit(0)).cast("long").alias("inserted"))
+    return sums.join(lines.select("domain", "errors", text.alias("summary")), "domain", "left").select("domain", "pairs", "inserted", F.coalesce("errors", F.lit(0)).cast("long").alias("errors"), F.coalesce("summary", F.lit("")).alias("summary"))
+
+
 def deletable(queue: DataFrame, articles: DataFrame, crawls_done: DataFrame, protected: DataFrame) -> DataFrame:
     """Rejected, skipped sitemap pairs without an article, of domains (domain, entries) whose latest crawl found entries; never a protected id."""
     filled = crawls_done.filter("entries > 0").select("domain").distinct()

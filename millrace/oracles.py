@@ -217,6 +217,20 @@ v AS (SELECT actual, (length(nn) >= 4 AND contains(' ' || regexp_replace(lower(u
 r AS (SELECT actual, 'all' AS rule, true AS predicted FROM v UNION ALL SELECT actual, 'named', named FROM v UNION ALL SELECT actual, 'mentioned', named OR twice FROM v UNION ALL SELECT actual, 'signalled', named OR twice OR signal FROM v),
 g AS (SELECT rule, count(*) FILTER (predicted AND actual) AS tp, count(*) FILTER (predicted AND NOT actual) AS fp, count(*) FILTER (NOT predicted AND actual) AS fn, count(*) FILTER (NOT predicted AND NOT actual) AS tn FROM r GROUP BY rule)
 SELECT *, CASE WHEN tp + fp > 0 THEN round(tp / (tp + fp), 6) ELSE 0.0 END AS precision, CASE WHEN tp + fn > 0 THEN round(tp / (tp + fn), 6) ELSE 0.0 END AS recall FROM g""",
+        "membership_spans": "WITH d AS (SELECT DISTINCT symbol, valid_from, valid_to FROM universe_membership WHERE symbol IN (SELECT symbol FROM universe_membership WHERE valid_to IS NOT NULL)) SELECT symbol, row_number() OVER (PARTITION BY symbol ORDER BY valid_from, valid_to NULLS FIRST) AS n, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to FROM d",
+        "ticker_names": """
+WITH q AS (SELECT ticker FROM discovered_urls WHERE ticker IS NOT NULL UNION SELECT ticker FROM articles WHERE ticker IS NOT NULL), n AS (SELECT symbol, min(security) AS name FROM universe_membership WHERE valid_to IS NULL GROUP BY symbol),
+t AS (SELECT symbol, min(security) AS name FROM universe_membership WHERE valid_from <= DATE '2021-06-30' AND (valid_to IS NULL OR valid_to >= DATE '2021-06-30') GROUP BY symbol)
+SELECT ticker, coalesce(n.name, t.name) AS name FROM q LEFT JOIN n ON n.symbol = ticker LEFT JOIN t ON t.symbol = ticker""",
+        "label_stability": """
+WITH r AS (SELECT DISTINCT CAST(replace(gics_revision_timestamp, 'Z', '') AS TIMESTAMP) AS ts, symbol, cik, lower(gics_sub_industry) AS label FROM universe_membership WHERE gics_revision_timestamp IS NOT NULL),
+o AS (SELECT a.ts, a.symbol, a.cik, a.label, arg_max(b.label, (b.ts, b.label)) AS older, count(b.ts) AS k FROM r a LEFT JOIN r b ON b.symbol = a.symbol AND b.cik = a.cik AND b.ts <= a.ts - INTERVAL 30 DAY GROUP BY ALL)
+SELECT CASE WHEN k = 0 THEN 'none older' WHEN older IS NOT DISTINCT FROM label THEN 'true' ELSE 'false' END AS same, count(*) AS n FROM o GROUP BY 1""",
+        "run_summary": """
+WITH e AS (SELECT domain, CAST(fetch_status_code AS VARCHAR) AS error, count(*) AS n FROM discovered_urls WHERE fetch_status_code >= 400 GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY -n, error) AS r, count(*) OVER (PARTITION BY domain) AS errors FROM e),
+t AS (SELECT domain, max(errors) AS errors, string_agg(error || ' x' || n, '; ' ORDER BY r) FILTER (r <= 3) AS head FROM k GROUP BY domain)
+SELECT d.domain, count(*) AS pairs, count(*) FILTER (status = 'done') AS inserted, coalesce(max(errors), 0) AS errors, coalesce(max(head) || CASE WHEN max(errors) > 3 THEN ' and ' || (max(errors) - 3) || ' more' ELSE '' END, '') AS summary FROM discovered_urls d LEFT JOIN t ON t.domain = d.domain GROUP BY d.domain""",
         "stream_hours": "SELECT epoch_us(date_trunc('hour', ts)) AS started, event_type, count(*) AS n FROM events GROUP BY ALL",
         "stream_queue": """
 WITH r AS (SELECT *, CASE match_class WHEN 'reject' THEN 0 WHEN 'review' THEN 1 WHEN 'accept' THEN 2 END AS rank FROM discovered_urls)

@@ -317,6 +317,33 @@ def stints_from_log(s: SparkSession, d: str) -> DataFrame:
     return membership.stints_from_changes(log, roster, "2023-01-31")
 
 
+def membership_spans(s: SparkSession, d: str) -> DataFrame:
+    """Stints of all symbols that left, a row each."""
+    u = table(s, d, "universe_membership")
+    rows = membership.spans(u, u.filter("valid_to IS NOT NULL")).select("symbol", F.posexplode("stints").alias("n", "x"))
+    return rows.select("symbol", (F.col("n") + 1).cast("long").alias("n"), "x.valid_from", "x.valid_to")
+
+
+def ticker_names(s: SparkSession, d: str) -> DataFrame:
+    u = table(s, d, "universe_membership")
+    asked = table(s, d, "discovered_urls").select("ticker").unionByName(table(s, d, "articles").select("ticker")).filter("ticker IS NOT NULL")
+    return membership.names(asked, u.filter("valid_to IS NULL"), u, "2021-06-30")
+
+
+def label_stability(s: SparkSession, d: str) -> DataFrame:
+    u = table(s, d, "universe_membership").filter("gics_revision_timestamp IS NOT NULL")
+    rows = u.select(F.to_timestamp("gics_revision_timestamp").alias("ts"), "symbol", "cik", F.lower("gics_sub_industry").alias("label")).distinct()
+    out = membership.label_stability(rows)
+    return out.groupBy(F.coalesce(F.col("same").cast("string"), F.lit("none older")).alias("same")).agg(F.count("*").alias("n"))
+
+
+def run_summary(s: SparkSession, d: str) -> DataFrame:
+    """What fetching came to per domain, with its commonest error codes."""
+    q = table(s, d, "discovered_urls")
+    runs = q.select("domain", "ticker", F.when(F.col("status") == "done", 1).otherwise(0).alias("inserted"), F.when(F.col("fetch_status_code") >= 400, F.col("fetch_status_code").cast("string")).alias("error"))
+    return queue.run_summary(runs)
+
+
 def last_revisions(s: SparkSession, d: str) -> DataFrame:
     u = table(s, d, "universe_membership")
     revisions = u.filter("gics_revision_timestamp IS NOT NULL").select(F.col("gics_revision_id").alias("revid"), F.to_timestamp("gics_revision_timestamp").alias("ts"), "symbol", "cik", "gics_sector").distinct()
@@ -360,6 +387,6 @@ def queries() -> dict[str, Query]:
         url_normalize, url_first, sitemap_duplicates, queue_stats, queue_page, queue_page_total, queue_merge, table_fingerprint, unfinished_pairs,
         match_classify, class_transitions, match_preselect, match_counts, mode_audit, quality_audit, wall_by_status, article_words,
         latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
-        field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
+        membership_spans, ticker_names, label_stability, run_summary, field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
         stream_hours, stream_queue, deletable_pairs, rule_scores, strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
     )

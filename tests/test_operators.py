@@ -122,3 +122,24 @@ def test_compare(spark):
     a = spark.createDataFrame([(1, 1.0), (2, 2.0)], "k int, v double")
     b = spark.createDataFrame([(2, 2.5), (3, 1.0)], "k int, v double")
     assert tuple(series.compare(a, b, "k", "v").first()) == (1, 1, 1, 0.5)
+
+
+def test_replace_rows(spark):
+    old = spark.createDataFrame([(1, "a", "kept"), (2, "b", None)], "id int, v string, prev string")
+    new = spark.createDataFrame([(1, "x", "lost"), (3, "y", "z")], "id int, v string, prev string")
+    got = {r.id: (r.v, r.prev) for r in queue.replace_rows(old, new, ["id"], keep=("prev",)).collect()}
+    assert got == {1: ("x", "kept"), 2: ("b", None), 3: ("y", None)}
+
+
+def test_run_summary(spark):
+    rows = [("d", "t", 1, None), ("d", "u", 2, "e1"), ("d", "v", None, "e2"), ("d", "w", 0, "e2"), ("x", "t", None, None)]
+    got = {r.domain: tuple(r)[1:] for r in queue.run_summary(spark.createDataFrame(rows, "domain string, ticker string, inserted int, error string"), 1).collect()}
+    assert got == {"d": (4, 3, 2, "e2 x2 and 1 more"), "x": (1, 0, 0, "")}
+
+
+def test_label_stability(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 1, 1), "A", "1", "x"), (dt.datetime(2024, 1, 31), "A", "1", "x"), (dt.datetime(2024, 2, 15), "A", "1", "y"), (dt.datetime(2024, 1, 1), "A", "2", None)]
+    got = sorted((r.cik, str(r.ts)[:10], r.same) for r in membership.label_stability(spark.createDataFrame(rows, "ts timestamp, symbol string, cik string, label string")).collect())
+    assert got == [("1", "2024-01-01", None), ("1", "2024-01-31", True), ("1", "2024-02-15", False), ("2", "2024-01-01", None)]
