@@ -72,7 +72,7 @@ def match(events: DataFrame, history: DataFrame, attributes: tuple[str, ...] = A
 
     picked = once(joined, **{f"_m_{a}": last(a) for a in attributes})
     cols = [c for a in attributes for c in (F.col(f"_m_{a}")["value"].alias(a), F.col(f"_m_{a}")["valid_from"].alias(f"{a}_from"))]
-    return picked.select(*[events[c] if c in events.columns else F.col(c) for c in events.columns], *cols)
+    return picked.select(*events.columns, *cols)
 
 
 def article_moments(articles: DataFrame, sites: DataFrame) -> DataFrame:

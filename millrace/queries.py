@@ -184,7 +184,7 @@ def snapshot_changes(s: SparkSession, d: str) -> DataFrame:
 
 
 def resolve_names(s: SparkSession, d: str) -> DataFrame:
-    """Every third word of company names, looked up as a symbol or part of a name."""
+    """First words of company names, and symbols in lower case, looked up as a symbol or part of a name."""
     u = table(s, d, "universe_membership")
     asked = u.select(F.split_part("security", F.lit(" "), F.lit(1)).alias("query")).unionByName(u.select(F.lower("symbol").alias("query")))
     return membership.resolve(u.select("symbol", "security").distinct(), asked)
@@ -278,7 +278,7 @@ def field_formats(s: SparkSession, d: str) -> DataFrame:
 
 
 def search_texts(s: SparkSession, d: str) -> DataFrame:
-    """What to search each site for, for the tenth of companies that the queue names most."""
+    """What to search each site for, for every company that the queue has of it."""
     top = table(s, d, "discovered_urls").select("domain", "company", "ticker").distinct()
     day = lambda x: F.lit(x).cast("date")
     return top.select("domain", "ticker", F.explode(fields.search_texts(F.col("domain"), F.col("company"), F.col("ticker"), day("2021-03-01"), day("2025-11-30"))).alias("query")).distinct()
