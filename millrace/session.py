@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 def get_session(app: str = "millrace", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session with the settings every query expects (UTC, AQE, Arrow)."""
-    return (
+    session = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.session.timeZone", "UTC")
@@ -24,6 +24,22 @@ def get_session(app: str = "millrace", cores: int | str = "*", shuffle_partition
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
+    ship(session)
+    return session
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package, from wherever the driver was started.
+
+    On one machine its folder joins the workers' path; on a cluster the package is sent along, once a session.
+    """
+    context, root = spark.sparkContext, os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+        if not context.master.startswith("local"):
+            archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="millrace-"), "millrace"), "zip", root, "millrace")
+            context.addPyFile(archive)
 
 
 def shared_dir(spark: SparkSession) -> str:
