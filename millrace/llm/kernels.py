@@ -136,6 +136,30 @@ def simhash(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.nda
     return np.concatenate(sims).view(np.int64), np.concatenate(counts).astype(np.int32), np.concatenate(wholes).view(np.int64)
 
 
+def bottoms(texts: list[str], size: int, share: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(number of distinct shingles, upper halves of the least of their hashes) of each text.
+
+    So many of the least hashes are taken that two texts which share at least ``share`` of all that either
+    has must have one of them in common.
+    """
+    counts, least = [], []
+    for i, j in chunks(texts):
+        h, doc = words(texts[i:j])
+        s, at = shingles(h, doc, j - i, size)
+        order = np.lexsort((s, at))
+        s, at = s[order], at[order]
+        new = np.ones(len(s), bool)
+        new[1:] = (s[1:] != s[:-1]) | (at[1:] != at[:-1])
+        s, at = s[new], at[new]
+        n = np.bincount(at, minlength=j - i)
+        first = np.cumsum(n) - n
+        take = np.where(n > 0, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1, 0)
+        half = (s >> np.uint64(32)).astype(np.uint32).view(np.int32)
+        counts.append(n)
+        least.extend(np.unique(half[a : a + k]) for a, k in zip(first, take))
+    return np.concatenate(counts).astype(np.int32) if counts else np.zeros(0, np.int32), least
+
+
 def shared_shingles(a: str, b: str, size: int) -> float:
     """Share of equal shingles of two texts (of all that either has); 1.0 for two texts without words."""
     h, doc = words([a, b])

@@ -1,8 +1,10 @@
 """Problem 3: bodies that are, or contain, template residue, filler, error pages or script notices.
 
 Wording that can be trusted labels a body by itself. Bodies that are nothing but residue pass their label
-on: near-duplicates are found with partitioned SimHash tables, verified by Hamming distance and by
-the share of equal five-word shingles, and the label runs through the connected components of those links.
+on through the connected components of near-duplicates, texts with at least 0.8 equal five-word shingles. Close
+copies are linked by partitioned SimHash tables and Hamming distance; as most pairs at 0.8 differ in more bits than
+such tables can hold, what is reached is then compared to all other texts by their least shingle hashes, of
+which such a pair always shares one. The share of shingles is checked on the texts for every link.
 A body that only contains residue keeps its label to itself, as its near-duplicates may lack just that line.
 """
 
@@ -109,12 +111,13 @@ def _labels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sites = [L.site_name(d) for d in pdf["source_domain"]]
         kinds = [residue_kind(b, s) for b, s in zip(bodies, sites)]
         sim, n_words, text = K.simhash(bodies, SHINGLE)
-        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "kind": kinds, "trusted": [bool(k) and whole_page(b, s) for k, b, s in zip(kinds, bodies, sites)], "sim": sim, "n_words": n_words, "text": text})
+        n_shingles, least = K.bottoms(bodies, SHINGLE, SIMILAR)
+        yield pd.DataFrame({"id": pdf["id"].to_numpy(), "kind": kinds, "trusted": [bool(k) and whole_page(b, s) for k, b, s in zip(kinds, bodies, sites)], "sim": sim, "n_words": n_words, "text": text, "n_shingles": n_shingles, "least": least})
 
 
 def labels(articles: DataFrame) -> DataFrame:
-    """(id, kind, trusted, sim, n_words, text) per non-blank body: its residue, fingerprint and hash of its words."""
-    return articles.select("id", "body_text", "source_domain").mapInPandas(_labels, "id long, kind string, trusted boolean, sim long, n_words int, text long")
+    """(id, kind, trusted, sim, n_words, text, n_shingles, least) per non-blank body: its residue, fingerprint, hash of its words and least shingle hashes."""
+    return articles.select("id", "body_text", "source_domain").mapInPandas(_labels, "id long, kind string, trusted boolean, sim long, n_words int, text long, n_shingles int, least array<int>")
 
 
 def _tables(sim: str) -> list:
@@ -175,12 +178,31 @@ def spread(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         frontier, reached = new, reached.unionByName(new)
 
 
+def reach(texts: DataFrame, articles: DataFrame, seeds: DataFrame) -> DataFrame:
+    """(id): ``seeds`` (id) and all of ``texts`` (id, n_shingles, least) that a chain of near-duplicates leads to, a hop at a time.
+
+    No pair is missed: two texts with ``SIMILAR`` of their shingles equal share one of their least hashes.
+    """
+    reached = frontier = seeds
+    while True:
+        known = texts.join(frontier, "id", "left_semi").select(F.col("id").alias("b"), F.col("n_shingles").alias("m"), F.explode("least").alias("h"))
+        rest = texts.join(reached, "id", "left_anti").select(F.col("id").alias("a"), F.col("n_shingles").alias("n"), F.explode("least").alias("h"))
+        # of two texts so alike, neither has many more shingles than the other
+        size = (F.col("m") >= F.col("n") * F.lit(SIMILAR) - F.lit(1e-6)) & (F.col("n") >= F.col("m") * F.lit(SIMILAR) - F.lit(1e-6))
+        pairs = rest.join(known, "h").filter(size).select("a", "b").distinct()
+        new = materialize(verified(pairs, articles).select(F.col("a").alias("id")).distinct(), "reached")
+        if new.isEmpty():
+            return reached
+        frontier, reached = new, reached.unionByName(new)
+
+
 def found(articles: DataFrame) -> DataFrame:
     """(id): articles to exclude. Null and blank bodies are no case; copies share their text's label."""
     rows = materialize(labels(articles), "labels")
     # copies of one text are one node, so that a text under very many ids is no bucket
-    texts = rows.groupBy("text", "n_words").agg(F.min("id").alias("id"), F.first("sim").alias("sim"), F.max("trusted").alias("trusted"))
+    texts = rows.groupBy("text", "n_words").agg(F.min("id").alias("id"), *[F.first(c).alias(c) for c in ("sim", "n_shingles", "least")], F.max("trusted").alias("trusted"))
+    texts = materialize(texts, "texts")
     edges = materialize(verified(links(texts), articles), "links")
-    reached = spread(edges, texts.filter("trusted").select("id"))
+    reached = reach(texts, articles, spread(edges, texts.filter("trusted").select("id")))
     alike = rows.join(texts.join(reached, "id", "left_semi").select("text", "n_words"), ["text", "n_words"], "left_semi")
     return rows.filter("kind <> ''").select("id").unionByName(alike.select("id")).distinct()

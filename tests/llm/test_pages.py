@@ -50,6 +50,28 @@ def test_spread_runs_through_components(spark):
     assert sorted(r.id for r in residue.spread(edges, spark.createDataFrame([(4,)], "id long")).collect()) == [1, 2, 3, 4]
 
 
+def test_label_reaches_every_text_at_the_required_similarity(spark):
+    import random
+
+    from millrace.llm import kernels as K
+
+    rng = random.Random(7)
+    # whole pages of placeholders, and copies of them that the wording no longer shows, with 0.8 to 0.9 of the shingles
+    rows, near = [], []
+    for f in range(40):
+        names = [f"f{f}x{k}" for k in range(300)]
+        page = " ".join(f"{{{{ {n} }}}}" for n in names)
+        words = names[:]
+        for k in rng.sample(range(5, 295), 3 + f % 7):
+            words[k] = f"other{f}x{k}"
+        copy = " ".join(words)
+        rows += [(2 * f, page, 1), (2 * f + 1, copy, 1)]
+        near.append(K.shared_shingles(page, copy, residue.SHINGLE))
+    want = {2 * f for f in range(40)} | {2 * f + 1 for f in range(40) if near[f] >= residue.SIMILAR}
+    assert 0.8 > min(near) and sum(0.8 <= x < 0.9 for x in near) > 15
+    assert {r.id for r in residue.found(articles(spark, rows)).collect()} == want
+
+
 def test_links_find_all_pairs_within_three_bits(spark):
     import random
 
