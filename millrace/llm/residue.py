@@ -26,6 +26,8 @@ from millrace.session import materialize
 SHORT_PAGE = 400
 #: Words of a shingle; least share of equal shingles; most differing bits of two fingerprints.
 SHINGLE, SIMILAR, HAMMING = 5, 0.8, 3
+#: Texts of a bucket above which it is split.
+CROWD = 64
 
 #: fixed values: unfilled placeholders of template languages
 _PLACEHOLDER = re.compile(
@@ -121,7 +123,7 @@ def labels(articles: DataFrame) -> DataFrame:
 
 
 def _tables(sim: str) -> list:
-    """The 16 keys of 28 bits of a fingerprint: a quarter of it, with a quarter of the other 48 bits.
+    """The 16 keys of 28 bits of a fingerprint: a quarter of it, with a quarter of the other 48 bits; beside each, the 36 bits left.
 
     Two fingerprints that differ in at most three bits agree on some quarter, and on some quarter of the rest.
     """
@@ -134,22 +136,26 @@ def _tables(sim: str) -> list:
         rest = F.shiftleft(high, 16 * q).bitwiseOR(low)
         for r in range(4):
             part = F.shiftrightunsigned(rest, 12 * r).bitwiseAND(F.lit(0xFFF))
-            keys.append(F.struct(F.lit(4 * q + r).alias("t"), F.shiftleft(own, 12).bitwiseOR(part).alias("k")))
+            below = rest.bitwiseAND(F.lit((1 << (12 * r)) - 1)) if r else F.lit(0).cast("long")
+            left = F.shiftleft(F.shiftrightunsigned(rest, 12 * (r + 1)), 12 * r).bitwiseOR(below)
+            keys.append(F.struct(F.lit(4 * q + r).alias("t"), F.shiftleft(own, 12).bitwiseOR(part).alias("k"), left.alias("left")))
     return keys
 
 
 def links(texts: DataFrame) -> DataFrame:
-    """(a, b): verified near-duplicates among distinct ``texts`` (id, sim), as links to each bucket's ends.
+    """(a, b): all pairs of distinct ``texts`` (id, sim) whose fingerprints differ in at most ``HAMMING`` bits.
 
-    A bucket's texts are compared to its least and its greatest fingerprint, never all with all; a
-    cluster that one bucket leaves apart is met again in the other 15 tables.
+    All members of a bucket are compared. A bucket of more than ``CROWD`` is split four ways by nine of the 36 bits
+    that its key leaves: two members that differ in at most three bits agree on one of these parts.
     """
-    rows = texts.select("id", "sim", F.explode(F.array(*_tables("sim"))).alias("x")).select("id", "sim", "x.t", "x.k")
-    ends = rows.groupBy("t", "k").agg(F.min(F.struct("sim", "id")).alias("lo"), F.max(F.struct("sim", "id")).alias("hi"))
-    ends = ends.filter(F.col("lo.id") != F.col("hi.id"))
-    pairs = rows.join(ends, ["t", "k"]).select(F.col("id").alias("a"), F.col("sim").alias("s"), F.explode(F.array("lo", "hi")).alias("o"))
-    near = pairs.filter((F.col("a") != F.col("o.id")) & (F.bit_count(F.col("s").bitwiseXOR(F.col("o.sim"))) <= HAMMING))
-    return near.select(F.least("a", "o.id").alias("a"), F.greatest("a", "o.id").alias("b")).distinct()
+    rows = texts.select("id", "sim", F.explode(F.array(*_tables("sim"))).alias("x")).select("id", "sim", "x.t", "x.k", "x.left")
+    sizes = rows.groupBy("t", "k").agg(F.count("*").alias("n")).filter("n > 1")
+    parts = F.array(*[F.shiftleft(F.shiftrightunsigned("left", 9 * i).bitwiseAND(F.lit(0x1FF)), 2).bitwiseOR(F.lit(i).cast("long")) for i in range(4)])
+    split = F.when(F.col("n") > CROWD, parts).otherwise(F.array(F.lit(-1).cast("long")))
+    shared = materialize(rows.join(sizes, ["t", "k"]).select("id", "sim", "t", "k", F.explode(split).alias("p")), "buckets")
+    other = shared.select(F.col("id").alias("b"), F.col("sim").alias("o"), "t", "k", "p")
+    near = shared.join(other, ["t", "k", "p"]).filter((F.col("id") < F.col("b")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("o"))) <= HAMMING))
+    return near.select(F.col("id").alias("a"), "b").distinct()
 
 
 def _same_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -89,6 +89,25 @@ def test_links_find_all_pairs_within_three_bits(spark):
     assert want <= got
 
 
+def test_links_in_crowded_families_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(5)
+    sims = set()
+    for size in (400, 800):
+        base = rng.getrandbits(64)
+        while len(sims) < size:
+            flip = base
+            for bit in rng.sample(range(64), rng.randrange(1, 5)):
+                flip ^= 1 << bit
+            sims.add(flip)
+    sims = sorted(sims)
+    want = {(a, b) for a in range(len(sims)) for b in range(a + 1, len(sims)) if (sims[a] ^ sims[b]).bit_count() <= residue.HAMMING}
+    signed = [s - (1 << 64) if s >= 1 << 63 else s for s in sims]
+    got = [tuple(r) for r in residue.links(spark.createDataFrame(list(enumerate(signed)), "id long, sim long")).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
 GRIDS = [
     "Date | Last\n" + "\n".join(f"2024-01-{d:02d} | {d}.5 | 10.25 | 99" for d in range(1, 20)), "\n".join(f"2024-01-{d:02d}\t{d}.5\t10.25" for d in range(1, 20)), "\n".join(f"* ABC{d} softer prices {d}" for d in range(12)),
     "Acme Corp., Zeta Foods, Quux, ABC, Mining Ltd., Health, Logistics, Energy, Bancorp, Materials, Networks.", "freight revenues payments private disputes staffing spreads contracts shorter delayed insurance longer record",
