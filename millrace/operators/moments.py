@@ -23,8 +23,6 @@ from millrace.session import small_enough
 #: Costs: of a change of order from one slash date to the next, of a step back in time (by days, up to BACK_MOST), of contradicting what the source declares.
 SWITCH, BACK_DAY, BACK_MOST = 8.0, 0.02, 4.0
 DECLARED = 2 * (SWITCH + BACK_MOST) + 1
-#: Records of a chain block: chains are cut at multiples of it, so that no source is one task.
-BLOCK = 1 << 16
 #: Rows of sites (about 100 bytes each) that may be broadcast.
 SITES_MOST = 100_000
 
@@ -85,25 +83,36 @@ def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str
     return cands.select(*df.columns, F.col("_cands").alias("cands"))
 
 
+START: dict[tuple[int, int | None], float] = {(0, None): 0.0}  # (order in use, its moment) -> cost
+
+
+def _step(best: dict, u: list, o: list, c: list) -> tuple[dict, dict]:
+    """The states after one more record, and for each the reading taken and the state before: a state is a reading with the order last used."""
+    now: dict[tuple[int, int | None], float] = {}
+    step: dict[tuple[int, int | None], tuple] = {}
+    for (conv, last), so_far in best.items():
+        for k, (uk, ok, ck) in enumerate(zip(u, o, c)):
+            new = ok or conv
+            total = so_far + ck + (SWITCH if ok and conv and ok != conv else 0.0)
+            if last is not None and uk < last:
+                total += min(BACK_MOST, (last - uk) / ts.DAY_US * BACK_DAY)
+            state = (new, uk)
+            if total < now.get(state, np.inf):
+                now[state], step[state] = total, (k, (conv, last))
+    return now, step
+
+
+def _cheapest(best: dict) -> tuple:
+    return min(best, key=lambda s: (best[s], s[0], s[1]))
+
+
 def _viterbi(us: list, order: list, cost: list) -> list[int]:
-    """Choice of a reading for each record of one chain: a state is a reading with the order last used."""
-    best: dict[tuple[int, int | None], float] = {(0, None): 0.0}  # (order in use, its moment) -> cost
-    back: list[dict] = []
+    """Choice of a reading for each record of one chain."""
+    best, back = START, []
     for u, o, c in zip(us, order, cost):
-        now: dict[tuple[int, int | None], float] = {}
-        step: dict[tuple[int, int | None], tuple] = {}
-        for (conv, last), so_far in best.items():
-            for k, (uk, ok, ck) in enumerate(zip(u, o, c)):
-                new = ok or conv
-                total = so_far + ck + (SWITCH if ok and conv and ok != conv else 0.0)
-                if last is not None and uk < last:
-                    total += min(BACK_MOST, (last - uk) / ts.DAY_US * BACK_DAY)
-                state = (new, uk)
-                if total < now.get(state, np.inf):
-                    now[state], step[state] = total, (k, (conv, last))
-        best = now
+        best, step = _step(best, u, o, c)
         back.append(step)
-    at = min(best, key=lambda s: (best[s], s[0], s[1]))
+    at = _cheapest(best)
     chosen = []
     for step in reversed(back):
         k, at = step[at]
@@ -111,69 +120,102 @@ def _viterbi(us: list, order: list, cost: list) -> list[int]:
     return chosen[::-1]
 
 
-def _choose(pdf: pd.DataFrame) -> np.ndarray:
-    """The moment of each row of whole chains, which follow one another.
+class _Chain:
+    """Viterbi along one source, batch by batch: rows are given out as soon as all best paths agree on them.
 
     A row with one reading and no order of its own is settled, and the cost between two such rows is the same for
-    every path; so only the other rows and their neighbours take part, which leaves the best path as it is.
+    every path; so only the other rows, their neighbours and the ends of a batch take part. Only rows with several
+    readings are held back, until a record leaves a single state (a slash date that has one order only does).
     """
-    us = pdf["_us0"].to_numpy().copy()
-    order, many = pdf["_ord0"].to_numpy(), pdf["_us"].notna().to_numpy()
-    chain = ((pdf["_source"] != pdf["_source"].shift()) | (pdf["_block"] != pdf["_block"].shift())).cumsum().to_numpy()
-    event = many | (order != 0)
-    near = event.copy()
-    near[1:] |= event[:-1] & (chain[1:] == chain[:-1])
-    near[:-1] |= event[1:] & (chain[1:] == chain[:-1])
-    at = np.flatnonzero(near)
-    lists = [pdf[c].to_numpy() for c in ("_us", "_ord", "_cost")]
-    for own in np.split(at, np.flatnonzero(np.diff(chain[at])) + 1) if len(at) else []:
-        if not many[own].any():
-            continue
-        cands = [[x[i].tolist() if many[i] else [one] for i, one in zip(own, ones)] for x, ones in zip(lists, (us[own].tolist(), order[own].tolist(), [0.0] * len(own)))]
-        for i, u, k in zip(own, cands[0], _viterbi(*cands)):
-            us[i] = u[k]
-    return us
-
 
-def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Viterbi over each (source, block) of a sorted partition; batches are joined only within a chain."""
-    held: list[pd.DataFrame] = []
-    extra = ["_source", "_block", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
+    def __init__(self) -> None:
+        self.best, self.back, self.held = START, [], []
+
+    def add(self, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        us, order, many = pdf["_us0"].to_numpy().copy(), pdf["_ord0"].to_numpy(), pdf["_us"].notna().to_numpy()
+        event = many | (order != 0)
+        near = event.copy()
+        near[1:] |= event[:-1]
+        near[:-1] |= event[1:]
+        near[[0, -1]] = True
+        lists = [pdf[c].to_numpy() for c in ("_us", "_ord", "_cost")]
+        cells = {}
+        for i in np.flatnonzero(near):
+            u, o, c = (x[i].tolist() for x in lists) if many[i] else ([int(us[i])], [int(order[i])], [0.0])
+            self.best, step = _step(self.best, u, o, c)
+            if many[i]:
+                cells[i] = [None, u]
+            self.back.append((step, cells.get(i)))
+            if len(self.best) == 1:
+                self.settle()
+        for i, cell in cells.items():
+            us[i] = us[i] if cell[0] is None else cell[0]
+        yield from self.ready()
+        open_ = [i for i, cell in cells.items() if cell[0] is None]
+        if open_:
+            self.held.append((pdf.iloc[open_], [cells[i] for i in open_]))
+        yield pdf.assign(us=us).drop(index=pdf.index[open_])
+
+    def settle(self) -> None:
+        """Follows the cheapest path back."""
+        at = _cheapest(self.best)
+        self.best = {at: 0.0}
+        for step, cell in reversed(self.back):
+            k, at = step[at]
+            if cell:
+                cell[0] = cell[1][k]
+        self.back = []
+
+    def ready(self) -> Iterator[pd.DataFrame]:
+        still = []
+        for pdf, cells in self.held:
+            done = np.array([c[0] is not None for c in cells])
+            if done.any():
+                yield pdf[done].assign(us=np.array([c[0] for c in cells if c[0] is not None], dtype=np.int64))
+            if not done.all():
+                still.append((pdf[~done], [c for c in cells if c[0] is None]))
+        self.held = still
+
+    def end(self) -> Iterator[pd.DataFrame]:
+        self.settle()
+        yield from self.ready()
 
-    def done() -> pd.DataFrame:
-        pdf = pd.concat(held, ignore_index=True) if len(held) > 1 else held[0].reset_index(drop=True)
-        held.clear()
-        return pdf.drop(columns=extra).assign(us=_choose(pdf))
 
+def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Viterbi along each source of a sorted partition, whatever the batches cut."""
+    extra = ["_source", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
+    chain, source = _Chain(), None
     for pdf in batches:
-        if not len(pdf):
-            continue
-        end = pdf["_source"].iloc[-1], pdf["_block"].iloc[-1]
-        last = ((pdf["_source"] == end[0]) & (pdf["_block"] == end[1])).to_numpy()
-        if not last.all() or held and (held[-1]["_source"].iloc[-1], held[-1]["_block"].iloc[-1]) != end:
-            if not last.all():
-                held.append(pdf[~last])
-            yield done()
-        held.append(pdf[last])
-    if held:
-        yield done()
+        own = pdf["_source"].to_numpy()
+        for rows in np.split(np.arange(len(pdf)), np.flatnonzero(own[1:] != own[:-1]) + 1):
+            if not len(rows):
+                continue
+            if own[rows[0]] != source:
+                for out in chain.end():
+                    yield out.drop(columns=extra)
+                chain, source = _Chain(), own[rows[0]]
+            for out in chain.add(pdf.iloc[rows].reset_index(drop=True)):
+                yield out.drop(columns=extra)
+    for out in chain.end():
+        yield out.drop(columns=extra)
 
 
 def resolve(df: DataFrame, sites: DataFrame, *, value: str = "value", domain: str = "domain", source: list[str], order: str = "ord_key", zone_utc: str | None = None) -> DataFrame:
     """``df``, one row per readable value, with ``us``: the moment in microseconds since 1970 UTC.
 
-    ``source`` names the columns of a chain, ``order`` the long that numbers its records. Unreadable
+    ``source`` names the columns of a chain, ``order`` the long that numbers its records, with or without gaps;
+    chains are never cut. Unreadable
     and null values give no row; repeated rows give repeated rows; an empty ``df`` gives an empty result.
     """
     keys = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source])
     several = lambda field: F.when(F.size("cands") > 1, F.transform("cands", lambda x: x[field]))
     chain = readings(df, sites, value, domain, zone_utc).select(
-        *df.columns, keys.alias("_source"), F.coalesce(F.floor(F.col(order) / F.lit(BLOCK)), F.lit(-1)).cast("long").alias("_block"), F.col(order).alias("_at"),
+        *df.columns, keys.alias("_source"), F.col(order).alias("_at"),
         F.col("cands")[0]["us"].alias("_us0"), F.col("cands")[0]["ord"].alias("_ord0"), several("us").alias("_us"), several("ord").alias("_ord"), several("cost").alias("_cost"),
     )
     schema = df.select(*df.columns, F.lit(0).cast("long").alias("us")).schema
     # of equal places in a chain, the text decides: the same records always make the same chain
-    return chain.repartition("_source", "_block").sortWithinPartitions("_source", "_block", "_at", value).mapInPandas(_chains, schema)
+    return chain.repartition("_source").sortWithinPartitions("_source", "_at", value).mapInPandas(_chains, schema)
 
 
 def _field(df: DataFrame, name: str, value: str, key: Column, order: Column, utc: bool) -> DataFrame:

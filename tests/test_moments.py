@@ -85,6 +85,47 @@ def test_viterbi_equals_brute_force():
     assert abs(cost(us, order, moments._viterbi(us, order, costs), costs) - best) < 1e-9
 
 
+def test_batches_do_not_cut_a_chain():
+    import random
+
+    import pandas as pd
+
+    rng, d = random.Random(4), ts.DAY_US
+    rows = []
+    for source, n in ((1, 300), (2, 1), (3, 200)):
+        for at in range(n):
+            several = rng.random() < 0.3
+            us = [(at + rng.randrange(-90, 90)) * d, (at + rng.randrange(-90, 90)) * d] if several else [(at + rng.randrange(-5, 5)) * d]
+            ords = [1, 2] if several else [rng.choice([0] * 20 + [1, 2])]
+            rows.append((at, source, at, us[0], ords[0], *((us, ords, [0.0, 0.0]) if several else (None, None, None))))
+    names = ["ord_key", "_source", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
+    as_arrays = [tuple(moments.np.array(x) if isinstance(x, list) else x for x in r) for r in rows]
+    want = {}
+    for source in (1, 2, 3):
+        own = [r for r in rows if r[1] == source]
+        us = [r[5] or [r[3]] for r in own]
+        for r, u, k in zip(own, us, moments._viterbi(us, [r[6] or [r[4]] for r in own], [r[7] or [0.0] for r in own])):
+            want[source * 1000 + r[0]] = u[k]
+    for size in (1, 7, 64, 1000):
+        batches = (pd.DataFrame(as_arrays[i : i + size], columns=names).assign(key=lambda x: x["_source"] * 1000 + x["_at"]) for i in range(0, len(rows), size))
+        out = pd.concat(list(moments._chains(batches)))
+        assert len(out) == len(rows) and dict(zip(out["key"], out["us"])) == want
+
+
+def test_one_crawl_is_one_chain(spark):
+    import datetime as dt
+
+    # month first throughout: one in ten dates can be read both ways, alone between entries that tell nothing
+    seen, rows, want = dt.datetime(2024, 6, 1), [], {}
+    for k in range(300):
+        day, month = (k % 12 + 1, (k + 4) % 12 + 1) if k % 10 == 0 else (k % 15 + 13, k % 12 + 1)
+        rows.append(("free.test", f"u{k}", f"{month:02}/{day:02}/2024 10:00", seen))
+        want[f"u{k}"] = f"2024-{month:02}-{day:02}T10:00:00.000000Z"
+    entries = spark.createDataFrame(rows, "domain string, url string, lastmod string, first_seen timestamp")
+    urls = spark.createDataFrame([], "id long, domain string, pub_date string, discovered_at string")
+    assert {r.row_key: r.utc for r in moments.found(urls, entries, sites(spark)).collect()} == want
+
+
 def test_empty_and_repeated(spark):
     df = spark.createDataFrame([], "ord_key long, value string, domain string")
     assert moments.resolve(df, sites(spark), source=["domain"]).count() == 0
