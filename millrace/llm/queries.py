@@ -67,7 +67,7 @@ def _p10_found(s: SparkSession, d: str) -> DataFrame:
 
 
 def _p10_levels(s: SparkSession, d: str) -> DataFrame:
-    return reading.levels(table(s, d, "documents"), table(s, d, "reading_labels"))
+    return reading.levels(table(s, d, "documents"), table(s, d, "reading_labels"), every=True)
 
 
 def queries() -> dict[str, Query]:

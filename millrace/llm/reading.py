@@ -48,19 +48,19 @@ def _graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             long = np.log(np.maximum(total / np.maximum(stops, 1), 1.0))
             mean = np.bincount(doc, weights=size, minlength=n) / np.maximum(total, 1)
             each = np.arange(n)
+            each = each[total > 0]  # a text without words has no style either
             at = np.concatenate([key // WORDS, each, each])
-            node = np.concatenate([key % WORDS, WORDS + np.clip(long * 8, 0, 127).astype(np.int64), WORDS + 128 + np.clip(mean * 4, 0, 127).astype(np.int64)])
-            weight = np.concatenate([np.sqrt(count), np.full(2 * n, np.sqrt(STYLE_WEIGHT))]).astype(np.float32)
+            node = np.concatenate([key % WORDS, WORDS + np.clip(long[each] * 8, 0, 127).astype(np.int64), WORDS + 128 + np.clip(mean[each] * 4, 0, 127).astype(np.int64)])
+            weight = np.concatenate([np.sqrt(count), np.full(2 * len(each), np.sqrt(STYLE_WEIGHT))]).astype(np.float32)
             order = np.argsort(at, kind="stable")
             at, node, weight = at[order], node[order].astype(np.int32), weight[order]
             ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
             lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
-            out = pa.RecordBatch.from_arrays([ids.slice(i, n), pa.array(is_english), lists(node, pa.int32()), lists(weight, pa.float32())], names=["doc_id", "english", "nodes", "weights"])
-            yield out.filter(pa.array(is_english))
+            yield pa.RecordBatch.from_arrays([ids.slice(i, n), pa.array(is_english), lists(node, pa.int32()), lists(weight, pa.float32())], names=["doc_id", "english", "nodes", "weights"])
 
 
 def graph(documents: DataFrame) -> DataFrame:
-    """(doc_id, english, nodes, weights): the English documents with their words; others, and those without text, have no row."""
+    """(doc_id, english, nodes, weights): all documents with their words, and whether they are English; those without words have no nodes."""
     return documents.select("doc_id", "text").mapInArrow(_graph, "doc_id long, english boolean, nodes array<int>, weights array<float>")
 
 
@@ -123,21 +123,23 @@ def _cut(low: np.ndarray, high: np.ndarray) -> float:
     return float(run.mean())
 
 
-def levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, difficulty, level) of each English document; several grades of a document count as their mean.
+def levels(documents: DataFrame, labels: DataFrame, every: bool = False) -> DataFrame:
+    """(doc_id, difficulty, level) of each English document, or of ``every`` one; several grades of a document count as their mean.
 
-    Copies of a text get one level, also where a copy has no grade. Documents without text or in another
-    language, and all of them if no English document is graded, have no row.
+    Copies of a text get one level, also where a copy has no grade. Words and cut points are learnt from English
+    documents alone; others are judged by the words and the style that these know. A text without words has the lowest
+    level. If no English document is graded, there is no scale and no row.
     """
     grades = labels.filter("grade_level IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("grade_level").alias("grade"))
-    nodes = materialize(graph(documents).join(grades, "doc_id", "left").select("doc_id", "nodes", "weights", "grade"), "reading")
-    mean = nodes.agg(F.avg("grade")).first()[0]
+    nodes = materialize(graph(documents).filter(F.col("english") | F.lit(every)).join(grades, "doc_id", "left").select("doc_id", "english", "nodes", "weights", "grade"), "reading")
+    english = nodes.filter("english")
+    mean = english.agg(F.avg("grade")).first()[0]
     schema = "doc_id long, difficulty double, level int"
     if mean is None:
         return documents.sparkSession.createDataFrame([], schema)
 
     def gather(score, trust) -> tuple[np.ndarray, np.ndarray]:
-        part = nodes.select("nodes", "weights", "grade") if score is not None else nodes.filter("grade IS NOT NULL").select("nodes", "weights", "grade")
+        part = english.select("nodes", "weights", "grade") if score is not None else english.filter("grade IS NOT NULL").select("nodes", "weights", "grade")
         sums = part.mapInArrow(_sums(score, trust, mean), "node int, w double, wf double, wff double")
         # a row per bucket: bounded by WORDS + STYLE
         return _scores(sums.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("w", "wf", "wff")]).collect(), mean)
@@ -149,11 +151,13 @@ def levels(documents: DataFrame, labels: DataFrame) -> DataFrame:
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             doc, own, weights = _flat(batch)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("grade"), pa.array(_difficulty(doc, own, weights, batch.num_rows, score, trust, mean))], names=["doc_id", "grade", "difficulty"])
+            difficulty = _difficulty(doc, own, weights, batch.num_rows, score, trust, mean)
+            difficulty[np.bincount(doc, minlength=batch.num_rows) == 0] = 1.0
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("english"), batch.column("grade"), pa.array(difficulty)], names=["doc_id", "english", "grade", "difficulty"])
 
-    judged = nodes.mapInArrow(judge, "doc_id long, grade double, difficulty double")
+    judged = nodes.mapInArrow(judge, "doc_id long, english boolean, grade double, difficulty double")
     place = F.least(F.lit(BINS - 1), F.floor((F.col("difficulty") - 1) / (LEVELS - 1) * BINS)).cast("int")
-    graded = judged.filter("grade IS NOT NULL").groupBy(place.alias("bin"), F.floor(F.col("grade") + 0.5).cast("int").alias("level")).count().collect()
+    graded = judged.filter("english AND grade IS NOT NULL").groupBy(place.alias("bin"), F.floor(F.col("grade") + 0.5).cast("int").alias("level")).count().collect()
     table = np.zeros((LEVELS + 1, BINS))
     for r in graded:
         table[r["level"], max(0, r["bin"])] += r["count"]

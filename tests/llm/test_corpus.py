@@ -155,6 +155,20 @@ def test_levels_leave_out_other_languages_and_blanks(spark):
     assert not {9001, 9002, 9003, 9004} & set(got) and got[9005] == got[1]
 
 
+def test_every_document_has_a_level(spark, tmp_path):
+    from millrace.llm.queries import queries
+
+    docs, grades = graded(spark)
+    extra = [(9001, None), (9002, ""), (9003, "ABC 12"), (9004, "Der Konzern meldete den Ausbau der Anlage und die Bank verschob das Werk im Quartal.")]
+    d, labels = level_of(spark, docs + extra, [*grades, (9004, "r", 5)])
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    labels.write.parquet(f"{tmp_path}/reading_labels.parquet")
+    got = {r.doc_id: r.level for r in queries()["p10_levels"](spark, str(tmp_path)).collect()}
+    assert set(got) == {i for i, *_ in docs + extra} and set(got.values()) <= {1, 2, 3, 4, 5} and got[9001] == got[9002] == 1
+    assert {i: n for i, n in got.items() if i < 9000} == {r.doc_id: r.level for r in reading.levels(d, labels).collect()}
+    assert not {9001, 9002, 9003, 9004} & {r.doc_id for r in reading.found(d, labels).collect()}
+
+
 def test_no_grades_no_levels(spark):
     docs, _ = graded(spark)
     d, labels = level_of(spark, docs[:5], [])
