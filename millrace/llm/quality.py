@@ -49,14 +49,32 @@ def layout(rows: list[str]) -> tuple[float, float, float]:
     return aligned, period, _autocorrelation([len(r) for r in rows])
 
 
+def _aligned(rows: list[str]) -> list[bool]:
+    """Which of the non-blank lines are rows of a table: as many column marks as a neighbour, in a table of three rows or more."""
+    marked = [False] * len(rows)
+    for d, least in (("|", 1), ("\t", 1), ("    ", 2)):
+        counts = [r.strip().count(d) for r in rows]
+        same = [a == b and a >= least for a, b in zip(counts, counts[1:])]
+        own = [x or y for x, y in zip([False, *same], [*same, False])]
+        if sum(own) >= 3:
+            marked = [x or y for x, y in zip(marked, own)]
+    return marked
+
+
 def is_prose(body: str, read: list[L.Line] | None = None, site: str = "", headlines: L.Headlines | None = None) -> bool:
     """False if the body, without page furniture, is mostly a grid: rows, labels, heaps of words, unreadable characters."""
     rows = body.split("\n")
     read = read or [L.read_line(r, site, headlines or L.Headlines()) for r in rows]
-    grid = sum(x.chars for x in read if x.kind == L.GRID)
+    kinds = [x.kind for x in read]
+    if "|" in body or "\t" in body or "    " in body:
+        # columns that align make a grid whatever words the rows have
+        at = [i for i, k in enumerate(kinds) if k in (L.GRID, L.PROSE, L.SHORT)]
+        for i, row in zip(at, _aligned([rows[i] for i in at])):
+            kinds[i] = L.GRID if row else kinds[i]
+    grid = sum(x.chars for x, k in zip(read, kinds) if k == L.GRID)
     if grid < 20:
         return True
-    prose = sum(x.chars for x in read if x.kind == L.PROSE)
+    prose = sum(x.chars for x, k in zip(read, kinds) if k == L.PROSE)
     if grid > 2 * prose:
         return False
     if grid <= 0.5 * prose:

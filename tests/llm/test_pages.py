@@ -130,6 +130,14 @@ def test_texts(body):
     assert quality.is_prose(body, site=SITE)
 
 
+@pytest.mark.parametrize("mark", [" | ", "\t"])
+def test_a_table_whose_rows_have_function_words_is_no_prose(mark):
+    table = [("Cost of sales", "120", "98"), ("Interest on the loans to other companies in the group and its partners", "14", "9"), ("Profit before tax and before the items of the year", "31", "28"), ("Tax on profit", "8", "7")]
+    assert not quality.is_prose("\n".join(mark.join(r) for r in table), site=SITE)
+    story = "The council met on Monday to vote on the plan, and the vote was close in the end after all."
+    assert quality.is_prose("\n".join([story + " " + story] * 8 + [mark.join(r) for r in table]), site=SITE)
+
+
 def test_quality_cases(spark):
     rows = [(1, "two words", 2), (2, "two words", 3), (3, GRIDS[0], 1), (4, None, 5), (5, "x", None), (6, "", 0), (7, "", 1), (2, "two words", 3), (8, RESIDUE[0], 6)]
     a = articles(spark, rows)
