@@ -6,7 +6,11 @@ import re
 from collections import Counter
 from dataclasses import dataclass
 
+import pandas as pd
+
 BLANK, SITE, PROSE, GRID, SHORT = range(5)
+#: Least shares of the titles, for a word to stay in a headline's shape and for a shape to be kept.
+WORD_SHARE, SHAPE_SHARE = 0.04, 0.0004
 
 #: fixed values: function words of the languages that occur
 FUNCTION = frozenset(
@@ -72,15 +76,19 @@ class Headlines:
         return self.shape(text) in self.shapes
 
 
-def learn_headlines(counts: list[tuple[str, int]], word_share: float = 0.04, shape_share: float = 0.0004) -> Headlines:
+def title_words(title: str) -> set[str]:
+    """The words of a title that may stay in a shape."""
+    return {w for w in (x.strip("\"'()[].,:;?!") for x in title.split()) if w and w.islower() and w not in _FORM_WORDS}
+
+
+def learn_headlines(counts: list[tuple[str, int]], word_share: float = WORD_SHARE, shape_share: float = SHAPE_SHARE) -> Headlines:
     """Shapes from (title, count) pairs; words in at least ``word_share`` of the titles stay in a shape."""
     n = sum(c for _, c in counts) or 1
     df: Counter = Counter()
     for t, c in counts:
-        for w in {x.strip("\"'()[].,:;?!") for x in t.split()}:
-            if w and w.islower():
-                df[w] += c
-    model = Headlines(frozenset(w for w, c in df.items() if c >= word_share * n and c > 1 and w not in _FORM_WORDS))
+        for w in title_words(t):
+            df[w] += c
+    model = Headlines(frozenset(w for w, c in df.items() if c >= max(2, word_share * n)))
     shapes: Counter = Counter()
     for t, c in counts:
         shapes[model.shape(plain(t))] += c
@@ -153,12 +161,27 @@ def read_line(line: str, site: str, headlines: Headlines) -> Line:
     return Line(SHORT, text, n, chars, stop, 1, function)
 
 
-def headlines_of(articles, most: int = 20_000) -> Headlines:
-    """Shapes learnt from the titles of at most ``most`` articles, chosen by the hash of their ids (a bounded sample)."""
+def headlines_of(articles, most: int | None = None) -> Headlines:
+    """Shapes learnt as by ``learn_headlines`` from all titles of ``articles``, or from the ``most`` least hashes of their ids.
+
+    Titles are counted where they lie; only words and shapes above the cut-offs, some thousands at most, reach the driver.
+    """
     from pyspark.sql import functions as F
 
-    titled = articles.filter("title IS NOT NULL").select("title", F.pmod(F.xxhash64("id"), F.lit(1 << 30)).alias("_h"))
-    # tasks send twice the share they are due, not ``most`` rows each
-    share = min(1 << 30, (2 * most << 30) // max(1, articles.count()))
-    rows = titled.filter(F.col("_h") < share).orderBy("_h", "title").limit(most).collect()
-    return learn_headlines(list(Counter(r["title"] for r in rows).items()))
+    titled = articles.filter("title IS NOT NULL")
+    if most is not None:
+        titled = titled.orderBy(F.xxhash64("id"), "title").limit(most)
+    titled = titled.select("title")
+    n = titled.count() or 1
+
+    def often(tokens, least: float) -> list[str]:
+        def run(batches):
+            for pdf in batches:
+                seen = Counter(t for title in pdf["title"] for t in tokens(title))
+                yield pd.DataFrame({"token": list(seen.keys()), "c": list(seen.values())}).astype({"token": object, "c": "int64"})
+
+        counts = titled.mapInPandas(run, "token string, c long").groupBy("token").agg(F.sum("c").alias("c"))
+        return [r["token"] for r in counts.filter(F.col("c") >= F.lit(least)).collect()]
+
+    kept = Headlines(frozenset(often(title_words, max(2, WORD_SHARE * n))))
+    return Headlines(kept.kept, frozenset(s for s in often(lambda title: [kept.shape(plain(title))], max(2, SHAPE_SHARE * n)) if len(s) > 1))

@@ -191,6 +191,17 @@ def test_other_lines_of_table(spark):
     assert bodies[2] is None and bodies[3] == "" and "Home" not in bodies[1] and bodies[1].count("\n") == 5
 
 
+def test_headlines_of_all_titles(spark):
+    # 40,000 titles: a shape needs 16 of them; half of the rare shapes have just that, half have one less
+    rare = [(f"Acme wins {'and ' * k}again", 16 - k % 2) for k in range(1, 41)]
+    titles = [t for t, c in rare for _ in range(c)]
+    titles += ["Acme wins and again from Zeta"] * (40_000 - len(titles))
+    rows = spark.createDataFrame(list(enumerate(titles)), "id long, title string")
+    want = L.learn_headlines([(t, 1) for t in titles])
+    got = L.headlines_of(rows)
+    assert got == want and [got.fits(L.plain(t)) for t, _ in rare] == [c >= 16 for _, c in rare]
+
+
 def test_headlines_of_a_bounded_sample(spark):
     a = articles(spark, [(i, "", 1) for i in range(50)])
     assert isinstance(L.headlines_of(a, most=10), L.Headlines)
