@@ -17,6 +17,9 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 #: word bytes: lower-case letters, digits, and all of other alphabets
 _IS_WORD = np.zeros(256, bool)
 _IS_WORD[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
+#: as word bytes, without digits
+_IS_LETTER = _IS_WORD.copy()
+_IS_LETTER[48:58] = False
 
 
 def _grown(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -62,18 +65,18 @@ def chunks(texts: list[str]):
         i = j
 
 
-def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, text it is in) of lower-cased ``texts``; words are runs of letters and digits."""
-    h, doc, _, _ = words_and_ends(texts)
+def words(texts: list[str], figures: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word, text it is in) of lower-cased ``texts``; words are runs of letters and, with ``figures``, digits."""
+    h, doc, _, _ = words_and_ends(texts, figures)
     return h, doc
 
 
-def words_and_ends(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words_and_ends(texts: list[str], figures: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """As ``words``, with the bytes of each word and the number of sentence ends of each text."""
     raw = [t.lower().encode("utf-8", "replace") for t in texts]
     buf = np.frombuffer(b" ".join(raw) + b" ", np.uint8)
     begin = np.cumsum([0, *(len(r) + 1 for r in raw)])
-    is_word = np.concatenate([[False], _IS_WORD[buf], [False]])
+    is_word = np.concatenate([[False], (_IS_WORD if figures else _IS_LETTER)[buf], [False]])
     edge = np.flatnonzero(is_word[1:] != is_word[:-1])
     start, end = edge[::2], edge[1::2]
     run = running(buf)
@@ -110,59 +113,60 @@ def shingles(h: np.ndarray, doc: np.ndarray, n_docs: int, size: int) -> tuple[np
     return value[order], where[order]
 
 
-def simhash(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(fingerprint, number of words, hash of the words) of each text."""
-    sims, counts, wholes = [], [], []
-    for i, j in chunks(texts):
-        h, doc = words(texts[i:j])
-        n_docs = j - i
-        s, at = shingles(h, doc, n_docs, size)
-        sim = np.zeros(n_docs, np.uint64)
-        whole = np.zeros(n_docs, np.uint64)
-        if len(s):
-            own, first = np.unique(at, return_index=True)
-            bits = np.unpackbits(s.view(np.uint8).reshape(-1, 8), axis=1)
-            ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
-            total = np.diff(np.append(first, len(s)))
-            packed = np.packbits(2 * ones > total[:, None], axis=1)
-            sim[own] = packed.view(np.uint64).ravel()
-            position = mix(np.arange(len(s), dtype=np.uint64) - np.repeat(first, total).astype(np.uint64))
-            whole[own] = np.add.reduceat(mix(s ^ position), first)
-        sims.append(sim)
-        counts.append(np.bincount(doc, minlength=n_docs))
-        wholes.append(whole)
-    if not sims:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64)
-    return np.concatenate(sims).view(np.int64), np.concatenate(counts).astype(np.int32), np.concatenate(wholes).view(np.int64)
-
-
-def bottoms(texts: list[str], size: int, share: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    """(number of distinct shingles, upper halves of the least of their hashes) of each text.
+def _simhash(s: np.ndarray, at: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
+    """(fingerprint, hash of all shingles in order) of each text, from its shingles."""
+    sim, whole = np.zeros(n_docs, np.uint64), np.zeros(n_docs, np.uint64)
+    if len(s):
+        own, first = np.unique(at, return_index=True)
+        bits = np.unpackbits(s.view(np.uint8).reshape(-1, 8), axis=1)
+        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
+        total = np.diff(np.append(first, len(s)))
+        sim[own] = np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64).ravel()
+        position = mix(np.arange(len(s), dtype=np.uint64) - np.repeat(first, total).astype(np.uint64))
+        whole[own] = np.add.reduceat(mix(s ^ position), first)
+    return sim, whole
+
+
+def _bottoms(s: np.ndarray, at: np.ndarray, n_docs: int, share: float) -> tuple[np.ndarray, list[np.ndarray]]:
+    order = np.lexsort((s, at))
+    s, at = s[order], at[order]
+    new = np.ones(len(s), bool)
+    new[1:] = (s[1:] != s[:-1]) | (at[1:] != at[:-1])
+    s, at = s[new], at[new]
+    n = np.bincount(at, minlength=n_docs)
+    first = np.cumsum(n) - n
+    take = np.where(n > 0, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1, 0)
+    half = (s >> np.uint64(32)).astype(np.uint32).view(np.int32)
+    return n, [np.unique(half[a : a + k]) for a, k in zip(first, take)]
+
+
+def prints(texts: list[str], size: int, share: float, figures: bool = True) -> dict[str, object]:
+    """Per text: ``sim``, its 64-bit fingerprint; ``n_words``; ``text``, a hash of its words in order; ``n_shingles``, distinct
+    shingles; ``least``, the upper halves of the least of their hashes.
 
     So many of the least hashes are taken that two texts which share at least ``share`` of all that either
     has must have one of them in common.
     """
-    counts, least = [], []
+    sims, counts, wholes, numbers, least = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
     for i, j in chunks(texts):
-        h, doc = words(texts[i:j])
+        h, doc = words(texts[i:j], figures)
         s, at = shingles(h, doc, j - i, size)
-        order = np.lexsort((s, at))
-        s, at = s[order], at[order]
-        new = np.ones(len(s), bool)
-        new[1:] = (s[1:] != s[:-1]) | (at[1:] != at[:-1])
-        s, at = s[new], at[new]
-        n = np.bincount(at, minlength=j - i)
-        first = np.cumsum(n) - n
-        take = np.where(n > 0, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1, 0)
-        half = (s >> np.uint64(32)).astype(np.uint32).view(np.int32)
-        counts.append(n)
-        least.extend(np.unique(half[a : a + k]) for a, k in zip(first, take))
-    return np.concatenate(counts).astype(np.int32) if counts else np.zeros(0, np.int32), least
-
-
-def shared_shingles(a: str, b: str, size: int) -> float:
+        sim, whole = _simhash(s, at, j - i)
+        n, low = _bottoms(s, at, j - i, share)
+        sims.append(sim)
+        wholes.append(whole)
+        counts.append(np.bincount(doc, minlength=j - i))
+        numbers.append(n)
+        least += low
+    return {
+        "sim": np.concatenate(sims).view(np.int64), "n_words": np.concatenate(counts).astype(np.int32), "text": np.concatenate(wholes).view(np.int64),
+        "n_shingles": np.concatenate(numbers).astype(np.int32), "least": least,
+    }
+
+
+def shared_shingles(a: str, b: str, size: int, figures: bool = True) -> float:
     """Share of equal shingles of two texts (of all that either has); 1.0 for two texts without words."""
-    h, doc = words([a, b])
+    h, doc = words([a, b], figures)
     s, at = shingles(h, doc, 2, size)
     x, y = np.unique(s[at == 0]), np.unique(s[at == 1])
     both = len(np.intersect1d(x, y, assume_unique=True))
