@@ -11,6 +11,8 @@ import pandas as pd
 BLANK, SITE, PROSE, GRID, SHORT = range(5)
 #: Least shares of the titles, for a word to stay in a headline's shape and for a shape to be kept.
 WORD_SHARE, SHAPE_SHARE = 0.04, 0.0004
+#: Tags that a sign of page furniture counts for.
+MARK = 14
 
 #: fixed values: function words of the languages that occur
 FUNCTION = frozenset(
@@ -40,6 +42,8 @@ _INSIDE = re.compile(
     r"(?:read|taken|construed|relied on) as (?:financial |investment |legal )?advice|not (?:an? )?(?:invitation|offer|investment advice|financial advice|recommendation)\b.{0,30}(?:trade|buy|sell|invest)?|no warranty|without (?:prior )?written (?:consent|permission)|may hold positions|may lag by|"
     r"\(\d+ (?:min(?:ute)?s?(?: read)?|shares?|comments?|views?)\)$|\b(?:markets|filings|news|business|economy|politics|city|energy|company|companies) desk, \S+$|stays free thanks|delayed by (?:at least )?\d+ minutes"
 )
+#: fixed values: a part of every wording that may stand within a line, to pass over lines that have none
+_INSIDE_PARTS = ("small files", "cookies", "your device", "your browser", "partner", "your consent", "your cookie", "your privacy", "accept all", "reject optional", "all rights", "issn", "advice", "not a", "not invitation", "not offer", "not investment", "not financial", "not recommendation", "no warranty", "permission", "consent", "may hold", "may lag", ")", " desk,", "stays free", "delayed by")
 _BYLINE = re.compile(r"^(?:by|written by|reported by|von|par|por|door)(?: [^\s\d,.;:]+){2,4}(?:,? (?:for|in|at|für|pour|para|voor)(?: [^\s\d.;:]+){1,3})?$")
 _NAV_SPLIT = re.compile(r"\s*(?:\||>|»|›|·|•| / )\s*")
 
@@ -58,6 +62,7 @@ class Headlines:
 
     kept: frozenset = frozenset()
     shapes: frozenset = frozenset()
+    longest: int = 0  # words of the longest title
 
     def shape(self, text: str) -> str:
         out: list[str] = []
@@ -92,7 +97,7 @@ def learn_headlines(counts: list[tuple[str, int]], word_share: float = WORD_SHAR
     shapes: Counter = Counter()
     for t, c in counts:
         shapes[model.shape(plain(t))] += c
-    return Headlines(model.kept, frozenset(s for s, c in shapes.items() if c >= max(2, shape_share * n) and len(s) > 1))
+    return Headlines(model.kept, frozenset(s for s, c in shapes.items() if c >= max(2, shape_share * n) and len(s) > 1), max((len(t.split()) for t, _ in counts), default=0))
 
 
 def site_name(domain: str | None) -> str:
@@ -108,7 +113,7 @@ class Line:
     words: int = 0
     chars: int = 0
     ends: bool = False
-    tags: int = 0
+    tags: int = 0  # that signs of links and of page furniture count for
     phrase: bool = False  # has function words
 
 
@@ -129,8 +134,29 @@ def _grid(s: str, text: str, words: int, function: bool) -> bool:
     return words >= 3 and text[-1:] not in ".!?"
 
 
+def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines) -> int:
+    """Tags that a line's signs of being furniture or a link count for; a line has no bound of length, it only outweighs them."""
+    bare = text.rstrip(".!")
+    tags = 0
+    if site and site in text.replace(" ", ""):
+        tags += MARK
+    if _START.match(bare):
+        tags += MARK
+    if any(x in bare for x in _INSIDE_PARTS) and _INSIDE.search(bare):
+        tags += MARK
+    if _BYLINE.match(bare):
+        tags += MARK
+    if "|" in s or ">" in s or " / " in s or "»" in s or "·" in s or "•" in s or "›" in s:
+        pieces = [p for p in _NAV_SPLIT.split(s) if p]
+        if len(pieces) >= 3 and not any(map(str.isdigit, s)) and sum(map(str.isalpha, s)) > 0.6 * len("".join(words)) and len(words) <= 5 * len(pieces):
+            tags += len(words) + len(pieces)
+    if len(words) <= headlines.longest and headlines.fits(bare):
+        tags += MARK
+    return tags
+
+
 def read_line(line: str, site: str, headlines: Headlines) -> Line:
-    """What a line is: page furniture (SITE), prose, part of a grid, or too short to tell."""
+    """What a line is by itself: prose, part of a grid, or too short to tell, and how many tags its signs of furniture count for; SITE if they outweigh it."""
     s = line.strip()
     if not s:
         return Line(BLANK)
@@ -138,27 +164,18 @@ def read_line(line: str, site: str, headlines: Headlines) -> Line:
     words = text.split()
     n = len(words)
     chars = len(text)
-    if n > 45 and s.isascii() and len(FUNCTION.intersection(words)) >= 4:
-        return Line(PROSE, text, n, chars, True, 0, True)  # far too long for furniture, far too wordy for a grid
-    function = not FUNCTION.isdisjoint(words)
+    function = not FUNCTION.isdisjoint(words) or not FUNCTION.isdisjoint(w.strip(".,;:!?\"'()") for w in words)
     stop = text[-1:] in '.!?"…:' and not text.endswith("...")
-    if not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«»°€£©") > 0.08 * len(s):
-        return Line(GRID, text, n, chars, stop, 1, function)  # wrongly decoded
-    if n <= 32:
-        bare = text.rstrip(".!")
-        if site and site in text.replace(" ", "") or _START.match(bare) or _INSIDE.search(bare) or n <= 10 and _BYLINE.match(bare):
-            return Line(SITE, text, n, chars, stop, 3, function)
-        if "|" in s or ">" in s or " / " in s or "»" in s or "·" in s or "•" in s or "›" in s:
-            pieces = [p for p in _NAV_SPLIT.split(s) if p]
-            if len(pieces) >= 3 and not any(map(str.isdigit, s)) and sum(map(str.isalpha, s)) > 0.6 * len("".join(words)) and n <= 5 * len(pieces):
-                return Line(SITE, text, n, chars, stop, len(pieces), function)
-        if n <= 25 and headlines.fits(bare):
-            return Line(SITE, text, n, chars, stop, 2, function)
-    if _grid(s, text, n, function):
-        return Line(GRID, text, n, chars, stop, 1, function)
-    if n >= 6 and function and (stop or n >= 12 or text.endswith(_FORMS)):
-        return Line(PROSE, text, n, chars, stop, 0, function)
-    return Line(SHORT, text, n, chars, stop, 1, function)
+    tags = _marks(s, text, words, site, headlines)
+    if tags * 20 > chars:
+        kind = SITE
+    elif _grid(s, text, n, function) or not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«·»°€£©") > 0.08 * len(s):
+        kind = GRID  # or wrongly decoded
+    elif n >= 6 and function and (stop or n >= 12 or text.endswith(_FORMS)):
+        kind = PROSE
+    else:
+        kind = SHORT
+    return Line(kind, text, n, chars, stop, tags, function)
 
 
 def headlines_of(articles, most: int | None = None) -> Headlines:
@@ -184,4 +201,5 @@ def headlines_of(articles, most: int | None = None) -> Headlines:
         return [r["token"] for r in counts.filter(F.col("c") >= F.lit(least)).collect()]
 
     kept = Headlines(frozenset(often(title_words, max(2, WORD_SHARE * n))))
-    return Headlines(kept.kept, frozenset(s for s in often(lambda title: [kept.shape(plain(title))], max(2, SHAPE_SHARE * n)) if len(s) > 1))
+    longest = titled.agg(F.max(F.size(F.split(F.trim("title"), r"\s+")))).first()[0] or 0
+    return Headlines(kept.kept, frozenset(s for s in often(lambda title: [kept.shape(plain(title))], max(2, SHAPE_SHARE * n)) if len(s) > 1), longest)

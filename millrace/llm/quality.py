@@ -1,22 +1,28 @@
 """Problem 5: text statistics of a body, and whether it is natural prose.
 
-Tables and lists show in how lines follow one another: delimiters that align from line to line, a
-period in the indentation, line lengths that repeat. These, with ratios of words, symbols and
-sentence ends, tell prose from tables, lists of names, heaps of words and unreadable characters.
+Tables and lists show in how lines follow one another: columns that align from line to line, a
+period in marks and indentation, line lengths that repeat. These and ratios of words, symbols and
+sentence ends go into one score for every body, weighed by a logistic model; above zero a body is no prose.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import lines as L
-from millrace.llm.residue import residue_kind
 
 _DELIMITERS = ("|", "\t", ";", ",", "    ")
+_ENDS = '.!?"”…:'
+_TYPESET = "’‘“”„–—…•·«·»°€£©"
+#: Characters, without blanks, below which a body shows too little to be called anything but prose.
+LEAST = 20
+#: What the score is made of, in order.
+FEATURES = ("common", "symbols", "digits", "worded", "ended", "aligned", "period", "autocorrelation", "long_runs", "stops", "separators", "word_length", "unusual")
 
 
 def _autocorrelation(x: list[int]) -> float:
@@ -61,33 +67,64 @@ def _aligned(rows: list[str]) -> list[bool]:
     return marked
 
 
-def is_prose(body: str, read: list[L.Line] | None = None, site: str = "", headlines: L.Headlines | None = None) -> bool:
-    """False if the body, without page furniture, is mostly a grid: rows, labels, heaps of words, unreadable characters."""
-    rows = body.split("\n")
-    read = read or [L.read_line(r, site, headlines or L.Headlines()) for r in rows]
-    kinds = [x.kind for x in read]
-    if "|" in body or "\t" in body or "    " in body:
-        # columns that align make a grid whatever words the rows have
-        at = [i for i, k in enumerate(kinds) if k in (L.GRID, L.PROSE, L.SHORT)]
-        for i, row in zip(at, _aligned([rows[i] for i in at])):
-            kinds[i] = L.GRID if row else kinds[i]
-    grid = sum(x.chars for x, k in zip(read, kinds) if k == L.GRID)
-    if grid < 20:
-        return True
-    prose = sum(x.chars for x, k in zip(read, kinds) if k == L.PROSE)
-    if grid > 2 * prose:
-        return False
-    if grid <= 0.5 * prose:
+def features(body: str) -> list[float]:
+    """The ``FEATURES`` of a body with at least one non-blank character.
+
+    Shares of words: function words, words that end in a full stop in lines with a function word, separators a word. Shares of characters: symbols,
+    digits, lines with two function words out of columns, lines with a sentence end, rows of aligned columns (cubed, as half a page of them is still a story with a table), runs of thirty and more, signs that neither words nor typesetting use.
+    """
+    rows = [r for r in body.split("\n") if r.strip()]
+    words = body.split()
+    n = len(words)
+    run = "".join(words)
+    solid = len(run)
+    size = sum(map(len, rows))
+    own = [sum(w.strip(".,;:\"'()") in L.FUNCTION for w in r.lower().split()) for r in rows]
+    common = sum(own) / n
+    alnum = sum(map(str.isalnum, run))
+    digits = sum(map(body.count, "0123456789"))
+    columns = _aligned(rows) if "|" in body or "\t" in body or "    " in body else [False] * len(rows)
+    marked = sum(len(r) for r, x in zip(rows, columns) if x)
+    aligned, period, auto = layout(rows)
+    unusual = 0 if body.isascii() else sum(c > "\x7f" and not c.isalpha() and c not in _TYPESET for c in run)
+    separators = sum(map(body.count, ",;|\t"))
+    return [
+        common, 1 - alnum / solid, digits / solid, sum(len(r) for r, k, x in zip(rows, own, columns) if k > 1 and not x) / size, sum(len(r) for r in rows if r.rstrip()[-1:] in _ENDS) / size, max(marked / size, aligned if not common else 0.0) ** 3, period, max(auto, 0.0),
+        sum(len(w) for w in words if len(w) >= 30) / solid, sum(w[-1] in ".!?" for r, k in zip(rows, own) if k for w in r.split()) / n, separators / n, abs(solid / n - 6) / 6, unusual / solid,
+    ]
+
+
+def fit(bodies: list[str], prose: list[bool], ridge: float = 1e-3) -> tuple[list[float], float]:
+    """(weights, constant) of the score, by logistic regression on labelled bodies: Newton steps on standardised features."""
+    x, y = np.array([features(b) for b in bodies]), 1.0 - np.array(prose, float)
+    mean, spread = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-9)
+    z = np.hstack([(x - mean) / spread, np.ones((len(x), 1))])
+    w = np.zeros(z.shape[1])
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
+        w -= np.linalg.solve((z.T * (p * (1 - p))) @ z / len(y) + ridge * np.eye(len(w)), z.T @ (p - y) / len(y) + ridge * w)
+    weights = w[:-1] / spread
+    return weights.round(3).tolist(), round(float(w[-1] - weights @ mean), 3)
+
+
+#: Fitted by ``fit`` on 11,034 bodies of the largest test tables and 3,400 made from them (tables with labels from sentences, lists of names,
+#: grids between page furniture, stories with a small table or without full stops). Labels of the former are the verdicts of the line rules used before, which an
+#: outside listing had found right for all its 9,479 cases.
+WEIGHTS = [-2.889, 11.616, -4.912, -5.307, 0.266, 3.399, 0.584, -3.219, 4.409, -70.88, 5.271, 0.79, 19.611]
+CONSTANT = 4.672
+
+
+def is_prose(body: str) -> bool:
+    """Whether a body is natural prose: every body is judged by its score alone; one of too few characters, or none, is prose."""
+    if len(body) < LEAST or len("".join(body.split())) < LEAST:
         return True
-    own = [r for r, x in zip(rows, read) if x.kind in (L.GRID, L.PROSE, L.SHORT)]
-    aligned, period, auto = layout(own)
-    return grid * (1 + max(aligned, period, auto)) <= prose * 1.5
+    return sum(w * v for w, v in zip(WEIGHTS, features(body))) + CONSTANT <= 0
 
 
 STATISTICS = "n_words int, mean_word_length double, symbol_ratio double, ended_share double, common_share double, aligned double, period double, autocorrelation double, is_prose boolean"
 
 
-def statistics(body: str, site: str = "", headlines: L.Headlines | None = None) -> tuple:
+def statistics(body: str) -> tuple:
     """All statistics of one body, in the order of ``STATISTICS``; words are runs of non-blank characters."""
     words = body.split()
     n = len(words)
@@ -98,11 +135,11 @@ def statistics(body: str, site: str = "", headlines: L.Headlines | None = None)
     aligned, period, auto = layout(rows)
     return (
         n, solid / n if n else 0.0, symbols / solid if solid else 0.0, sum(r.rstrip()[-1:] in '.!?"”…' for r in rows) / len(rows) if rows else 0.0,
-        common / n if n else 0.0, aligned, period, auto, is_prose(body, site=site, headlines=headlines),
+        common / n if n else 0.0, aligned, period, auto, is_prose(body),
     )
 
 
-def text_statistics(articles: DataFrame, headlines: L.Headlines) -> DataFrame:
+def text_statistics(articles: DataFrame) -> DataFrame:
     """(id, stored_words, statistics..) per row of ``articles``.
 
     A null body has null statistics; an empty one zeros and counts as prose; repeated rows stay repeated.
@@ -111,7 +148,7 @@ def text_statistics(articles: DataFrame, headlines: L.Headlines) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [x.split()[0] for x in STATISTICS.split(", ")]
         for pdf in batches:
-            got = [statistics(b, L.site_name(d), headlines) if b is not None else (None,) * len(names) for b, d in zip(pdf["body_text"], pdf["source_domain"])]
+            got = [statistics(b) if b is not None else (None,) * len(names) for b in pdf["body_text"]]
             out = pd.DataFrame(got, columns=names)
             out["n_words"] = out["n_words"].astype("Int32")
             out["is_prose"] = out["is_prose"].astype("boolean")
@@ -119,30 +156,21 @@ def text_statistics(articles: DataFrame, headlines: L.Headlines) -> DataFrame:
             out.insert(0, "id", pdf["id"].to_numpy())
             yield out
 
-    return articles.select("id", "word_count", "body_text", "source_domain").mapInPandas(run, f"id long, stored_words int, {STATISTICS}")
+    return articles.select("id", "word_count", "body_text").mapInPandas(run, f"id long, stored_words int, {STATISTICS}")
+
+
+def reader(bodies: list[str], sites: list[str]) -> dict[str, list]:
+    """Whether each body is prose, for ``residue.labels``, which reads bodies once."""
+    return {"prose": [is_prose(b) for b in bodies]}
 
 
-def found(articles: DataFrame, headlines: L.Headlines, residue_ids: DataFrame) -> DataFrame:
+def found(articles: DataFrame, rows: DataFrame, residue_ids: DataFrame) -> DataFrame:
     """(id, case_kind): ``word_count`` where the stored number isn't the number of words, ``not_prose``.
 
-    Ids of ``residue_ids`` (problem 3) are never ``not_prose``; null bodies and null stored numbers give no case.
+    ``rows`` (id, prose) are stored labels of the bodies. Ids of ``residue_ids`` (problem 3) are never ``not_prose``; null
+    bodies and null stored numbers give no case.
     """
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            ids, kinds = [], []
-            for i, n, body, domain in zip(pdf["id"], pdf["word_count"], pdf["body_text"], pdf["source_domain"]):
-                if body is None:
-                    continue
-                if n == n and n is not None and int(n) != len(body.split()):
-                    ids.append(i)
-                    kinds.append("word_count")
-                site = L.site_name(domain)
-                if body.strip() and not is_prose(body, site=site, headlines=headlines) and not residue_kind(body, site):
-                    ids.append(i)
-                    kinds.append("not_prose")
-            yield pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "case_kind": pd.Series(kinds, dtype="object")})
-
-    cases = articles.select("id", "word_count", "body_text", "source_domain").mapInPandas(run, "id long, case_kind string")
-    cases = cases.join(residue_ids.withColumn("case_kind", F.lit("not_prose")), ["id", "case_kind"], "left_anti")
-    return cases.distinct()
+    n = F.regexp_count("body_text", F.lit(r"(?U)[^\s\x1c-\x1f]+"))
+    counted = articles.filter(F.col("word_count").isNotNull() & F.col("body_text").isNotNull() & (n != F.col("word_count")))
+    grids = rows.filter("NOT prose").select("id").join(residue_ids, "id", "left_anti")
+    return counted.select("id", F.lit("word_count").alias("case_kind")).unionByName(grids.select("id", F.lit("not_prose").alias("case_kind"))).distinct()

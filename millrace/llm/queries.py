@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from millrace.llm import leakage, mainbody, packing, quality, reading, repeated, residue
 from millrace.llm.lines import headlines_of
+from millrace.session import materialize
 from millrace.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +29,8 @@ def _p3_found(s: SparkSession, d: str) -> DataFrame:
 
 def _p4_found(s: SparkSession, d: str) -> DataFrame:
     articles = table(s, d, "articles")
-    return mainbody.found(articles, headlines_of(articles), residue.found(articles))
+    rows = materialize(residue.labels(articles, mainbody.reader(headlines_of(articles)), "other array<int>"), "labels")
+    return mainbody.found(rows, residue.excluded(rows, articles).select("id"))
 
 
 def _p4_main_bodies(s: SparkSession, d: str) -> DataFrame:
@@ -38,12 +40,12 @@ def _p4_main_bodies(s: SparkSession, d: str) -> DataFrame:
 
 def _p5_found(s: SparkSession, d: str) -> DataFrame:
     articles = table(s, d, "articles")
-    return quality.found(articles, headlines_of(articles), residue.found(articles))
+    rows = materialize(residue.labels(articles, quality.reader, "prose boolean"), "labels")
+    return quality.found(articles, rows, residue.excluded(rows, articles).select("id"))
 
 
 def _p5_statistics(s: SparkSession, d: str) -> DataFrame:
-    articles = table(s, d, "articles")
-    return quality.text_statistics(articles, headlines_of(articles))
+    return quality.text_statistics(table(s, d, "articles"))
 
 
 def _p8_containers(s: SparkSession, d: str) -> DataFrame:
