@@ -5,6 +5,10 @@ of a repeated hour) with a cost for each; the chain of readings of a source, in
 is chosen by Viterbi, where a change of the day-month order and a step back in time cost extra.
 To contradict what a source declares (its date order, "first pass") costs ``DECLARED``, more than
 any neighbours can offer.
+
+A chain is as long as its source has records, and no task reads it whole: ranges of records are blocks, each block gives the cost
+of the best way through it from every state before it to every state after it, these are put together along the source, a
+row per block, and each block is then read with the states so found. The result is that of one pass over the whole chain.
 """
 
 from __future__ import annotations
@@ -18,13 +22,25 @@ from pyspark.sql import functions as F
 
 from millrace.functions import timestamps as ts
 from millrace.plans import once
-from millrace.session import small_enough
+from millrace.session import materialize, small_enough
 
 #: Costs: of a change of order from one slash date to the next, of a step back in time (by days, up to BACK_MOST), of contradicting what the source declares.
 SWITCH, BACK_DAY, BACK_MOST = 8.0, 0.02, 4.0
 DECLARED = 2 * (SWITCH + BACK_MOST) + 1
 #: Rows of sites (about 100 bytes each) that may be broadcast.
 SITES_MOST = 100_000
+#: Records of a block.
+BLOCK = 1 << 16
+
+
+def _abbreviations(sites: DataFrame) -> DataFrame:
+    """(_zone, _abbr) of every time zone in use."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"_zone": pdf["time_zone"], "_abbr": [ts.zone_abbreviations(z) for z in pdf["time_zone"]]})
+
+    return sites.select("time_zone").filter("time_zone IS NOT NULL").distinct().mapInPandas(run, "_zone string, _abbr map<string,int>")
 
 
 def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str = "domain", zone_utc: str | None = None) -> DataFrame:
@@ -35,12 +51,8 @@ def readings(df: DataFrame, sites: DataFrame, value: str = "value", domain: str
     A null, blank or unreadable value gives no row; a source that ``sites`` lacks is on UTC
     and declares no date order. ``ord`` is 1 for day first, 2 for month first, 0 for neither.
     """
-    spark = df.sparkSession
     known = sites.select(F.col("domain").alias("_domain"), "time_zone", F.lower("date_order").alias("date_order")).dropDuplicates(["_domain"])
-    zones = [r[0] for r in sites.select("time_zone").distinct().limit(2000).collect() if r[0]]
-    table = [(z, ts.zone_abbreviations(z)) for z in zones]
-    abbr = spark.createDataFrame(table or [("UTC", {"utc": 0})], "_zone string, _abbr map<string,int>")
-    known = known.join(F.broadcast(abbr), F.col("time_zone") == F.col("_zone"), "left").drop("_zone")
+    known = known.join(_abbreviations(sites), F.col("time_zone") == F.col("_zone"), "left").drop("_zone")
     # a row per domain: joined by broadcast if it is as small as it should be, since rows per domain are skewed
     known = F.broadcast(known) if small_enough(sites, SITES_MOST) else known
     out = df.join(known, F.col(domain) == F.col("_domain"), "left").drop("_domain")
@@ -120,102 +132,196 @@ def _viterbi(us: list, order: list, cost: list) -> list[int]:
     return chosen[::-1]
 
 
-class _Chain:
-    """Viterbi along one source, batch by batch: rows are given out as soon as all best paths agree on them.
+def _near(us0: np.ndarray, order: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Which records of a block take part: those with a choice or an order of their own, their neighbours, and both ends.
 
-    A row with one reading and no order of its own is settled, and the cost between two such rows is the same for
-    every path; so only the other rows, their neighbours and the ends of a batch take part. Only rows with several
-    readings are held back, until a record leaves a single state (a slash date that has one order only does).
+    The cost between two others is the same for every path.
     """
+    event = many | (order != 0)
+    near = event.copy()
+    near[1:] |= event[:-1]
+    near[:-1] |= event[1:]
+    near[[0, -1]] = True
+    return np.flatnonzero(near)
+
+
+def _through(us: list, order: list, cost: list) -> list[tuple[int, int, int, int | None, float]]:
+    """The cheapest ways through a block: (order before, reading of the first record, order after, moment of the last, cost).
 
-    def __init__(self) -> None:
-        self.best, self.back, self.held = START, [], []
-
-    def add(self, pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        us, order, many = pdf["_us0"].to_numpy().copy(), pdf["_ord0"].to_numpy(), pdf["_us"].notna().to_numpy()
-        event = many | (order != 0)
-        near = event.copy()
-        near[1:] |= event[:-1]
-        near[:-1] |= event[1:]
-        near[[0, -1]] = True
-        lists = [pdf[c].to_numpy() for c in ("_us", "_ord", "_cost")]
-        cells = {}
-        for i in np.flatnonzero(near):
-            u, o, c = (x[i].tolist() for x in lists) if many[i] else ([int(us[i])], [int(order[i])], [0.0])
-            self.best, step = _step(self.best, u, o, c)
-            if many[i]:
-                cells[i] = [None, u]
-            self.back.append((step, cells.get(i)))
-            if len(self.best) == 1:
-                self.settle()
-        for i, cell in cells.items():
-            us[i] = us[i] if cell[0] is None else cell[0]
-        yield from self.ready()
-        open_ = [i for i, cell in cells.items() if cell[0] is None]
-        if open_:
-            self.held.append((pdf.iloc[open_], [cells[i] for i in open_]))
-        yield pdf.assign(us=us).drop(index=pdf.index[open_])
-
-    def settle(self) -> None:
-        """Follows the cheapest path back."""
-        at = _cheapest(self.best)
-        self.best = {at: 0.0}
-        for step, cell in reversed(self.back):
+    The step back to the first record isn't among the costs; it hangs on the block before.
+    """
+    ways: dict[tuple[int, int], dict] = {}
+    for conv in (0, 1, 2):
+        for k, (u, o, c) in enumerate(zip(us[0], order[0], cost[0])):
+            ways[conv, k] = {(o or conv, u): c + (SWITCH if o and conv and o != conv else 0.0)}
+    for i in range(1, len(us)):
+        states = {s for best in ways.values() for s in best}
+        if len(states) == 1:  # all ways have met: from here on they are one
+            state = states.pop()
+            paid = {e: best[state] for e, best in ways.items()}
+            best = {state: 0.0}
+            for j in range(i, len(us)):
+                best, _ = _step(best, us[j], order[j], cost[j])
+            return [(*e, *s, p + c) for e, p in paid.items() for s, c in best.items()]
+        for e, best in ways.items():
+            ways[e] = _step(best, us[i], order[i], cost[i])[0]
+    return [(*e, *s, c) for e, best in ways.items() for s, c in best.items()]
+
+
+def _between(us: list, order: list, cost: list, conv: int, first: int, end: tuple) -> list[int]:
+    """Choice of a reading for each record of a block on its cheapest way from (``conv``, ``first``) to the state ``end``."""
+    u, o, c = us[0][first], order[0][first], cost[0][first]
+    best: dict = {(o or conv, u): c}
+    back: list[dict] = []
+    chosen = [first]
+
+    def follow(at: tuple) -> None:
+        picked = []
+        for step in reversed(back):
             k, at = step[at]
-            if cell:
-                cell[0] = cell[1][k]
-        self.back = []
-
-    def ready(self) -> Iterator[pd.DataFrame]:
-        still = []
-        for pdf, cells in self.held:
-            done = np.array([c[0] is not None for c in cells])
-            if done.any():
-                yield pdf[done].assign(us=np.array([c[0] for c in cells if c[0] is not None], dtype=np.int64))
-            if not done.all():
-                still.append((pdf[~done], [c for c in cells if c[0] is None]))
-        self.held = still
-
-    def end(self) -> Iterator[pd.DataFrame]:
-        self.settle()
-        yield from self.ready()
-
-
-def _chains(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Viterbi along each source of a sorted partition, whatever the batches cut."""
-    extra = ["_source", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
-    chain, source = _Chain(), None
+            picked.append(k)
+        chosen.extend(reversed(picked))
+        back.clear()
+
+    for i in range(1, len(us)):
+        best, step = _step(best, us[i], order[i], cost[i])
+        back.append(step)
+        if len(best) == 1:
+            follow(next(iter(best)))
+    if back:
+        follow(end)
+    return chosen
+
+
+def _stitch(blocks: list[tuple]) -> list[tuple]:
+    """Of (first moments, ways) of the blocks of one source in order: for each block the (order before, first reading, state after) of the cheapest chain."""
+    best, back = START, []
+    for first, ways in blocks:
+        now: dict[tuple, float] = {}
+        step: dict[tuple, tuple] = {}
+        for (conv, last), so_far in best.items():
+            for before, k, after, end, cost in ways:
+                if before != conv:
+                    continue
+                total = so_far + cost
+                if last is not None and first[k] < last:
+                    total += min(BACK_MOST, (last - first[k]) / ts.DAY_US * BACK_DAY)
+                state = (after, end)
+                if total < now.get(state, np.inf):
+                    now[state], step[state] = total, ((conv, last), k)
+        best = now
+        back.append(step)
+    at = _cheapest(best)
+    out = []
+    for step in reversed(back):
+        before, k = step[at]
+        out.append((before[0], k, at))
+        at = before
+    return out[::-1]
+
+
+_KEY = "_source long, _at0 long, _tie0 long, _no int"
+
+
+def _blocks(names: list[str]):
+    """Packs the records of a sorted partition into a row per block: the candidates of those that take part, and the columns of those with a choice."""
+
+    def packed(key: tuple, pdfs: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(pdfs, ignore_index=True) if len(pdfs) > 1 else pdfs[0]
+        many = pdf["_us"].notna().to_numpy()
+        us0, order = pdf["_us0"].to_numpy(), pdf["_ord0"].to_numpy()
+        at = _near(us0, order, many)
+        lists = [[x.tolist() if m else [v] for x, m, v in zip(pdf[c].to_numpy()[at], many[at], one)] for c, one in (("_us", us0[at].tolist()), ("_ord", order[at].tolist()), ("_cost", [0.0] * len(at)))]
+        own = pdf[many]
+        row = {"_source": key[0], "_at0": key[1], "_tie0": key[2], "_no": key[3], "us": lists[0], "ord": lists[1], "cost": lists[2], "many": many[at].tolist()}
+        for c in names:
+            row[f"p_{c}"] = [None if x is None or x is pd.NaT else x for x in own[c].astype(object).where(own[c].notna(), None)]
+        return pd.DataFrame([row])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size, no, key = 0, 0, None
+        for pdf in batches:
+            own = pdf["_source"].to_numpy()
+            for rows in np.split(np.arange(len(pdf)), np.flatnonzero(own[1:] != own[:-1]) + 1):
+                while len(rows):
+                    if key is not None and (key[0] != own[rows[0]] or size >= BLOCK):
+                        yield packed(key, held)
+                        held, size, key = [], 0, None
+                    if key is None:
+                        head = pdf.iloc[rows[0]]
+                        key, no = (int(head["_source"]), int(head["_at"]), int(head["_tie"]), no), no + 1
+                    take, rows = rows[: BLOCK - size], rows[BLOCK - size :]
+                    held.append(pdf.iloc[take])
+                    size += len(take)
+        if key is not None:
+            yield packed(key, held)
+
+    return run
+
+
+def _summaries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        own = pdf["_source"].to_numpy()
-        for rows in np.split(np.arange(len(pdf)), np.flatnonzero(own[1:] != own[:-1]) + 1):
-            if not len(rows):
-                continue
-            if own[rows[0]] != source:
-                for out in chain.end():
-                    yield out.drop(columns=extra)
-                chain, source = _Chain(), own[rows[0]]
-            for out in chain.add(pdf.iloc[rows].reset_index(drop=True)):
-                yield out.drop(columns=extra)
-    for out in chain.end():
-        yield out.drop(columns=extra)
-
-
-def resolve(df: DataFrame, sites: DataFrame, *, value: str = "value", domain: str = "domain", source: list[str], order: str = "ord_key", zone_utc: str | None = None) -> DataFrame:
+        ways = [list(zip(*_through([x.tolist() for x in u], o, c))) for u, o, c in zip(pdf["us"], pdf["ord"], pdf["cost"])]
+        yield pd.DataFrame({**{c: pdf[c] for c in ("_source", "_at0", "_tie0", "_no")}, "first": [u[0] for u in pdf["us"]], **{f"w{k}": [list(w[k]) for w in ways] for k in range(5)}})
+
+
+def _stitched(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values(["_at0", "_tie0", "_no"], ignore_index=True)
+    chosen = _stitch([(r["first"], list(zip(*(r[f"w{k}"] for k in range(5))))) for _, r in pdf.iterrows()])
+    return pdf[["_source", "_at0", "_tie0", "_no"]].assign(conv=[c for c, _, _ in chosen], pick=[k for _, k, _ in chosen], after=[s[0] for _, _, s in chosen], end=[s[1] for _, _, s in chosen])
+
+
+def _chosen(names: list[str]):
+    """The moments of the records with a choice, from blocks and the states at their ends."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for r in pdf.to_dict("records"):
+                if not any(r["many"]):
+                    continue
+                us = [x.tolist() for x in r["us"]]
+                picks = _between(us, r["ord"], r["cost"], int(r["conv"]), int(r["pick"]), (int(r["after"]), int(r["end"])))
+                yield pd.DataFrame({**{c: list(r[f"p_{c}"]) for c in names}, "us": [u[k] for u, k, m in zip(us, picks, r["many"]) if m]})
+
+    return run
+
+
+def resolve(df: DataFrame, sites: DataFrame, *, value: str = "value", domain: str = "domain", source: list[str], order: str = "ord_key", zone_utc: str | None = None, fixed: str | None = None) -> DataFrame:
     """``df``, one row per readable value, with ``us``: the moment in microseconds since 1970 UTC.
 
-    ``source`` names the columns of a chain, ``order`` the long that numbers its records, with or without gaps;
-    chains are never cut. Unreadable
+    ``source`` names the columns of a chain, ``order`` the long that numbers its records, with or without gaps; records
+    of one number follow the hash of their text. ``fixed`` names a boolean column: true where the value is in the canonical form, which
+    needs no reading. Chains are never cut. Unreadable
     and null values give no row; repeated rows give repeated rows; an empty ``df`` gives an empty result.
     """
     keys = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in source])
     several = lambda field: F.when(F.size("cands") > 1, F.transform("cands", lambda x: x[field]))
-    chain = readings(df, sites, value, domain, zone_utc).select(
-        *df.columns, keys.alias("_source"), F.col(order).alias("_at"),
-        F.col("cands")[0]["us"].alias("_us0"), F.col("cands")[0]["ord"].alias("_ord0"), several("us").alias("_us"), several("ord").alias("_ord"), several("cost").alias("_cost"),
+    place = [keys.alias("_source"), F.coalesce(F.col(order), F.lit(0)).cast("long").alias("_at"), F.xxhash64(value).alias("_tie")]
+    chain = readings(df.filter(~F.col(fixed)) if fixed else df, sites, value, domain, zone_utc).select(
+        *df.columns, *place, F.col("cands")[0]["us"].alias("_us0"), F.col("cands")[0]["ord"].alias("_ord0"), several("us").alias("_us"), several("ord").alias("_ord"), several("cost").alias("_cost"),
     )
+    if fixed:
+        none = [F.lit(None).cast(t).alias(c) for c, t in (("_us", "array<bigint>"), ("_ord", "array<int>"), ("_cost", "array<double>"))]
+        # the form itself is UTC, to the microsecond
+        instant = F.unix_micros(F.replace(F.replace(value, F.lit("T"), F.lit(" ")), F.lit("Z"), F.lit("+00:00")).try_cast("timestamp"))
+        chain = chain.unionByName(df.filter(F.col(fixed)).select(*df.columns, *place, instant.alias("_us0"), F.lit(0).alias("_ord0"), *none).filter("_us0 IS NOT NULL"))
+    chain = materialize(chain, "readings")
+    many = F.col("_us").isNotNull()
+    # only records with a choice carry their columns along the chain
+    slim = chain.select("_source", "_at", "_tie", "_us0", "_ord0", "_us", "_ord", "_cost", *[F.when(many, F.col(c)).alias(c) for c in df.columns])
+    sources = chain.filter(many).select("_source").distinct()
+    slim = slim.join(sources, "_source", "left_semi")
+    kinds = dict(df.dtypes)
+    packed = ", ".join(f"p_{c} array<{kinds[c]}>" for c in df.columns)
+    blocks = slim.repartitionByRange("_source", "_at", "_tie").sortWithinPartitions("_source", "_at", "_tie")
+    blocks = materialize(blocks.mapInPandas(_blocks(df.columns), f"{_KEY}, us array<array<long>>, ord array<array<int>>, cost array<array<double>>, many array<boolean>, {packed}"), "blocks")
+    ways = blocks.select("_source", "_at0", "_tie0", "_no", "us", "ord", "cost").mapInPandas(_summaries, f"{_KEY}, first array<long>, w0 array<int>, w1 array<int>, w2 array<int>, w3 array<long>, w4 array<double>")
+    # a row per block and source
+    ends = ways.groupBy("_source").applyInPandas(_stitched, f"{_KEY}, conv int, pick int, after int, end long")
     schema = df.select(*df.columns, F.lit(0).cast("long").alias("us")).schema
-    # of equal places in a chain, the text decides: the same records always make the same chain
-    return chain.repartition("_source").sortWithinPartitions("_source", "_at", value).mapInPandas(_chains, schema)
+    chosen = blocks.join(ends, ["_source", "_at0", "_tie0", "_no"]).mapInPandas(_chosen(df.columns), schema)
+    return chain.filter(~many).select(*df.columns, F.col("_us0").alias("us")).unionByName(chosen)
 
 
 def _field(df: DataFrame, name: str, value: str, key: Column, order: Column, utc: bool) -> DataFrame:
@@ -225,18 +331,22 @@ def _field(df: DataFrame, name: str, value: str, key: Column, order: Column, utc
 def moment_fields(urls: DataFrame, entries: DataFrame) -> DataFrame:
     """The three text fields of the queue and the sitemap entries as (field_name, row_key, value, domain, ord_key, as_utc)."""
     row = F.col("id").cast("string")
+    # entries of one crawl have no order of their own: the hash of their text gives them one that stays the same
     seen = F.coalesce(F.unix_micros("first_seen"), F.lit(0))
-    # entries of one crawl have no order of their own: the hash gives them one that stays the same
-    entry_order = F.unix_date(F.timestamp_micros(seen).cast("date")).cast("long") * F.lit(1 << 24) + F.pmod(F.xxhash64("url"), F.lit(1 << 24))
     both = urls.select("domain", "id", F.explode(F.array(
         F.struct(F.lit("discovered_urls.pub_date").alias("f"), F.col("pub_date").alias("v"), F.lit(False).alias("u")),
         F.struct(F.lit("discovered_urls.discovered_at").alias("f"), F.col("discovered_at").alias("v"), F.lit(True).alias("u")),
     )).alias("x")).select(F.col("x.f").alias("field_name"), row.alias("row_key"), F.col("x.v").alias("value"), "domain", F.col("id").alias("ord_key"), F.col("x.u").alias("as_utc"))
-    return both.unionByName(_field(entries, "sitemap_entries.lastmod", "lastmod", F.col("url"), entry_order, False))
+    return both.unionByName(_field(entries, "sitemap_entries.lastmod", "lastmod", F.col("url"), seen, False))
+
+
+def moments_of(urls: DataFrame, entries: DataFrame, sites: DataFrame, canonical: bool) -> DataFrame:
+    """(field_name, row_key, utc) of all readable values, or only of those not in the ``canonical`` form; those in it always hold their chains."""
+    fields = moment_fields(urls, entries).filter(F.col("value").isNotNull()).withColumn("fixed", F.col("value").rlike(ts.CANONICAL))
+    out = resolve(fields, sites, source=["field_name", "domain"], zone_utc="as_utc", fixed="fixed")
+    return out.filter(F.lit(canonical) | ~F.col("fixed")).select("field_name", "row_key", ts.format_us(F.col("us")).alias("utc")).distinct()
 
 
 def found(urls: DataFrame, entries: DataFrame, sites: DataFrame) -> DataFrame:
     """(field_name, row_key, utc): the readable values not yet in the canonical form, in it."""
-    fields = moment_fields(urls, entries).filter(F.col("value").isNotNull() & ~F.col("value").rlike(ts.CANONICAL))
-    out = resolve(fields, sites, source=["field_name", "domain"], zone_utc="as_utc")
-    return out.select("field_name", "row_key", ts.format_us(F.col("us")).alias("utc")).distinct()
+    return moments_of(urls, entries, sites, False)

@@ -42,8 +42,7 @@ def _p7_found(s: SparkSession, d: str) -> DataFrame:
 def _p7_undeclared(s: SparkSession, d: str) -> DataFrame:
     """All moments with no date order declared: every order of day and month is chosen by Viterbi."""
     sites = table(s, d, "sites").withColumn("date_order", F.lit(None).cast("string"))
-    fields = moments.moment_fields(table(s, d, "discovered_urls"), table(s, d, "sitemap_entries")).filter("value IS NOT NULL")
-    return moments.resolve(fields, sites, source=["field_name", "domain"], zone_utc="as_utc").select("field_name", "row_key", moments.ts.format_us(F.col("us")).alias("utc")).distinct()
+    return moments.moments_of(table(s, d, "discovered_urls"), table(s, d, "sitemap_entries"), sites, True)
 
 
 def url_normalize(s: SparkSession, d: str) -> DataFrame:

@@ -85,31 +85,55 @@ def test_viterbi_equals_brute_force():
     assert abs(cost(us, order, moments._viterbi(us, order, costs), costs) - best) < 1e-9
 
 
-def test_batches_do_not_cut_a_chain():
+def _records(rng, n):
+    d = ts.DAY_US
+    us, order, cost = [], [], []
+    for at in range(n):
+        k = rng.choice([1, 1, 1, 2, 2, 4])
+        us.append([(at + rng.randrange(-90, 90)) * d for _ in range(k)])
+        order.append([1 + i % 2 for i in range(k)] if k > 1 else [rng.choice([0] * 5 + [1, 2])])
+        cost.append([rng.choice([0.0, 0.0, 1.5]) for _ in range(k)])
+    return us, order, cost
+
+
+def _total(us, order, cost, picked):
+    total, conv, last = 0.0, 0, None
+    for u, o, c, k in zip(us, order, cost, picked):
+        total += c[k] + (moments.SWITCH if o[k] and conv and o[k] != conv else 0.0)
+        conv = o[k] or conv
+        if last is not None and u[k] < last:
+            total += min(moments.BACK_MOST, (last - u[k]) / ts.DAY_US * moments.BACK_DAY)
+        last = u[k]
+    return total
+
+
+def test_blocks_put_together_are_the_whole_chain():
+    import random
+
+    rng = random.Random(4)
+    for n, size in ((1, 1), (7, 3), (60, 1), (60, 7), (200, 50), (200, 300)):
+        us, order, cost = _records(rng, n)
+        parts = [slice(i, i + size) for i in range(0, n, size)]
+        ends = moments._stitch([(us[p][0], moments._through(us[p], order[p], cost[p])) for p in parts])
+        picked = [k for p, (conv, first, end) in zip(parts, ends) for k in moments._between(us[p], order[p], cost[p], conv, first, end)]
+        assert abs(_total(us, order, cost, picked) - _total(us, order, cost, moments._viterbi(us, order, cost))) < 1e-9
+
+
+def test_blocks_of_a_table_are_the_whole_chain(spark, monkeypatch):
     import random
 
-    import pandas as pd
-
-    rng, d = random.Random(4), ts.DAY_US
-    rows = []
-    for source, n in ((1, 300), (2, 1), (3, 200)):
-        for at in range(n):
-            several = rng.random() < 0.3
-            us = [(at + rng.randrange(-90, 90)) * d, (at + rng.randrange(-90, 90)) * d] if several else [(at + rng.randrange(-5, 5)) * d]
-            ords = [1, 2] if several else [rng.choice([0] * 20 + [1, 2])]
-            rows.append((at, source, at, us[0], ords[0], *((us, ords, [0.0, 0.0]) if several else (None, None, None))))
-    names = ["ord_key", "_source", "_at", "_us0", "_ord0", "_us", "_ord", "_cost"]
-    as_arrays = [tuple(moments.np.array(x) if isinstance(x, list) else x for x in r) for r in rows]
-    want = {}
-    for source in (1, 2, 3):
-        own = [r for r in rows if r[1] == source]
-        us = [r[5] or [r[3]] for r in own]
-        for r, u, k in zip(own, us, moments._viterbi(us, [r[6] or [r[4]] for r in own], [r[7] or [0.0] for r in own])):
-            want[source * 1000 + r[0]] = u[k]
-    for size in (1, 7, 64, 1000):
-        batches = (pd.DataFrame(as_arrays[i : i + size], columns=names).assign(key=lambda x: x["_source"] * 1000 + x["_at"]) for i in range(0, len(rows), size))
-        out = pd.concat(list(moments._chains(batches)))
-        assert len(out) == len(rows) and dict(zip(out["key"], out["us"])) == want
+    rng = random.Random(9)
+    values = []
+    for k in range(400):
+        day, month = rng.randrange(1, 29), rng.randrange(1, 13)
+        values.append((rng.choice([f"{month:02}/{day:02}/2024 10:00", f"2024-{month:02}-{day:02}T10:00:00Z", f"2024-{month:02}-{day:02}T10:00:00.000000Z"]), "free.test"))
+    df = spark.createDataFrame([(i, v, d) for i, (v, d) in enumerate(values)], "ord_key long, value string, domain string").withColumn("fixed", F.col("value").rlike(ts.CANONICAL))
+    many, sizes = [], (1 << 16, 16)
+    for size in sizes:
+        monkeypatch.setattr(moments, "BLOCK", size)
+        many.append({r.ord_key: r.us for r in moments.resolve(df.repartition(5), sites(spark), source=["domain"], fixed="fixed").collect()})
+    assert many[0] == many[1] and len(many[0]) == 400
+    assert {k: u for k, u in many[0].items() if "T" in values[k][0]} == {r.ord_key: r.us for r in df.filter("value LIKE '%T%'").select("ord_key", F.unix_micros(F.to_timestamp("value")).alias("us")).collect()}
 
 
 def test_one_crawl_is_one_chain(spark):
