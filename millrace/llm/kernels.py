@@ -54,12 +54,12 @@ def stretch(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
 
 
 def chunks(texts: list[str]):
-    """Ranges (i, j) of ``texts`` of about ``CHUNK`` characters."""
+    """Ranges (i, j) of ``texts`` of about ``CHUNK`` characters, and so of fewer than 2^20 texts with a word."""
     i = 0
     while i < len(texts):
         j, size = i, 0
         while j < len(texts) and (size < CHUNK or j == i):
-            size += len(texts[j])
+            size += len(texts[j]) + 1
             j += 1
         yield i, j
         i = j
@@ -113,31 +113,33 @@ def shingles(h: np.ndarray, doc: np.ndarray, n_docs: int, size: int) -> tuple[np
     return value[order], where[order]
 
 
+#: the bits of each byte as bytes, eight in one number: 255 of these add up without a carry
+_SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).view(np.uint64).ravel()
+
+
 def _simhash(s: np.ndarray, at: np.ndarray, n_docs: int) -> tuple[np.ndarray, np.ndarray]:
     """(fingerprint, hash of all shingles in order) of each text, from its shingles."""
     sim, whole = np.zeros(n_docs, np.uint64), np.zeros(n_docs, np.uint64)
     if len(s):
         own, first = np.unique(at, return_index=True)
-        bits = np.unpackbits(s.view(np.uint8).reshape(-1, 8), axis=1)
-        ones = np.add.reduceat(bits, first, axis=0, dtype=np.int32)
         total = np.diff(np.append(first, len(s)))
+        place = np.arange(len(s)) - np.repeat(first, total)
+        part = np.flatnonzero(place % 255 == 0)
+        some = np.add.reduceat(_SPREAD[s.view(np.uint8).reshape(-1, 8)], part, axis=0).view(np.uint8).reshape(-1, 64)
+        ones = np.add.reduceat(some, np.searchsorted(part, first), axis=0, dtype=np.int32)
         sim[own] = np.packbits(2 * ones > total[:, None], axis=1).view(np.uint64).ravel()
-        position = mix(np.arange(len(s), dtype=np.uint64) - np.repeat(first, total).astype(np.uint64))
-        whole[own] = np.add.reduceat(mix(s ^ position), first)
+        whole[own] = np.add.reduceat(mix(s ^ mix(place.astype(np.uint64))), first)
     return sim, whole
 
 
 def _bottoms(s: np.ndarray, at: np.ndarray, n_docs: int, share: float) -> tuple[np.ndarray, list[np.ndarray]]:
-    order = np.lexsort((s, at))
-    s, at = s[order], at[order]
-    new = np.ones(len(s), bool)
-    new[1:] = (s[1:] != s[:-1]) | (at[1:] != at[:-1])
-    s, at = s[new], at[new]
-    n = np.bincount(at, minlength=n_docs)
+    # text and the upper 44 bits of a shingle in one number: sorted by text, then hash
+    key = np.unique(at.astype(np.uint64) << np.uint64(44) | s >> np.uint64(20))
+    n = np.bincount((key >> np.uint64(44)).astype(np.int64), minlength=n_docs)
     first = np.cumsum(n) - n
     take = np.where(n > 0, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1, 0)
-    half = (s >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return n, [np.unique(half[a : a + k]) for a, k in zip(first, take)]
+    half = (key >> np.uint64(12)).astype(np.uint32).view(np.int32)
+    return n, [half[a : a + k] for a, k in zip(first.tolist(), take.tolist())]
 
 
 def prints(texts: list[str], size: int, share: float, figures: bool = True) -> dict[str, object]:

@@ -11,6 +11,8 @@ import pandas as pd
 BLANK, SITE, PROSE, GRID, SHORT = range(5)
 #: Least shares of the titles, for a word to stay in a headline's shape and for a shape to be kept.
 WORD_SHARE, SHAPE_SHARE = 0.04, 0.0004
+#: ASCII letters and digits, as bytes.
+ALNUM = bytes(x for x in range(128) if chr(x).isalnum())
 #: Tags that a sign of page furniture counts for.
 MARK = 14
 
@@ -43,7 +45,7 @@ _INSIDE = re.compile(
     r"\(\d+ (?:min(?:ute)?s?(?: read)?|shares?|comments?|views?)\)$|\b(?:markets|filings|news|business|economy|politics|city|energy|company|companies) desk, \S+$|stays free thanks|delayed by (?:at least )?\d+ minutes"
 )
 #: fixed values: a part of every wording that may stand within a line, to pass over lines that have none
-_INSIDE_PARTS = ("small files", "cookies", "your device", "your browser", "partner", "your consent", "your cookie", "your privacy", "accept all", "reject optional", "all rights", "issn", "advice", "not a", "not invitation", "not offer", "not investment", "not financial", "not recommendation", "no warranty", "permission", "consent", "may hold", "may lag", ")", " desk,", "stays free", "delayed by")
+_INSIDE_PARTS = ("small files", "cookies", "your device", "your browser", "partner", "your consent", "your cookie", "your privacy", "accept all", "reject optional", "all rights", "issn", "advice", "not a", "not invitation", "not offer", "not investment", "not financial", "not recommendation", "no warranty", "permission", "consent", "may hold", "may lag", " desk,", "stays free", "delayed by")
 _BYLINE = re.compile(r"^(?:by|written by|reported by|von|par|por|door)(?: [^\s\d,.;:]+){2,4}(?:,? (?:for|in|at|für|pour|para|voor)(?: [^\s\d.;:]+){1,3})?$")
 _NAV_SPLIT = re.compile(r"\s*(?:\||>|»|›|·|•| / )\s*")
 
@@ -120,13 +122,15 @@ class Line:
 def _grid(s: str, text: str, words: int, function: bool) -> bool:
     """Table rows, labels in a row, encoded or unreadable characters, heaps of words."""
     n = len(s)
-    letters, digits = sum(map(str.isalpha, s)), sum(map(str.isdigit, s))
-    if letters + digits < 0.6 * (n - s.count(" ") - s.count("\t")):
-        return True  # mostly symbols
+    blanks = s.count(" ") + s.count("\t")
+    symbols = len(s.encode().translate(None, ALNUM)) - blanks if s.isascii() else n - blanks - sum(map(str.isalpha, s)) - sum(map(str.isdigit, s))
+    if symbols > 0.4 * (n - blanks):
+        return True
     if n > 40 and max(map(len, s.split())) >= 40 and "://" not in s:
         return True
     if function:
         return False
+    digits = sum(map(s.count, "0123456789"))
     if digits >= 0.3 * n and n >= 3:
         return True
     if s.count(",") >= 4 or s.count(";") >= 2 or "\t" in s or "|" in s and digits:
@@ -134,15 +138,21 @@ def _grid(s: str, text: str, words: int, function: bool) -> bool:
     return words >= 3 and text[-1:] not in ".!?"
 
 
-def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines) -> int:
+def parts_in(body: str) -> tuple[str, ...]:
+    """Those pieces of the wording within lines that a body has at all."""
+    low = body.lower()
+    return tuple(x for x in _INSIDE_PARTS if x in low)
+
+
+def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines, parts: tuple[str, ...]) -> int:
     """Tags that a line's signs of being furniture or a link count for; a line has no bound of length, it only outweighs them."""
     bare = text.rstrip(".!")
     tags = 0
-    if site and site in text.replace(" ", ""):
+    if site and (site in text or site in text.replace(" ", "")):
         tags += MARK
     if _START.match(bare):
         tags += MARK
-    if any(x in bare for x in _INSIDE_PARTS) and _INSIDE.search(bare):
+    if (bare.endswith(")") or any(x in bare for x in parts)) and _INSIDE.search(bare):
         tags += MARK
     if _BYLINE.match(bare):
         tags += MARK
@@ -155,8 +165,10 @@ def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines)
     return tags
 
 
-def read_line(line: str, site: str, headlines: Headlines) -> Line:
-    """What a line is by itself: prose, part of a grid, or too short to tell, and how many tags its signs of furniture count for; SITE if they outweigh it."""
+def read_line(line: str, site: str, headlines: Headlines, parts: tuple[str, ...] = _INSIDE_PARTS) -> Line:
+    """What a line is by itself: prose, part of a grid, or too short to tell, and how many tags its signs of furniture count for; SITE if they outweigh it.
+
+    ``parts`` are those of ``parts_in`` its body."""
     s = line.strip()
     if not s:
         return Line(BLANK)
@@ -166,7 +178,7 @@ def read_line(line: str, site: str, headlines: Headlines) -> Line:
     chars = len(text)
     function = not FUNCTION.isdisjoint(words) or not FUNCTION.isdisjoint(w.strip(".,;:!?\"'()") for w in words)
     stop = text[-1:] in '.!?"…:' and not text.endswith("...")
-    tags = _marks(s, text, words, site, headlines)
+    tags = _marks(s, text, words, site, headlines, parts)
     if tags * 20 > chars:
         kind = SITE
     elif _grid(s, text, n, function) or not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«·»°€£©") > 0.08 * len(s):

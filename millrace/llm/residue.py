@@ -29,6 +29,8 @@ SHINGLE, SIMILAR, HAMMING = 5, 0.8, 20
 TABLES, KEY_BITS = 48, 14
 #: Texts of a hop whose keys (about 100 of 30 bytes each) may be broadcast; beyond that both sides are shuffled by key.
 BROADCAST_TEXTS = 10_000
+#: Pairs whose ids (16 bytes a pair) may be broadcast.
+VERIFIED_PAIRS = 500_000
 #: Words of a sentence that no page of residue alone has.
 STORY_WORDS = 12
 
@@ -82,18 +84,22 @@ def residue_kind(body: str, site: str = "") -> str:
     low = body.lower()
     if any(x in low for x in _STAND_IN_PARTS) and _STAND_IN.search(body):
         return "stand_in"
-    first = True
-    for line in low.split("\n"):
-        if len(line) < 3:
-            continue
-        code = len(line) < 60 and ("40" in line or "41" in line or "50" in line)
-        if (code or any(x in line for x in _NOTICE_PARTS)) and _NOTICE.match(said := L.plain(line).rstrip(".! ")):
-            # a number alone is a status where it heads the page; further down it's a figure of the article
-            if first or not said.isdigit():
-                return "notice"
-        first = first and not line.strip()
-    for line in body.split("\n"):
-        if len(line) > 40 and _filler(line.strip()):
+    rows = low.split("\n")
+    parts = [x for x in _NOTICE_PARTS if x in low]
+    codes = "40" in low or "41" in low or "50" in low
+    if parts or codes:
+        first = True
+        for line in rows:
+            if len(line) < 3:
+                continue
+            code = codes and len(line) < 60 and ("40" in line or "41" in line or "50" in line)
+            if (code or any(x in line for x in parts)) and _NOTICE.match(said := L.plain(line).rstrip(".! ")):
+                # a number alone is a status where it heads the page; further down it's a figure of the article
+                if first or not said.isdigit():
+                    return "notice"
+            first = first and not line.strip()
+    for line, said in zip(body.split("\n"), rows):
+        if len(line) > 40 and not (" the " in said or " and " in said or " of " in said or " in " in said) and _filler(line.strip()):
             return "filler"
     return ""
 
@@ -166,9 +172,10 @@ def _same_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def verified(pairs: DataFrame, articles: DataFrame) -> DataFrame:
-    """``pairs`` whose bodies share at least ``SIMILAR`` of their shingles."""
+    """``pairs`` (stored) whose bodies share at least ``SIMILAR`` of their shingles. Only bodies of the pairs are moved; few ids are broadcast."""
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = articles.select("id", "body_text", "source_domain").filter("body_text IS NOT NULL").join(ids, "id", "left_semi").dropDuplicates(["id"])
+    few = F.broadcast if small_enough(pairs, VERIFIED_PAIRS) else lambda x: x
+    texts = articles.select("id", "body_text", "source_domain").filter("body_text IS NOT NULL").join(few(ids), "id", "left_semi").dropDuplicates(["id"])
     side = lambda x: texts.select(F.col("id").alias(x), F.col("body_text").alias(f"text_{x}"), F.col("source_domain").alias(f"site_{x}"))
     return pairs.join(side("a"), "a").join(side("b"), "b").mapInPandas(_same_text, "a long, b long")
 
@@ -199,7 +206,7 @@ def hop(rest: DataFrame, asked: DataFrame, articles: DataFrame) -> DataFrame:
     hint = F.broadcast if small_enough(asked, BROADCAST_TEXTS) else lambda x: x
     bands = asked.select(F.explode(F.sequence(F.col("band") - 1, F.col("band") + 1)).alias("band")).distinct()
     rest = rest.join(F.broadcast(bands), "band", "left_semi")  # a few dozen sizes at most
-    nearest = table_pairs(rest, asked, hint).groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b"))
+    nearest = materialize(table_pairs(rest, asked, hint).groupBy("a").agg(F.min_by("b", F.struct("bits", "b")).alias("b")), "nearest")
     met = materialize(verified(nearest, articles).select(F.col("a").alias("id")), "met")
     left = materialize(least_pairs(rest.join(met, "id", "left_anti"), asked, hint), "least")
     if left.isEmpty():
