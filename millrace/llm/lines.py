@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import pandas as pd
@@ -108,7 +109,7 @@ def site_name(domain: str | None) -> str:
     return max(parts, key=len, default="") if parts and len(max(parts, key=len)) >= 5 else ""
 
 
-@dataclass
+@dataclass(slots=True)
 class Line:
     kind: int
     text: str = ""
@@ -138,13 +139,26 @@ def _grid(s: str, text: str, words: int, function: bool) -> bool:
     return words >= 3 and text[-1:] not in ".!?"
 
 
-def parts_in(body: str) -> tuple[str, ...]:
+def finder(parts: tuple[str, ...]):
+    """A function that gives those of ``parts`` which a text has, in one scan."""
+    import ahocorasick
+
+    machine = ahocorasick.Automaton()
+    for x in parts:
+        machine.add_word(x, x)
+    machine.make_automaton()
+    return lambda text: {x for _, x in machine.iter(text)}
+
+
+_inside = finder(_INSIDE_PARTS)
+
+
+def parts_in(body: str) -> set[str]:
     """Those pieces of the wording within lines that a body has at all."""
-    low = body.lower()
-    return tuple(x for x in _INSIDE_PARTS if x in low)
+    return _inside((" ".join(body.split()) if "  " in body or "\t" in body else body).lower())
 
 
-def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines, parts: tuple[str, ...]) -> int:
+def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines, parts: Collection[str]) -> int:
     """Tags that a line's signs of being furniture or a link count for; a line has no bound of length, it only outweighs them."""
     bare = text.rstrip(".!")
     tags = 0
@@ -154,9 +168,9 @@ def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines,
         tags += MARK
     if (bare.endswith(")") or any(x in bare for x in parts)) and _INSIDE.search(bare):
         tags += MARK
-    if _BYLINE.match(bare):
+    if bare[:1] in "bwrvp" and _BYLINE.match(bare):
         tags += MARK
-    if "|" in s or ">" in s or " / " in s or "»" in s or "·" in s or "•" in s or "›" in s:
+    if "|" in s or ">" in s or " / " in s or not s.isascii() and ("»" in s or "·" in s or "•" in s or "›" in s):
         pieces = [p for p in _NAV_SPLIT.split(s) if p]
         if len(pieces) >= 3 and not any(map(str.isdigit, s)) and sum(map(str.isalpha, s)) > 0.6 * len("".join(words)) and len(words) <= 5 * len(pieces):
             tags += len(words) + len(pieces)
@@ -165,7 +179,7 @@ def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines,
     return tags
 
 
-def read_line(line: str, site: str, headlines: Headlines, parts: tuple[str, ...] = _INSIDE_PARTS) -> Line:
+def read_line(line: str, site: str, headlines: Headlines, parts: Collection[str] = _INSIDE_PARTS) -> Line:
     """What a line is by itself: prose, part of a grid, or too short to tell, and how many tags its signs of furniture count for; SITE if they outweigh it.
 
     ``parts`` are those of ``parts_in`` its body."""
@@ -201,7 +215,8 @@ def headlines_of(articles, most: int | None = None) -> Headlines:
     if most is not None:
         titled = titled.orderBy(F.xxhash64("id"), "title").limit(most)
     titled = titled.select("title")
-    n = titled.count() or 1
+    size = titled.agg(F.count("*").alias("n"), F.max(F.size(F.split(F.trim("title"), r"\s+"))).alias("longest")).first()
+    n, longest = size["n"] or 1, size["longest"] or 0
 
     def often(tokens, least: float) -> list[str]:
         def run(batches):
@@ -213,5 +228,4 @@ def headlines_of(articles, most: int | None = None) -> Headlines:
         return [r["token"] for r in counts.filter(F.col("c") >= F.lit(least)).collect()]
 
     kept = Headlines(frozenset(often(title_words, max(2, WORD_SHARE * n))))
-    longest = titled.agg(F.max(F.size(F.split(F.trim("title"), r"\s+")))).first()[0] or 0
     return Headlines(kept.kept, frozenset(s for s in often(lambda title: [kept.shape(plain(title))], max(2, SHAPE_SHARE * n)) if len(s) > 1), longest)

@@ -159,7 +159,7 @@ def ratios(read: list[L.Line], at: list[int], tags: dict[int, int], heads: set[i
 def main_lines(body: str, site: str, headlines: L.Headlines) -> list[bool | None]:
     """For each line whether it is main body; None for blank lines. A line of markup alone isn't."""
     rows, tags, heads = page_lines(body)
-    parts = L.parts_in(" ".join(body.split()) if "  " in body or "\t" in body else body)
+    parts = L.parts_in(body)
     read = [L.read_line(r, site, headlines, parts) for r in rows]
     at = [i for i, x in enumerate(read) if x.kind != L.BLANK]
     out: list[bool | None] = [None] * len(read)

@@ -49,11 +49,15 @@ def layout(rows: list[str]) -> tuple[float, float, float]:
     aligned = 0.0
     for d in _DELIMITERS:
         counts = [r.count(d) for r in rows]
-        if max(counts) == 0:
+        if not any(counts):
             continue
         aligned = max(aligned, sum(a == b and a >= (1 if d in "|\t" else 2) for a, b in zip(counts, counts[1:])) / pairs)
-    heads = [(len(r) - len(r.lstrip()), "9" if r.lstrip()[:1].isdigit() else "a" if r.lstrip()[:1].isalpha() else r.lstrip()[:1]) for r in rows]
-    period = sum(a == b and a[1] != "a" for a, b in zip(heads, heads[1:])) / pairs
+    heads = []
+    for r in rows:
+        bare = r.lstrip()
+        mark = bare[:1]
+        heads.append(None if mark.isalpha() else (len(r) - len(bare), "9" if mark.isdigit() else mark))
+    period = sum(a == b and a is not None for a, b in zip(heads, heads[1:])) / pairs
     return aligned, period, _autocorrelation([len(r) for r in rows])
 
 

@@ -58,6 +58,7 @@ _NOTICE = re.compile(
 #: fixed values: a part of every wording above, to pass over texts and lines that have none
 _STAND_IN_PARTS = ("tk", "to come", "to follow", "lorem", "dolor sit", "placeholder", "dummy", "sample", "undefined", "null", " nan", "nan%", "none%", "none %", "$none", "[object", "traceback", "error", "exception", "stack trace", "php ", "err_")
 _NOTICE_PARTS = ("not found", "sorry", "error", "gateway", "unavailable", "denied", "forbidden", "timed", "oops", "no longer", "maintenance", "expired", "script", "http", " js")
+_parts = L.finder(_STAND_IN_PARTS + _NOTICE_PARTS)
 _LATIN = re.compile(r"^[^\W\d_]+$")
 
 
@@ -82,10 +83,11 @@ def residue_kind(body: str, site: str = "") -> str:
     if ("{" in body or "[" in body or "__" in body or "@@" in body or "_" in body and "%" in body or "<" in body) and _PLACEHOLDER.search(body):
         return "placeholder"
     low = body.lower()
-    if any(x in low for x in _STAND_IN_PARTS) and _STAND_IN.search(body):
+    have = _parts(low)
+    if not have.isdisjoint(_STAND_IN_PARTS) and _STAND_IN.search(body):
         return "stand_in"
     rows = low.split("\n")
-    parts = [x for x in _NOTICE_PARTS if x in low]
+    parts = have.intersection(_NOTICE_PARTS)
     codes = "40" in low or "41" in low or "50" in low
     if parts or codes:
         first = True
