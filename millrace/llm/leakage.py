@@ -8,6 +8,7 @@ sides word by word and kept from ``SHARED`` words on, with offsets mapped back t
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 
 #: Consecutive words that make a leak, and words of a pattern: any SHARED words in a row hold one that starts at a multiple of STEP.
 SHARED, STEP = 13, 7
-#: Evaluation texts are held on every worker: more than so many characters are refused.
-MOST_CHARS = 200_000_000
+#: Characters of evaluation texts that one automaton holds (about 20 bytes each on a worker); more of them take further scans.
+MOST_CHARS = 20_000_000
 
 _DROP = re.compile(r"[^\w\s]|_")
 _TOKEN = re.compile(r"\S+")
@@ -88,24 +89,44 @@ class Automaton:
         return list(best)
 
 
-def _items(items: DataFrame) -> list[tuple[int, str]]:
-    """The evaluation texts, if they are as few as they should be."""
-    size = items.agg(F.sum(F.length("item_text"))).first()[0] or 0
-    if size > MOST_CHARS:
-        raise ValueError(f"evaluation texts of {size} characters are too many for one automaton")
-    return [(r["item_id"], r["item_text"]) for r in items.select("item_id", "item_text").filter("item_text IS NOT NULL").dropDuplicates().collect()]
+_machines: dict[str, Automaton] = {}
+
+
+def machine_of(name: str, items: list[tuple[int, str]]) -> Automaton:
+    """The automaton of ``items``, built once per worker and kept under ``name`` until another is asked for."""
+    if name not in _machines:
+        _machines.clear()
+        _machines[name] = Automaton(items)
+    return _machines[name]
+
+
+def _groups(items: DataFrame) -> list[DataFrame]:
+    """The evaluation texts in parts of at most about ``MOST_CHARS`` characters, by a hash of their ids."""
+    own = items.select("item_id", "item_text").filter("item_text IS NOT NULL").dropDuplicates()
+    size = own.agg(F.sum(F.length("item_text"))).first()[0] or 0
+    n = -(-size // MOST_CHARS) or 1
+    return [own.filter(F.pmod(F.xxhash64("item_id"), F.lit(n)) == k) if n > 1 else own for k in range(n)]
 
 
 def passages(documents: DataFrame, items: DataFrame) -> DataFrame:
     """(doc_id, item_id, start, stop, words): where in the original text a shared passage stands.
 
     Null and empty texts give no row; a text that an item shares with several documents, or several items
-    with one, gives a row each; repeated rows repeat.
+    with one, gives a row each; repeated rows repeat. More than ``MOST_CHARS`` of evaluation texts are scanned for in several passes.
     """
-    held = documents.sparkSession.sparkContext.broadcast(_items(items))
+    parts = [_scan(documents, part) for part in _groups(items)]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def _scan(documents: DataFrame, items: DataFrame) -> DataFrame:
+    name = uuid.uuid4().hex
+    held = documents.sparkSession.sparkContext.broadcast([(r["item_id"], r["item_text"]) for r in items.collect()])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        machine = Automaton(held.value)
+        machine = machine_of(name, held.value)
         for pdf in batches:
             rows = []
             for doc, text in zip(pdf["doc_id"], pdf["text"]):

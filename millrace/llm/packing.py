@@ -17,11 +17,13 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 TOKENIZER = os.environ.get("MILLRACE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
 #: fixed value: how the byte-level vocabulary splits text before merging
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Steps of length in which patterns are fitted, sweeps of the fit, rows of one length that one task ranks.
-UNITS, SWEEPS, RANK_ROWS = 512, 8, 1_000_000
+#: Steps of length in which patterns are fitted, sweeps of the fit, rows of one length that one task ranks, targets spread at a time, units up to which four lengths make a pattern, power of the length in a residual's weight.
+UNITS, SWEEPS, RANK_ROWS, TARGETS, FOUR_UNITS, POWER = 1024, 8, 1_000_000, 500, 128, 2.0
 
 _encodings: dict[str, object] = {}
 
@@ -60,29 +62,37 @@ class Group:
 
 
 def _patterns(units: int) -> list[tuple[int, ...]]:
-    """Two or three lengths, in units, that fill a container to the unit."""
+    """Two or three lengths, in units, that fill a container to the unit; four where the units are coarse enough for few such patterns."""
     pairs = [(a, units - a) for a in range((units + 1) // 2, units)]
     triples = [(a, b, units - a - b) for a in range((units + 2) // 3, units - 1) for b in range((units - a + 1) // 2, min(a, units - a - 1) + 1)]
-    return pairs + triples
+    fours = [(a, *p) for a in range((units + 3) // 4, units - 2) for p in _parts(units - a, a)] if units <= FOUR_UNITS else []
+    return pairs + triples + fours
+
+
+def _parts(total: int, most: int) -> list[tuple[int, int, int]]:
+    """Three lengths of at most ``most``, falling, that make ``total``."""
+    return [(b, c, total - b - c) for b in range((total + 2) // 3, min(most, total - 2) + 1) for c in range((total - b + 1) // 2, min(b, total - b - 1) + 1)]
 
 
-def fit_repeats(counts: np.ndarray, patterns: list[tuple[int, ...]], sweeps: int = SWEEPS) -> np.ndarray:
+def fit_repeats(counts: np.ndarray, patterns: list[tuple[int, ...]], sweeps: int = SWEEPS, power: float = POWER) -> np.ndarray:
     """Non-negative least squares: repeats x of ``patterns`` with A x near ``counts`` (index: length in units).
 
-    Coordinate descent on the residual; a column of A has at most three entries, so a step costs three look-ups.
+    A residual weighs the more the longer its items, which are the harder to place afterwards. Coordinate descent on the residual; a
+    column of A has at most four entries, so a step costs four look-ups.
     """
     left = counts.astype(float).tolist()
+    weight = ((np.arange(len(counts)) / max(len(counts) - 1, 1)) ** power).tolist()
     x = [0.0] * len(patterns)
-    columns = [tuple((u, p.count(u)) for u in sorted(set(p))) for p in patterns]
+    columns = [tuple((u, p.count(u), p.count(u) * weight[u]) for u in sorted(set(p))) for p in patterns]
+    scale = [sum(m * w for _, m, w in column) for column in columns]
     for _ in range(sweeps):
         moved = 0.0
         for k, column in enumerate(columns):
-            slope = sum(left[u] * m for u, m in column)
-            new = x[k] + slope / sum(m * m for _, m in column)
+            new = x[k] + sum(left[u] * w for u, _, w in column) / scale[k]
             step = (new if new > 0 else 0.0) - x[k]
             if step:
                 x[k] += step
-                for u, m in column:
+                for u, m, _ in column:
                     left[u] -= m * step
                 moved = max(moved, abs(step))
         if moved < 0.5:
@@ -90,14 +100,15 @@ def fit_repeats(counts: np.ndarray, patterns: list[tuple[int, ...]], sweeps: int
     return np.array(x)
 
 
-def plan(histogram: dict[int, int], capacity: int) -> list[Group]:
-    """Containers for all lengths 1..capacity of ``histogram``: groups of equal ones, which use every item once.
+def plan(histogram: dict[int, int], capacity: int) -> tuple[list[Group], bool]:
+    """(containers for all lengths 1..capacity of ``histogram``, whether they come from fitted patterns): groups of equal ones, which use every item once.
 
-    Fitted patterns can leave a worse rest than they gain, so the rest alone is packed as well and the
-    plan with fewer containers is taken (the fitted one of two as good).
+    Where the histogram has so few items of a length that rounding leaves most of them over, the rest packed alone can need fewer
+    containers than the fitted plan; only then it's taken.
     """
     fitted, rest = _plan(histogram, capacity, True), _plan(histogram, capacity, False)
-    return fitted if sum(g.repeats for g in fitted) <= sum(g.repeats for g in rest) else rest
+    better = sum(g.repeats for g in fitted) <= sum(g.repeats for g in rest)
+    return (fitted, True) if better else (rest, False)
 
 
 def _plan(histogram: dict[int, int], capacity: int, fit: bool) -> list[Group]:
@@ -117,7 +128,7 @@ def _plan(histogram: dict[int, int], capacity: int, fit: bool) -> list[Group]:
             counts[u] = sum(left[n] for n in ns)
     patterns = [p for p in _patterns(top) if all(counts[u] for u in p)] if fit and top >= 3 else []
     if patterns:
-        for p, repeats in zip(patterns, np.floor(fit_repeats(counts, patterns) + 1e-9).astype(int)):
+        for p, repeats in zip(patterns, np.floor(fit_repeats(counts, patterns) + 1e-9).astype(int).tolist()):
             while repeats > 0:
                 # the longest left of each unit; the run lasts as long as these lengths do
                 need: dict[int, int] = {}
@@ -188,9 +199,13 @@ def slots(groups: list[Group], key: int) -> pd.DataFrame:
 
 def pieces(counts: DataFrame, targets: DataFrame) -> DataFrame:
     """(target_id, capacity, doc_id, piece, first_token, tokens): a text is one piece unless it exceeds the capacity."""
-    caps = targets.filter("capacity_tokens > 0").select("target_id", F.col("capacity_tokens").cast("int").alias("capacity")).dropDuplicates(["target_id"])
-    caps_array = F.array(*[F.struct(F.lit(r["target_id"]).alias("target_id"), F.lit(r["capacity"]).alias("capacity")) for r in caps.orderBy("target_id").limit(1000).collect()])
-    each = counts.select("doc_id", "n_tokens", F.explode(caps_array).alias("t")).select("t.*", "doc_id", "n_tokens")
+    caps = targets.filter("capacity_tokens > 0").select("target_id", F.col("capacity_tokens").cast("int").alias("capacity")).dropDuplicates(["target_id"]).orderBy("target_id").collect()
+    each = None
+    for i in range(0, max(len(caps), 1), TARGETS):
+        some = F.array(*[F.struct(F.lit(r["target_id"]).alias("target_id"), F.lit(r["capacity"]).alias("capacity")) for r in caps[i : i + TARGETS]])
+        some = some if caps else some.cast("array<struct<target_id int, capacity int>>")
+        part = counts.select("doc_id", "n_tokens", F.explode(some).alias("t")).select("t.*", "doc_id", "n_tokens")
+        each = part if each is None else each.unionByName(part)
     last = F.greatest(F.lit(0), F.ceil(F.col("n_tokens") / F.col("capacity")).cast("int") - 1)
     each = each.select("target_id", "capacity", "doc_id", "n_tokens", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     first = F.col("piece") * F.col("capacity")
@@ -198,20 +213,22 @@ def pieces(counts: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def pack(counts: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target_id, doc_id, piece, first_token, tokens, container): every piece in one container of its target.
+    """(target_id, doc_id, piece, first_token, tokens, container, fitted): every piece in one container of its target; whether its plan was fitted.
 
     Containers are numbered from 0 per target. Items without tokens take no room and lie in container 0.
     Equal items are told apart by rank, so ties and repeated rows each have a place; no documents or no targets give no row.
     """
     spark = counts.sparkSession
-    items = pieces(counts, targets).withColumn("_h", F.xxhash64("doc_id", "piece"))
+    items = pieces(materialize(counts, "tokens"), targets).withColumn("_h", F.xxhash64("doc_id", "piece"))
     histogram = items.groupBy("target_id", "capacity", "tokens").count().collect()  # at most a row per token of capacity
     most = max((r["count"] for r in histogram), default=0)
     blocks = max(1, -(-most // RANK_ROWS) * 4 if most > RANK_ROWS else 1)
-    tables = []
+    tables, fitted = [], set()
     for target, capacity in sorted({(r["target_id"], r["capacity"]) for r in histogram}):
         own = {r["tokens"]: r["count"] for r in histogram if r["target_id"] == target}
-        tables.append(slots(plan(own, capacity), target))
+        groups, by_fit = plan(own, capacity)
+        tables.append(slots(groups, target))
+        fitted |= {target} if by_fit else set()
     table = pd.concat(tables, ignore_index=True) if tables else slots([], 0)
     table = table.sort_values(["key", "tokens", "rank0"], ignore_index=True)
     held = spark.sparkContext.broadcast({(int(k), int(n)): (x["rank0"].to_numpy(), x["each"].to_numpy(), x["container0"].to_numpy()) for (k, n), x in table.groupby(["key", "tokens"])})
@@ -239,10 +256,10 @@ def pack(counts: DataFrame, targets: DataFrame) -> DataFrame:
                 container[at] = base[k] + (rank[at] - rank0[k]) // each[k]
             yield pdf.drop(columns="rank").assign(container=container)
 
-    return ranked.mapInPandas(place, "target_id int, doc_id long, piece int, first_token int, tokens int, container long")
+    return ranked.mapInPandas(place, "target_id int, doc_id long, piece int, first_token int, tokens int, container long").withColumn("fitted", F.col("target_id").isin(*sorted(fitted)) if fitted else F.lit(False))
 
 
 def fill(packed: DataFrame, targets: DataFrame) -> DataFrame:
-    """(target_id, containers, tokens, filled): how full the containers of each target are."""
-    total = packed.groupBy("target_id").agg((F.max("container") + 1).alias("containers"), F.sum(F.col("tokens").cast("long")).alias("tokens"))
-    return total.join(targets, "target_id").select("target_id", "containers", "tokens", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("filled"))
+    """(target_id, containers, tokens, fitted, filled): how full the containers of each target are, and whether patterns were fitted."""
+    total = packed.groupBy("target_id").agg(F.max("fitted").alias("fitted"), (F.max("container") + 1).alias("containers"), F.sum(F.col("tokens").cast("long")).alias("tokens"))
+    return total.join(targets, "target_id").select("target_id", "containers", "tokens", "fitted", (F.col("tokens") / (F.col("containers") * F.col("capacity_tokens"))).alias("filled"))

@@ -36,6 +36,13 @@ def test_not_letter_by_letter(spark):
     assert leaks(spark, [], [(1, ITEM)]) == [] and leaks(spark, [(1, ITEM, 0, "")], []) == []
 
 
+def test_more_items_than_one_automaton_holds(spark, monkeypatch):
+    monkeypatch.setattr(leakage, "MOST_CHARS", 200)
+    items = [(i, " ".join(f"w{i}x{k}" for k in range(20))) for i in range(12)]
+    docs = [(i, "before " + t + " after", 0, "") for i, t in items]
+    assert leaks(spark, docs, items) == [(i, i) for i in range(12)]
+
+
 def test_offsets_lead_back_to_the_text(spark):
     text = "Before.  " + ITEM.upper().replace(" ", ",  ") + " - after"
     r = leakage.passages(spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(9, ITEM)], "item_id long, item_text string")).first()
@@ -58,7 +65,7 @@ def test_scan_equals_brute_force(seed):
 @given(st.dictionaries(st.integers(1, 60), st.integers(1, 40), max_size=25), st.integers(10, 60))
 def test_plan_places_every_item_once(histogram, capacity):
     histogram = {n: c for n, c in histogram.items() if n <= capacity}
-    groups = packing.plan(histogram, capacity)
+    groups, _ = packing.plan(histogram, capacity)
     used = {}
     for g in groups:
         assert g.repeats > 0 and sum(n * m for n, m in g.lengths.items()) == capacity - g.room and g.room >= 0
@@ -75,10 +82,19 @@ def test_plan_places_every_item_once(histogram, capacity):
     assert sum(g.repeats for g in groups) <= 1.15 * len(bins) + 1
 
 
+def test_fitted_patterns_fill_a_smooth_histogram():
+    rng = np.random.default_rng(3)
+    sizes, counts = np.unique(np.clip(rng.lognormal(5.2, 0.7, 60_000).astype(int), 1, 512), return_counts=True)
+    histogram = dict(zip(sizes.tolist(), counts.tolist()))
+    groups, fitted = packing.plan(histogram, 512)
+    bound = -(-sum(n * c for n, c in histogram.items()) // 512)
+    assert fitted and sum(g.repeats for g in groups) <= 1.001 * bound
+
+
 def test_fit_is_non_negative_least_squares():
     patterns = [(2, 3), (1, 4), (1, 1, 3)]
     counts = np.array([0, 30.0, 20.0, 25.0, 10.0, 0])
-    x = packing.fit_repeats(counts, patterns, 500)
+    x = packing.fit_repeats(counts, patterns, 500, 0.0)
     a = np.array([[sum(u == k for u in p) for p in patterns] for k in range(6)], float)
     slope = a.T @ (a @ x - counts)
     assert (x >= 0).all() and (slope >= -1.0).all() and np.abs(slope[x > 1e-6]).max() < 1.0
