@@ -1,9 +1,9 @@
 """Problem 10: the reading level of every document, spread from graded examples over a document-word graph.
 
 Documents and words are the two sides of a graph; a word is one of ``WORDS`` buckets of its hash, so one side is
-bounded whatever the corpus. Graded documents are clamped; each harmonic iteration gives words the mean
+bounded whatever the corpus (``exact`` keeps every word apart and shuffles by word instead). Graded documents are clamped; each harmonic iteration gives words the mean
 difficulty of their documents and documents the mean of their words, a word counting the more the less
-its documents differ. Cut points between levels are then chosen where they part the graded documents best.
+its documents differ, until words hardly move. Cut points between levels are then chosen where they part the graded documents best.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from millrace.llm import kernels as K
 from millrace.session import materialize
 
-#: Buckets of words, of two measures of style; iterations; levels; bins of difficulty for the cut points.
-WORDS, STYLE, ITERATIONS, LEVELS, BINS = 1 << 16, 256, 3, 5, 4000
-#: Weight of a style bucket in words; variance that a word has before it is seen, and how many sightings that equals.
-STYLE_WEIGHT, PRIOR_VARIANCE, PRIOR_COUNT, FLOOR = 30.0, 1.2, 2.0, 0.03
+#: Buckets of words; mean change of a word's difficulty at which iteration ends, and most iterations; levels; bins of difficulty for the cut points.
+WORDS, SETTLED, ITERATIONS, LEVELS, BINS = 1 << 16, 0.02, 30, 5, 4000
+#: Variance that a word has before it is seen, and how many sightings that equals; least variance.
+PRIOR_VARIANCE, PRIOR_COUNT, FLOOR = 1.2, 2.0, 0.03
 
 #: fixed values: function words that tell English from the other languages that occur
 _ENGLISH = "the of and in for to a that its with as at by is are was were has had from this which would said so while after before into than more because not on it be or but".split()
@@ -32,36 +32,31 @@ def _known(words: list[str]) -> np.ndarray:
     return np.unique(K.words(words)[0])
 
 
-def _graph(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    english, other = _known(_ENGLISH), _known(_OTHER)
-    for batch in batches:
-        ids = batch.column("doc_id")
-        texts = [t or "" for t in batch.column("text").to_pylist()]
-        for i, j in K.chunks(texts):
-            n = j - i
-            h, doc, size, stops = K.words_and_ends(texts[i:j])
-            total = np.bincount(doc, minlength=n)
-            own = np.bincount(doc, weights=np.isin(h, english), minlength=n)
-            foreign = np.bincount(doc, weights=np.isin(h, other), minlength=n)
-            is_english = (total > 0) & (own > foreign) & (own >= 0.05 * total)
-            key, count = np.unique(doc * WORDS + ((h >> np.uint64(40)) % np.uint64(WORDS)).astype(np.int64), return_counts=True)
-            long = np.log(np.maximum(total / np.maximum(stops, 1), 1.0))
-            mean = np.bincount(doc, weights=size, minlength=n) / np.maximum(total, 1)
-            each = np.arange(n)
-            each = each[total > 0]  # a text without words has no style either
-            at = np.concatenate([key // WORDS, each, each])
-            node = np.concatenate([key % WORDS, WORDS + np.clip(long[each] * 8, 0, 127).astype(np.int64), WORDS + 128 + np.clip(mean[each] * 4, 0, 127).astype(np.int64)])
-            weight = np.concatenate([np.sqrt(count), np.full(2 * len(each), np.sqrt(STYLE_WEIGHT))]).astype(np.float32)
-            order = np.argsort(at, kind="stable")
-            at, node, weight = at[order], node[order].astype(np.int32), weight[order]
-            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
-            lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
-            yield pa.RecordBatch.from_arrays([ids.slice(i, n), pa.array(is_english), lists(node, pa.int32()), lists(weight, pa.float32())], names=["doc_id", "english", "nodes", "weights"])
-
-
-def graph(documents: DataFrame) -> DataFrame:
-    """(doc_id, english, nodes, weights): all documents with their words, and whether they are English; those without words have no nodes."""
-    return documents.select("doc_id", "text").mapInArrow(_graph, "doc_id long, english boolean, nodes array<int>, weights array<float>")
+def graph(documents: DataFrame, words: int | None = WORDS) -> DataFrame:
+    """(doc_id, english, nodes, weights): all documents with their words, in ``words`` buckets or each apart, and whether they are English; those without words have no nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        english, other = _known(_ENGLISH), _known(_OTHER)
+        for batch in batches:
+            ids = batch.column("doc_id")
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            for i, j in K.chunks(texts):
+                n = j - i
+                h, doc = K.words(texts[i:j])
+                total = np.bincount(doc, minlength=n)
+                own = np.bincount(doc, weights=np.isin(h, english), minlength=n)
+                foreign = np.bincount(doc, weights=np.isin(h, other), minlength=n)
+                is_english = (total > 0) & (own > foreign) & (own >= 0.05 * total)
+                node = ((h >> np.uint64(40)) % np.uint64(words)).astype(np.int64) if words else h.view(np.int64)
+                order = np.lexsort((node, doc))
+                doc, node = doc[order], node[order]
+                first = np.flatnonzero(np.append(True, (doc[1:] != doc[:-1]) | (node[1:] != node[:-1]))) if len(doc) else np.zeros(0, np.int64)
+                weight = np.sqrt(np.diff(np.append(first, len(doc)))).astype(np.float32)
+                ends = np.concatenate([[0], np.cumsum(np.bincount(doc[first], minlength=n))]).astype(np.int32)
+                lists = lambda values, kind: pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, kind))
+                yield pa.RecordBatch.from_arrays([ids.slice(i, n), pa.array(is_english), lists(node[first], pa.int64()), lists(weight, pa.float32())], names=["doc_id", "english", "nodes", "weights"])
+
+    return documents.select("doc_id", "text").mapInArrow(run, "doc_id long, english boolean, nodes array<long>, weights array<float>")
 
 
 def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,7 +78,7 @@ def _sums(score: np.ndarray | None, trust: np.ndarray | None, mean: float):
     """Per node the weight, and weighted sum and square sum of difficulty, of its documents; graded ones are clamped."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, WORDS + STYLE))
+        sums = np.zeros((3, WORDS))
         for batch in batches:
             doc, nodes, weights = _flat(batch)
             grade = batch.column("grade").to_numpy(zero_copy_only=False).astype(np.float64)
@@ -94,7 +89,7 @@ def _sums(score: np.ndarray | None, trust: np.ndarray | None, mean: float):
                 f, use = np.where(given, np.nan_to_num(grade), _difficulty(doc, nodes, weights, len(grade), score, trust, mean)), slice(None)
             d, x, w = doc[use], nodes[use], weights[use]
             for k, v in enumerate((w, w * f[d], w * f[d] ** 2)):
-                sums[k] += np.bincount(x, weights=v, minlength=WORDS + STYLE)
+                sums[k] += np.bincount(x, weights=v, minlength=WORDS)
         seen = np.flatnonzero(sums[0]).astype(np.int32)
         yield pa.RecordBatch.from_arrays([pa.array(seen), *(pa.array(s[seen]) for s in sums)], names=["node", "w", "wf", "wff"])
 
@@ -105,7 +100,7 @@ def _scores(rows: list, mean: float) -> tuple[np.ndarray, np.ndarray]:
     """Difficulty and trust of each node; a node that no document reached has no trust."""
     at = np.array([r["node"] for r in rows], dtype=np.int64)
     w, wf, wff = (np.array([r[k] for r in rows], dtype=np.float64) for k in ("w", "wf", "wff"))
-    score, trust = np.full(WORDS + STYLE, mean), np.zeros(WORDS + STYLE)
+    score, trust = np.full(WORDS, mean), np.zeros(WORDS)
     score[at] = (wf + mean) / (w + 1)
     variance = np.maximum(wff / w - (wf / w) ** 2, 0)
     trust[at] = 1 / ((variance * w + PRIOR_VARIANCE * PRIOR_COUNT) / (w + PRIOR_COUNT) + FLOOR)
@@ -123,30 +118,47 @@ def _cut(low: np.ndarray, high: np.ndarray) -> float:
     return float(run.mean())
 
 
-def levels(documents: DataFrame, labels: DataFrame, every: bool = False) -> DataFrame:
-    """(doc_id, difficulty, level) of each English document, or of ``every`` one; several grades of a document count as their mean.
-
-    Copies of a text get one level, also where a copy has no grade. Words and cut points are learnt from English
-    documents alone; others are judged by the words and the style that these know. A text without words has the lowest
-    level. If no English document is graded, there is no scale and no row.
-    """
-    grades = labels.filter("grade_level IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("grade_level").alias("grade"))
-    nodes = materialize(graph(documents).filter(F.col("english") | F.lit(every)).join(grades, "doc_id", "left").select("doc_id", "english", "nodes", "weights", "grade"), "reading")
+def _exact(nodes: DataFrame, mean: float) -> DataFrame:
+    """(doc_id, english, grade, difficulty) with every word a node of its own: sums by word and by document, each combined before its shuffle."""
+    edges = nodes.select("doc_id", "english", "grade", F.explode(F.arrays_zip("nodes", "weights")).alias("e")).select("doc_id", "english", "grade", F.col("e.nodes").alias("node"), F.col("e.weights").cast("double").alias("w"))
+    edges = materialize(edges, "edges")
+    docs = materialize(nodes.select("doc_id", "english", "grade"), "documents").dropDuplicates()
+    now, before = docs.select("doc_id", F.col("grade").alias("f")).filter("f IS NOT NULL"), None
+    for k in range(ITERATIONS):
+        f = edges.filter("english").join(now, "doc_id")
+        sums = f.groupBy("node").agg(F.sum("w").alias("s"), F.sum(F.col("w") * F.col("f")).alias("t"), F.sum(F.col("w") * F.col("f") * F.col("f")).alias("u"))
+        variance = F.greatest(F.col("u") / F.col("s") - F.pow(F.col("t") / F.col("s"), 2), F.lit(0.0))
+        words = sums.select("node", ((F.col("t") + mean) / (F.col("s") + 1)).alias("score"), (1 / ((variance * F.col("s") + PRIOR_VARIANCE * PRIOR_COUNT) / (F.col("s") + PRIOR_COUNT) + FLOOR)).alias("trust"))
+        words = materialize(words, "words")
+        x = F.col("w") * F.col("trust")
+        judged = edges.join(words, "node", "left").groupBy("doc_id").agg((F.sum(x * F.col("score")) / F.sum(x)).alias("d"))
+        judged = materialize(docs.join(judged, "doc_id", "left").withColumn("d", F.coalesce("d", F.lit(mean))), "judged")
+        now = judged.select("doc_id", F.coalesce("grade", "d").alias("f"))
+        if before is not None:
+            moved = words.join(before.withColumnRenamed("score", "old"), "node").agg(F.avg(F.abs(F.col("score") - F.col("old")))).first()[0] or 0.0
+            if moved <= SETTLED:
+                break
+        before = words.select("node", "score")
+    bare = nodes.filter(F.size("nodes") == 0).select("doc_id").distinct().withColumn("_bare", F.lit(True))
+    return judged.join(bare, "doc_id", "left").select("doc_id", "english", "grade", F.when(F.col("_bare"), F.lit(1.0)).otherwise(F.col("d")).alias("difficulty"))
+
+
+def _bucketed(nodes: DataFrame, mean: float) -> DataFrame:
+    """(doc_id, english, grade, difficulty) with words in buckets, whose sums are so few that they are put together on the driver."""
     english = nodes.filter("english")
-    mean = english.agg(F.avg("grade")).first()[0]
-    schema = "doc_id long, difficulty double, level int"
-    if mean is None:
-        return documents.sparkSession.createDataFrame([], schema)
 
     def gather(score, trust) -> tuple[np.ndarray, np.ndarray]:
         part = english.select("nodes", "weights", "grade") if score is not None else english.filter("grade IS NOT NULL").select("nodes", "weights", "grade")
         sums = part.mapInArrow(_sums(score, trust, mean), "node int, w double, wf double, wff double")
-        # a row per bucket: bounded by WORDS + STYLE
+        # a row per bucket: bounded by WORDS
         return _scores(sums.groupBy("node").agg(*[F.sum(c).alias(c) for c in ("w", "wf", "wff")]).collect(), mean)
 
     score, trust = gather(None, None)
     for _ in range(ITERATIONS - 1):
+        old = score
         score, trust = gather(score, trust)
+        if np.abs(score - old)[trust > 0].mean() <= SETTLED:
+            break
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,7 +167,22 @@ def levels(documents: DataFrame, labels: DataFrame, every: bool = False) -> Data
             difficulty[np.bincount(doc, minlength=batch.num_rows) == 0] = 1.0
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("english"), batch.column("grade"), pa.array(difficulty)], names=["doc_id", "english", "grade", "difficulty"])
 
-    judged = nodes.mapInArrow(judge, "doc_id long, english boolean, grade double, difficulty double")
+    return nodes.mapInArrow(judge, "doc_id long, english boolean, grade double, difficulty double")
+
+
+def levels(documents: DataFrame, labels: DataFrame, every: bool = False, exact: bool = False) -> DataFrame:
+    """(doc_id, difficulty, level) of each English document, or of ``every`` one; several grades of a document count as their mean.
+
+    Copies of a text get one level, also where a copy has no grade. Words and cut points are learnt from English
+    documents alone; others are judged by the words that these know. A text without words has the lowest
+    level. If no English document is graded, there is no scale and no row. ``exact`` keeps every word apart; ids are then unique.
+    """
+    grades = labels.filter("grade_level IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.avg("grade_level").alias("grade"))
+    nodes = materialize(graph(documents, None if exact else WORDS).filter(F.col("english") | F.lit(every)).join(grades, "doc_id", "left").select("doc_id", "english", "nodes", "weights", "grade"), "reading")
+    mean = nodes.filter("english").agg(F.avg("grade")).first()[0]
+    if mean is None:
+        return documents.sparkSession.createDataFrame([], "doc_id long, difficulty double, level int")
+    judged = _exact(nodes, mean) if exact else _bucketed(nodes, mean)
     place = F.least(F.lit(BINS - 1), F.floor((F.col("difficulty") - 1) / (LEVELS - 1) * BINS)).cast("int")
     graded = judged.filter("english AND grade IS NOT NULL").groupBy(place.alias("bin"), F.floor(F.col("grade") + 0.5).cast("int").alias("level")).count().collect()
     table = np.zeros((LEVELS + 1, BINS))

@@ -163,6 +163,13 @@ def test_levels_of_held_out_documents(spark):
     assert sum(got[i] == g for i, g in held) / len(held) > 0.93
 
 
+def test_words_apart_give_the_levels_of_buckets(spark):
+    docs, grades = graded(spark)
+    d, labels = level_of(spark, [*docs, (9001, ""), (9002, None)], grades)
+    one, other = ({r.doc_id: r.level for r in reading.levels(d, labels, every=True, exact=x).collect()} for x in (False, True))
+    assert set(one) == set(other) and sum(one[i] == other[i] for i in one) >= 0.99 * len(one) and other[9001] == other[9002] == 1
+
+
 def test_levels_leave_out_other_languages_and_blanks(spark):
     docs, grades = graded(spark)
     extra = [(9001, None), (9002, ""), (9003, "ABC 12"), (9004, "Der Konzern meldete den Ausbau der Anlage und die Bank verschob das Werk im Quartal."), (9005, docs[1][1]), (9005, docs[1][1])]
