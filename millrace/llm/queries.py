@@ -23,6 +23,10 @@ def _p1_clean_bodies(s: SparkSession, d: str) -> DataFrame:
     return repeated.clean_bodies(articles, repeated.repeated_lines(articles))
 
 
+def _p1_stretches(s: SparkSession, d: str) -> DataFrame:
+    return repeated.stretches(table(s, d, "articles"))
+
+
 def _p3_found(s: SparkSession, d: str) -> DataFrame:
     return residue.found(table(s, d, "articles"))
 
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
     return {
         "p1_found": _p1_found,
         "p1_clean_bodies": _p1_clean_bodies,
+        "p1_stretches": _p1_stretches,
         "p3_found": _p3_found,
         "p4_found": _p4_found,
         "p4_main_bodies": _p4_main_bodies,
