@@ -2,14 +2,19 @@
 
 A chain is all versions of one symbol. Late or corrected captures never patch intervals: the
 symbols they touch are found, only those symbols' raw rows are read again, their chains are
-built anew, and the store swaps whole chains at once (a new generation of files, then one rename).
+built anew, and the store swaps the buckets of these chains at once (new files beside the old ones, then one rename).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.operators.store import BucketStore
+from millrace.session import materialize, shared_dir
+
 LABELS = ("security", "gics_sector", "gics_sub_industry")
 OPEN_END = "9999-12-31"
 
@@ -60,7 +65,7 @@ def touched_symbols(chains: DataFrame, old_dates: DataFrame, updates: DataFrame)
     own = _sym(updates).select("symbol").distinct()
     new = updates.select("snapshot_date").filter(F.col("snapshot_date").isNotNull()).distinct().join(old_dates, "snapshot_date", "left_anti")
     first = new.agg(F.min("snapshot_date").alias("_first"))
-    across = chains.join(F.broadcast(first), F.col("_first").isNotNull() & (F.coalesce("valid_to", F.lit(OPEN_END).cast("date")) >= F.date_sub("_first", 32)), "left_semi").select("symbol")
+    across = chains.join(F.broadcast(first), F.col("_first").isNotNull() & (F.coalesce("valid_to", F.lit(OPEN_END).cast("date")) >= F.col("_first")), "left_semi").select("symbol")
     return own.unionByName(across).distinct()
 
 
@@ -77,39 +82,17 @@ def rebuild_affected(chains: DataFrame, raw: DataFrame, updates: DataFrame) -> D
     return kept.unionByName(rebuilt)
 
 
-class ChainStore:
-    """Chains on disk, swapped a generation at a time.
-
-    ``replace`` writes the next generation in full beside the current one and then renames the
-    pointer file onto the old one, so a reader sees all old chains or all new ones, never a mixture.
-    """
-
-    def __init__(self, spark, path: str) -> None:
-        self.spark, self.path = spark, path.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._Path = jvm.org.apache.hadoop.fs.Path
-        self._fc = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._Path(self.path).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs = self._Path(self.path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def generation(self) -> int | None:
-        at = self._Path(f"{self.path}/CURRENT")
-        return int(self.spark.read.text(f"{self.path}/CURRENT").first()[0]) if self._fs.exists(at) else None
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/gen-{self.generation()}")
-
-    def replace(self, chains: DataFrame) -> int:
-        new = (self.generation() or 0) + 1
-        chains.write.mode("overwrite").parquet(f"{self.path}/gen-{new}")
-        note = self._Path(f"{self.path}/.CURRENT-{new}")
-        out = self._fs.create(note, True)
-        out.write(bytearray(str(new).encode()))
-        out.close()
-        rename = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Options.Rename
-        flags = self.spark.sparkContext._gateway.new_array(rename, 1)
-        flags[0] = rename.OVERWRITE
-        self._fc.rename(note, self._Path(f"{self.path}/CURRENT"), flags)
-        return new
+def update_store(store: BucketStore, raw: DataFrame, updates: DataFrame) -> int:
+    """Brings the chains in ``store``, built from ``raw``, up to ``updates``: only buckets of touched symbols are written, all swapped at once."""
+    every = raw.unionByName(updates)
+    chains = store.read()
+    touched = materialize(touched_symbols(chains, calendar(raw).select("snapshot_date"), updates), "touched")
+    buckets = store.touched(touched)
+    if not buckets:
+        return store.generation()
+    rebuilt = snapshot_chains(_sym(every).join(touched, "symbol", "left_semi"), calendar(every))
+    kept = store.read(buckets).join(touched, "symbol", "left_anti")
+    return store.swap(kept.unionByName(rebuilt), buckets)
 
 
 def stored_chains(membership: DataFrame) -> DataFrame:
@@ -137,15 +120,18 @@ def _spread(chains: DataFrame, origin: str) -> DataFrame:
 def versions(snapshots: DataFrame, membership: DataFrame) -> DataFrame:
     """(origin, symbol, labels.., valid_from, valid_to) of both tables.
 
-    Captures taken in time (within a day of their date, each symbol's and date's first) make the chains;
-    all others arrive as late or corrected updates and go through ``rebuild_affected``.
+    Captures taken in time (within a day of their date, each symbol's and date's first) make the chains of a store in the
+    shared folder; all others arrive as late or corrected updates, rebuild the chains they touch there and replace these at once.
     """
     mark = F.col("captured_at") >= F.date_add("snapshot_date", 1).cast("timestamp")
     cols = ["symbol", "snapshot_date", "captured_at", *LABELS]
     flagged = snapshots.select(*cols, F.coalesce(mark, F.lit(False)).alias("_late"))
     base, late = flagged.filter(~F.col("_late")).drop("_late"), flagged.filter("_late").drop("_late")
-    chains = snapshot_chains(base, calendar(base))
-    return _spread(rebuild_affected(chains, base, late), "snapshots").unionByName(_spread(stored_chains(membership), "stored"))
+    spark = snapshots.sparkSession
+    store = BucketStore(spark, f"{shared_dir(spark).rstrip('/')}/millrace/chains-{uuid.uuid4().hex}", ["symbol"])
+    store.replace(snapshot_chains(base, calendar(base)))
+    update_store(store, base, late)
+    return _spread(store.read(), "snapshots").unionByName(_spread(stored_chains(membership), "stored"))
 
 
 def found(snapshots: DataFrame, membership: DataFrame) -> DataFrame:

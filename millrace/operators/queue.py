@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.matching import RANK
+from millrace.session import small_enough
+
+#: Sites that may be set against all companies.
+SITES = 10_000
 
 #: fixed values: columns that a page may be ordered by
 ORDER_COLUMNS = ("id", "url", "domain", "company", "ticker", "source", "discovered_at", "pub_date", "status", "match_class")
@@ -64,13 +68,14 @@ def numbered_rows(rows: DataFrame, at: str, ties: list[str], block: int = 1 << 1
     return blocked.join(before, "_block").withColumn("n", own + F.col("_before")).drop("_block", "_before")
 
 
-def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
+def merge(stored: DataFrame, batch: DataFrame, top: DataFrame | None = None) -> DataFrame:
     """``stored`` after a batch of rediscoveries: new pairs appended, known pairs promoted, none demoted.
 
     A pair is (url, ticker). Within the batch, rows of one pair act in order of ``ordinal``. A higher class
     brings its reason along; an equal or lower one only fills a missing reason or query; a pair stored as
     ``reject`` and ``skipped`` goes back to ``pending`` when its class rises. New pairs get ids after the
     greatest, in order; a new ``reject`` is stored ``skipped``. Rows of an unknown class or a null key are left out.
+    ``top`` (top), a row, is the greatest id where ``stored`` is only the part of the queue that the batch can touch.
     """
     keys = ["url", "ticker"]
     ok = batch.filter(rank(F.col("match_class")).isNotNull() & F.col("url").isNotNull() & F.col("ticker").isNotNull())
@@ -92,7 +97,7 @@ def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
     }
     kept = known.select(*[updates[c].alias(c) if c in updates else F.col(c) for c in stored.columns])
     new = best.join(stored.select(*keys).distinct(), keys, "left_anti")
-    top = stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
+    top = top if top is not None else stored.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     numbered = numbered_rows(new.withColumn("_at", F.col("b_first.ordinal").cast("long")), "_at", keys).join(F.broadcast(top))
     cls = F.col("b.match_class")
     values = {
@@ -104,8 +109,15 @@ def merge(stored: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def unfinished(companies: DataFrame, domains: DataFrame, progress: DataFrame) -> DataFrame:
-    """(ticker, domain) still to do: all of ``companies`` by ``domains`` (a few sites) without those in ``progress``."""
-    return companies.select("ticker").distinct().crossJoin(domains.select("domain").distinct()).join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
+    """(ticker, domain) still to do: all of ``companies`` by ``domains`` without those in ``progress``.
+
+    ``domains`` are a list of sites, sent along as one array; more than ``SITES`` are refused.
+    """
+    if not small_enough(domains.select("domain").distinct(), SITES):
+        raise ValueError(f"more than {SITES} sites")
+    sites = domains.agg(F.collect_set("domain").alias("_sites"))
+    every = companies.select("ticker").distinct().join(F.broadcast(sites)).select("ticker", F.explode("_sites").alias("domain"))
+    return every.join(progress.select("ticker", "domain").distinct(), ["ticker", "domain"], "left_anti")
 
 
 def replace_rows(stored: DataFrame, new: DataFrame, keys: list[str], keep: tuple[str, ...] = ()) -> DataFrame:

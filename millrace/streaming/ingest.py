@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import queue
-from millrace.operators.history import ChainStore
-from millrace.session import shared_dir
+from millrace.operators.store import BucketStore
+from millrace.session import materialize, shared_dir
 
 
-def merge_into(store: ChainStore, empty: DataFrame) -> Callable[[DataFrame, int], None]:
-    """The batch function of a merging stream: a batch seen twice changes nothing, since a merge only ever promotes."""
+def merge_into(store: BucketStore, empty: DataFrame) -> Callable[[DataFrame, int], None]:
+    """The batch function of a merging stream: only buckets of the batch's pairs are read and written. A batch seen twice changes nothing, since a merge only ever promotes."""
 
     def run(batch: DataFrame, epoch: int) -> None:
-        stored = store.read() if store.generation() is not None else empty
-        rows = batch.withColumn("ordinal", F.col("id") if "id" in batch.columns else F.monotonically_increasing_id())
-        store.replace(queue.merge(stored, rows))
+        rows = materialize(batch.withColumn("ordinal", F.col("id") if "id" in batch.columns else F.monotonically_increasing_id()), "batch")
+        touched = store.touched(rows)
+        if not touched:
+            return
+        known = store.generation() is not None
+        stored = store.read(touched) if known else empty
+        top = (store.read() if known else empty).agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
+        store.swap(queue.merge(stored, rows, top), touched)
 
     return run
 
@@ -35,7 +40,7 @@ def file_stream(spark: SparkSession, path: str) -> DataFrame:
     return reader.parquet(path)
 
 
-def ingest(stream: DataFrame, store: ChainStore, checkpoint: str) -> StreamingQuery:
+def ingest(stream: DataFrame, store: BucketStore, checkpoint: str) -> StreamingQuery:
     """Merges all rows that are new in ``stream`` into ``store``, a generation per batch."""
     empty = stream.sparkSession.createDataFrame([], stream.schema)
     return stream.writeStream.foreachBatch(merge_into(store, empty)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

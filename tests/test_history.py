@@ -1,6 +1,10 @@
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
 from millrace.operators import history
+from millrace.operators.store import BucketStore
 from tests_shared import membership, snapshots
 
 D = ["2024-01-31", "2024-02-29", "2024-03-31", "2024-04-30"]
@@ -57,10 +61,43 @@ def test_empty(spark):
     assert history.versions(snapshots(spark, []), membership(spark, [])).count() == 0
 
 
-def test_store_swaps_generations(spark, tmp_path):
-    store = history.ChainStore(spark, f"file://{tmp_path}/chains")
+def test_store_swaps_only_touched_buckets(spark, tmp_path):
+    store = BucketStore(spark, f"file://{tmp_path}/chains", ["id"], 4)
     assert store.generation() is None
-    store.replace(spark.range(3))
-    old = store.read()
+    store.replace(spark.range(100))
+    old, before = store.read(), store.manifest()
+    touched = store.touched(spark.range(1))
+    store.swap(store.read(touched).filter("id <> 0"), touched)
+    after = store.manifest()
+    assert store.generation() == 2 and store.read().count() == 99 and old.count() == 100
+    with pytest.raises(ValueError):
+        store.swap(spark.range(100), touched)
+    assert store.read().count() == 99
+    assert [b for b in before["folders"] if before["folders"][b] != after["folders"][b]] == [str(b) for b in touched] and len(touched) == 1
+    for _ in range(3):  # old folders go, what is named stays
+        store.replace(spark.range(7))
+    assert store.read().count() == 7 and len(list(tmp_path.glob("chains/data-*"))) == 2
+
+
+def test_a_writer_that_dies_or_comes_late_changes_nothing(spark, tmp_path):
+    store = BucketStore(spark, f"file://{tmp_path}/chains", ["id"], 4)
     store.replace(spark.range(5))
-    assert store.generation() == 2 and store.read().count() == 5 and old.count() == 3
+    broken = spark.range(5).withColumn("id", F.expr("CASE WHEN id > 2 THEN raise_error('gone') ELSE id END").cast("long"))
+    with pytest.raises(Exception):
+        store.replace(broken)
+    assert store.generation() == 1 and store.read().count() == 5
+    (tmp_path / "chains" / "claim-2").write_text("another")
+    with pytest.raises(RuntimeError):
+        store.replace(spark.range(9))
+    assert store.read().count() == 5
+
+
+def test_updates_of_a_store_equal_a_build_from_all(spark, tmp_path):
+    raw = snapshots(spark, [(s, s, "x", "i", d, f"{d}T20:00") for s in "ABCDEFGH" for d in D[:2]])
+    late = snapshots(spark, [("A", "A", "y", "i", D[1], "2024-05-01T20:00"), ("B", "B", "x", "i", D[2], f"{D[2]}T20:00")])
+    store = BucketStore(spark, f"file://{tmp_path}/chains", ["symbol"], 4)
+    store.replace(history.snapshot_chains(raw, history.calendar(raw)))
+    history.update_store(store, raw, late)
+    every = raw.unionByName(late)
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.select("symbol", "gics_sector", "valid_from", "valid_to").collect())
+    assert key(store.read()) == key(history.snapshot_chains(every, history.calendar(every)))

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from millrace.operators.history import ChainStore
+from millrace.operators.store import BucketStore
 from millrace.streaming import ingest
 
 
@@ -9,7 +9,7 @@ def test_stream_merges_files_as_they_come(spark, small, tmp_path):
 
     rows = table(spark, small, "discovered_urls")
     source = f"{tmp_path}/in"
-    store = ChainStore(spark, f"file://{tmp_path}/store")
+    store = BucketStore(spark, f"file://{tmp_path}/store", ["url", "ticker"])
     for part in range(2):
         rows.filter(F.col("id") % 2 == part).coalesce(1).write.mode("append").parquet(source)
         ingest.ingest(ingest.file_stream(spark, source), store, f"{tmp_path}/check").awaitTermination()
