@@ -11,6 +11,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import urls
+from millrace.session import small_enough
+
+#: Companies whose columns (about half a kilobyte each) may be broadcast.
+BROADCAST_COMPANIES = 50_000
 
 #: fixed values: words and limits of the rule
 WORD_TICKERS = ("ON", "A", "ARE", "IT", "TECH", "HAS", "NOW", "ALL")
@@ -19,7 +23,7 @@ STOPWORDS = tuple(
 )
 COMMON = WORD_TICKERS + tuple("AM AN AS AT BE BY DO GO HE IF IN IS ME MY NO OF OR SO TO UP US WE I CAN FOR ONE OUT NEW BIG FAST KEY APP FIX".split())
 ABBREVIATIONS = ("PM", "MA", "ED", "EL", "IP", "CI", "HD", "PH", "MS", "NI", "DD")
-ALIASES = {"GOOGL": ["google"], "GOOG": ["google"], "PG": ["p and g"], "META": ["facebook"], "BRK.A": ["berkshire"], "BRK.B": ["berkshire"], "JPM": ["jpmorgan"], "WMT": ["wal mart"]}
+ALIASES = {"GOOGL": ["google"], "GOOG": ["google"], "PG": ["p and g"], "META": ["facebook"], "BRK.B": ["berkshire"], "BRK.A": ["berkshire"], "JPM": ["jpmorgan"], "WMT": ["wal mart"]}
 SUFFIX = r"(?i)\b(inc|corp|corporation|co|company|ltd|plc|llc|holdings|group|the|class [a-c])\b\.?"
 PLURAL_PHRASES = ("best buy", "on semiconductor", "target corporation")
 EXCHANGE = "(?:NYSE American|NYSE MKT|NYSEARCA|NYSE|NASDAQ|Nasdaq)"
@@ -86,6 +90,13 @@ def company_columns(companies: DataFrame, name: str = "company", ticker: str = "
     })
 
 
+def with_company(rows: DataFrame, name: str = "company", ticker: str = "ticker") -> DataFrame:
+    """``rows`` with the columns of ``company_columns``, worked out once per name and ticker; rows without either are left out."""
+    each = company_columns(rows.select(name, ticker).distinct(), name, ticker)
+    each = F.broadcast(each) if small_enough(rows.select(name, ticker).distinct(), BROADCAST_COMPANIES) else each
+    return rows.join(each, [name, ticker])
+
+
 def edges(text: Column) -> Column:
     """Text in which all but letters, digits and ``&`` are blanks, between blanks."""
     return F.concat(F.lit(" "), F.regexp_replace(text, "[^A-Za-z0-9&]", " "), F.lit(" "))

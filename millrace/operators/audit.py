@@ -73,7 +73,11 @@ def wilson(k: Column, n: Column) -> tuple[Column, Column]:
 
 def stratified_rate(labelled: DataFrame, group: str, stratum: str = "stratum", size: str = "stratum_size", wrong: str = "wrong") -> DataFrame:
     """(group, n, n_wrong, rate, low, high): rate weighted by stratum size, with its interval."""
-    s = labelled.groupBy(group, stratum).agg(F.count("*").alias("n"), F.count_if(wrong).alias("k"), F.max(size).alias("size"))
+    return rate_of_strata(labelled.groupBy(group, stratum).agg(F.count("*").alias("n"), F.count_if(wrong).alias("k"), F.max(size).alias("size")), group)
+
+
+def rate_of_strata(s: DataFrame, group: str) -> DataFrame:
+    """As ``stratified_rate``, from a row per stratum: (group, n, k, size)."""
     s = s.withColumn("pop", F.sum("size").over(Window.partitionBy(group)))
     w, smooth = F.col("size") / F.col("pop"), (F.col("k") + 0.5) / (F.col("n") + 1)
     g = s.groupBy(group).agg(F.sum("n").alias("n"), F.sum("k").alias("n_wrong"), F.sum(w * F.col("k") / F.col("n")).alias("rate"), F.sum(w * w * smooth * (1 - smooth) / (F.col("n") + 1)).alias("var"))
@@ -87,7 +91,7 @@ def rule_verdicts(pairs: DataFrame) -> DataFrame:
     ``all`` keeps everything; ``named`` wants the full name in address or title, or an explicit ticker in title or body;
     ``mentioned`` also takes a body with the name twice or more; ``signalled`` also the ticker or first word in the title.
     """
-    rows = M.company_columns(pairs)
+    rows = M.with_company(pairs)
     title, body, c, t = F.coalesce("title", F.lit("")), F.coalesce("body", F.lit("")), F.col("company"), F.col("ticker")
     full = M.full_name(c)
     named = fields.full_name_present(c, F.col("url"), title) | M.explicit_ticker(t, title) | M.explicit_ticker(t, body)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.fields import period_column
 
 #: fixed values: days of a period by its kind; greatest difference of equal values; longest duration of an untagged column
-DAYS = {"Q": (80, 100), "YTD": (175, 285), "FY": (351, 100_000)}
+DAYS = {"Q": (80, 100), "YTD": (175, 285), "FY": (351, 10**6)}
 TOLERANCE, UNTAGGED_DAYS = 1.0, 371
 
 

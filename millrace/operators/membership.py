@@ -80,12 +80,16 @@ def stints_from_changes(changes: DataFrame, roster: DataFrame, earliest: str) ->
 
 
 def resolve(names: DataFrame, asked: DataFrame) -> DataFrame:
-    """(query, symbol): a query is a symbol without regard to case, else part of a name; of several, the least symbol."""
-    if not small_enough(names, SEARCHED_ROWS):
-        raise ValueError("part of a name can be looked up among a bounded set of names only")
-    q = asked.select("query", F.lower("query").alias("_q")).distinct()
+    """(query, symbol): a query is a symbol without regard to case, else part of a name; of several, the least symbol.
+
+    Parts are looked up by their first three letters among all runs of up to three letters of the names.
+    """
+    q = asked.select("query", F.lower("query").alias("_q")).filter("_q <> ''").distinct()
     exact = q.join(names, F.col("_q") == F.lower("symbol")).select("query", F.lit(0).alias("r"), "symbol")
-    part = q.join(F.broadcast(names), F.lower("security").contains(F.col("_q"))).select("query", F.lit(1).alias("r"), "symbol")
+    low = names.filter("security <> ''").select("symbol", F.lower("security").alias("_name")).distinct()
+    runs = F.flatten(F.transform(F.sequence(F.lit(1), F.length("_name")), lambda i: F.transform(F.array(*map(F.lit, (1, 2, 3))), lambda n: F.substr("_name", i, n))))
+    grams = low.select("symbol", "_name", F.explode(F.array_distinct(runs)).alias("_g"))
+    part = q.withColumn("_g", F.substring("_q", 1, 3)).join(grams, "_g").filter(F.col("_name").contains(F.col("_q"))).select("query", F.lit(1).alias("r"), "symbol")
     return exact.unionByName(part).groupBy("query").agg(F.min(F.struct("r", "symbol")).alias("b")).select("query", "b.symbol")
 
 
@@ -118,12 +122,17 @@ def last_revision(stints: DataFrame, revisions: DataFrame) -> DataFrame:
     ``revisions`` is (revid, ts, symbol, cik, gics_sector); a stint without one has nulls; ``depth`` counts newer
     revisions in its time that don't list it.
     """
-    end = F.date_add("valid_to", 1).cast("timestamp")
     times = revisions.select("revid", "ts").distinct()
     if not small_enough(times, SEARCHED_ROWS):
         raise ValueError("the revisions of a page are a bounded list")
-    near = stints.join(F.broadcast(times), (F.col("ts") < end) & (F.col("ts") >= F.col("valid_from").cast("timestamp")))
-    hits = near.join(revisions.select("revid", "symbol", "cik", F.col("gics_sector").alias("label")), ["revid", "symbol", "cik"], "left_semi")
-    best = hits.groupBy("symbol", "cik", "valid_from", "valid_to").agg(F.max(F.struct("ts", "revid")).alias("b"))
-    newer = near.join(best, ["symbol", "cik", "valid_from", "valid_to"]).groupBy("symbol", "cik", "valid_from", "valid_to").agg(F.count_if(F.struct("ts", "revid") > F.col("b")).alias("depth"), F.first("b").alias("b"))
-    return stints.join(newer, ["symbol", "cik", "valid_from", "valid_to"], "left").select("symbol", "cik", "valid_from", "valid_to", F.col("b.revid").alias("revid"), "depth")
+    order = Window.orderBy("ts", "revid")
+    ranked = times.withColumn("_rank", F.row_number().over(order))
+    # revisions up to each day that a stint ends on: sums over days, of which a calendar has some thousands
+    daily = times.groupBy(F.to_date("ts").alias("_day")).agg(F.count("*").alias("_n")).unionByName(stints.select(F.col("valid_to").alias("_day"), F.lit(0).cast("long").alias("_n")).distinct())
+    upto = daily.groupBy("_day").agg(F.sum("_n").alias("_n")).select(F.col("_day").alias("valid_to"), F.sum("_n").over(Window.orderBy("_day")).alias("_upto"))
+    keys = ["symbol", "cik", "valid_from", "valid_to"]
+    own = revisions.select("symbol", "cik", "revid").distinct().join(F.broadcast(ranked), "revid")
+    inside = (F.to_date("ts") <= F.col("valid_to")) & (F.to_date("ts") >= F.col("valid_from"))
+    best = stints.select(*keys).join(own, ["symbol", "cik"]).filter(inside).groupBy(*keys).agg(F.max(F.struct("_rank", "revid")).alias("b"))
+    newer = best.join(F.broadcast(upto), "valid_to").select(*keys, F.col("b.revid").alias("revid"), (F.col("_upto") - F.col("b._rank")).alias("depth"))
+    return stints.join(newer, keys, "left").select(*keys, "revid", "depth")

@@ -22,10 +22,16 @@ def change_ratio(value: Column, key: str, day: str) -> Column:
 
 
 def busiest(events: DataFrame, key: str, at: str, micros: int) -> DataFrame:
-    """(key, most): the most events of a key in any stretch of ``micros`` that ends at an event, its start left out."""
+    """(key, most): the most events of a key in any stretch of ``micros`` that ends at an event, its start left out.
+
+    Events of one instant are counted first. Each block of ``micros`` is a partition of its own, with the block before as
+    what its stretches reach back to, so that a key of any size is many tasks.
+    """
     us = F.unix_micros(F.col(at))
-    w = Window.partitionBy(key).orderBy(us).rangeBetween(-(micros - 1), Window.currentRow)
-    return events.filter(F.col(at).isNotNull()).select(key, F.count("*").over(w).alias("n")).groupBy(key).agg(F.max("n").alias("most"))
+    each = events.filter(F.col(at).isNotNull()).groupBy(key, us.alias("_us")).agg(F.count("*").alias("_c")).withColumn("_b", F.floor(F.col("_us") / micros).cast("long"))
+    both = each.select(key, "_us", "_c", F.inline(F.array(F.struct(F.col("_b").alias("_block"), F.lit(True).alias("_own")), F.struct((F.col("_b") + 1).alias("_block"), F.lit(False).alias("_own")))))
+    w = Window.partitionBy(key, "_block").orderBy("_us").rangeBetween(-(micros - 1), Window.currentRow)
+    return both.select(key, "_own", F.sum("_c").over(w).alias("n")).filter("_own").groupBy(key).agg(F.max("n").alias("most"))
 
 
 def sessionize(events: DataFrame, key: str, at: str, gap_seconds: int) -> DataFrame:

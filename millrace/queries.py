@@ -99,7 +99,7 @@ def _titled(s: SparkSession, d: str) -> DataFrame:
 
 
 def _classified(s: SparkSession, d: str) -> DataFrame:
-    rows = matching.company_columns(matching.text_columns(_titled(s, d).withColumnsRenamed({"match_class": "stored_class", "match_reason": "stored_reason"})))
+    rows = matching.with_company(matching.text_columns(_titled(s, d).withColumnsRenamed({"match_class": "stored_class", "match_reason": "stored_reason"})))
     return matching.classified(rows)
 
 
@@ -197,8 +197,8 @@ def strata_sample(s: SparkSession, d: str) -> DataFrame:
 def strata_rates(s: SparkSession, d: str) -> DataFrame:
     """Rate of stored rejects that the rule would take, per domain, weighted by source."""
     rows = _classified(s, d).withColumn("stratum", F.concat_ws("/", "domain", "source"))
-    sized = rows.select("domain", "stratum", (F.col("match_class") != F.col("stored_class")).alias("wrong"), F.count("*").over(Window.partitionBy("stratum")).alias("stratum_size"))
-    return audit.stratified_rate(sized, "domain")
+    cells = rows.groupBy("domain", "stratum").agg(F.count("*").alias("n"), F.count_if(F.col("match_class") != F.col("stored_class")).alias("k"), F.count("*").alias("size"))
+    return audit.rate_of_strata(cells, "domain")
 
 
 def deletable_pairs(s: SparkSession, d: str) -> DataFrame:

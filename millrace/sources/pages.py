@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.session import materialize
+
 
 def lenient_date(text: Column) -> Column:
     """The date as written at the head of a text (``yyyy-MM-dd...`` or ``yyyy-MM``), else null; no zone is applied."""
@@ -79,19 +81,18 @@ def sitemap(files: DataFrame, start: str, end: str, key: str = "path", text: str
     return rows.filter(F.when(F.col("kind") == "index", since).otherwise(in_range_or_undated(F.col("lastmod"), start, end)))
 
 
-def crawl(roots: list[str], pages: DataFrame, start: str, end: str, most_levels: int = 10) -> DataFrame:
-    """Entries of all leaves that ``roots`` lead to, from fetched ``pages`` (path, value); every page is visited once."""
+def crawl(roots: list[str], pages: DataFrame, start: str, end: str) -> DataFrame:
+    """Entries of all leaves that ``roots`` lead to, from fetched ``pages`` (path, value), however deep; every page is visited once."""
     spark = pages.sparkSession
-    frontier = spark.createDataFrame([(r,) for r in roots], "path string").distinct()
+    frontier = materialize(spark.createDataFrame([(r,) for r in roots], "path string").distinct(), "frontier")
     visited, found = frontier, None
-    for _ in range(most_levels):
-        rows = sitemap(pages.join(frontier, "path", "left_semi"), start, end)
+    while not frontier.isEmpty():
+        rows = materialize(sitemap(pages.join(frontier, "path", "left_semi"), start, end), "sitemaps")
         leaves = rows.filter("kind = 'url'")
         found = leaves if found is None else found.unionByName(leaves)
-        frontier = rows.filter("kind = 'index'").select(F.col("loc").alias("path")).distinct().join(visited, "path", "left_anti")
-        if frontier.isEmpty():
-            break
+        frontier = materialize(rows.filter("kind = 'index'").select(F.col("loc").alias("path")).distinct().join(visited, "path", "left_anti"), "frontier")
         visited = visited.unionByName(frontier)
+    found = found if found is not None else sitemap(pages.limit(0), start, end)
     return found.select("loc", "lastmod", "title").distinct()
 
 

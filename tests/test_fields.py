@@ -99,5 +99,15 @@ def test_bounded_sets_are_checked(spark, monkeypatch):
     from millrace.operators import membership
 
     monkeypatch.setattr(membership, "SEARCHED_ROWS", 1)
+    stints = spark.createDataFrame([("A", "1", None, None)], "symbol string, cik string, valid_from date, valid_to date")
+    revisions = spark.createDataFrame([("1", "2024-01-01"), ("2", "2024-01-02")], "revid string, ts string").select("revid", F.to_timestamp("ts").alias("ts"), F.lit("A").alias("symbol"), F.lit("1").alias("cik"))
     with pytest.raises(ValueError):
-        membership.resolve(spark.createDataFrame([("A", "a"), ("B", "b")], "symbol string, security string"), spark.createDataFrame([("a",)], "query string"))
+        membership.last_revision(stints, revisions)
+
+
+def test_parts_of_names_of_any_number(spark):
+    from millrace.operators import membership
+
+    names = spark.createDataFrame([("A", "Acme Co"), ("BAC", "acme"), ("C", None), ("D", "")], "symbol string, security string")
+    asked = spark.createDataFrame([("a",), ("ac",), ("ACME",), ("me c",), ("bac",), ("zzz",), ("",), (None,)], "query string")
+    assert {tuple(r) for r in membership.resolve(names, asked).collect()} == {("a", "A"), ("ac", "A"), ("ACME", "A"), ("me c", "A"), ("bac", "BAC")}
