@@ -61,3 +61,20 @@ def windows(spark: SparkSession, start: str, end: str, days: int) -> DataFrame:
     """(first, last): stretches of ``days`` days from ``start``, the last cut at ``end``."""
     first = F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr(f"interval {days} days"))).alias("first")
     return spark.range(1).select(first).select("first", F.least(F.date_add("first", days - 1), F.lit(end).cast("date")).alias("last"))
+
+
+def stepped(days: DataFrame, calendar: DataFrame, steps: int = 1) -> DataFrame:
+    """(day, last, next): for each of ``days`` (day) the last session on or before it and the ``steps``-th after it, null where ``calendar`` (day, n) ends.
+
+    One window over the dates of both, of which there are some hundreds a year.
+    """
+    both = days.select("day").distinct().withColumn("_asked", F.lit(True)).join(calendar.select("day", "n"), "day", "full_outer")
+    upto = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    at = both.withColumns({"_n": F.coalesce(F.max("n").over(upto), F.lit(0)), "last": F.max(F.when(F.col("n").isNotNull(), F.col("day"))).over(upto)}).filter("_asked")
+    later = calendar.select((F.col("n") - steps).alias("_n"), F.col("day").alias("next"))
+    return at.join(F.broadcast(later), "_n", "left").select("day", "last", "next")
+
+
+def off_calendar(days: DataFrame, calendar: DataFrame) -> DataFrame:
+    """(day): those of ``days`` (day) that are no session: none where a series is in order."""
+    return days.select("day").distinct().join(F.broadcast(calendar.select("day")), "day", "left_anti")

@@ -49,3 +49,39 @@ def gaps(crawls: DataFrame) -> DataFrame:
         F.count("*").alias("crawls"), F.count_if("complete").alias("complete"), F.count_if(F.col("finished_at").isNull()).alias("open"),
         F.coalesce(F.sum("failures"), F.lit(0)).cast("long").alias("failures"), F.max(F.when(F.col("complete"), F.col("started_at"))).alias("latest_complete"),
     )
+
+
+#: Days that a crawl counts as fresh; minutes after which an open one is given up.
+FRESH_DAYS, STALE_MINUTES = 7, 30
+
+
+def policy(crawls: DataFrame, asked: DataFrame, now_us: int, force: bool = False) -> DataFrame:
+    """What to do for each of ``asked`` (domain, start, signature): (domain, usable, refresh, crawl_start, busy, age_days).
+
+    A crawl is a basis if it is complete and of the same signature. ``usable``: the latest complete crawl is one and covers the start;
+    ``refresh``: it isn't, or is older than a week, or a crawl is forced; ``crawl_start``: a refresh never narrows what its basis covers;
+    ``busy``: another crawl of the domain is open and not stale.
+    """
+    done = crawls.filter("complete AND started_at IS NOT NULL").groupBy("domain").agg(F.max(F.struct("started_at", "finished_at", "range_start", F.col("signature").alias("own"))).alias("c"))
+    open_ = crawls.groupBy("domain").agg(F.coalesce(F.max(F.when(F.col("finished_at").isNull(), F.unix_micros("started_at"))) > now_us - STALE_MINUTES * 60_000_000, F.lit(False)).alias("busy"))
+    rows = asked.join(done.select("domain", "c.*"), "domain", "left").join(open_, "domain", "left")
+    same = F.coalesce(F.col("own") == F.col("signature"), F.lit(False))
+    usable = same & F.coalesce(F.col("range_start") <= F.col("start"), F.lit(False))
+    age = F.floor((F.lit(now_us) - F.unix_micros(F.coalesce("finished_at", "started_at"))) / F.lit(float(DAY_US))).cast("long")
+    old = F.coalesce(F.lit(now_us) - F.unix_micros(F.coalesce("finished_at", "started_at")) > FRESH_DAYS * DAY_US, F.lit(True))
+    start = F.when(same, F.least("start", "range_start")).otherwise(F.col("start"))
+    return rows.select("domain", usable.alias("usable"), (~usable | old | F.lit(force)).alias("refresh"), start.alias("crawl_start"), F.coalesce("busy", F.lit(False)).alias("busy"), age.alias("age_days"))
+
+
+def kept_crawls(crawls: DataFrame, now_us: int, days: int = 90) -> DataFrame:
+    """Crawls started in the last ``days`` days, and each domain's latest complete one."""
+    last = latest_complete(crawls).select("domain", F.col("started_at").alias("_last"))
+    rows = crawls.join(last, "domain", "left")
+    return rows.filter((F.unix_micros("started_at") >= F.lit(now_us - days * DAY_US)) | (F.col("started_at") == F.col("_last"))).drop("_last")
+
+
+def cached_first(live: DataFrame, cached: DataFrame, start: str, end: str) -> DataFrame:
+    """Entries of ``live`` (url, title) whose canonical URL ``cached`` (url, lastmod as a date) doesn't list in the range or undated: what the cache gives comes first. Each URL once, with its greatest title."""
+    inside = F.col("lastmod").isNull() | F.col("lastmod").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    known = cached.filter(inside).select(urls.normalize(F.col("url")).alias("url")).distinct()
+    return live.groupBy(urls.normalize(F.col("url")).alias("url")).agg(F.max("title").alias("title")).join(known, "url", "left_anti")

@@ -136,3 +136,49 @@ def last_revision(stints: DataFrame, revisions: DataFrame) -> DataFrame:
     best = stints.select(*keys).join(own, ["symbol", "cik"]).filter(inside).groupBy(*keys).agg(F.max(F.struct("_rank", "revid")).alias("b"))
     newer = best.join(F.broadcast(upto), "valid_to").select(*keys, F.col("b.revid").alias("revid"), (F.col("_upto") - F.col("b._rank")).alias("depth"))
     return stints.join(newer, keys, "left").select(*keys, "revid", "depth")
+
+
+def close_intervals(stored: DataFrame, symbols: DataFrame, last_day: str) -> DataFrame:
+    """``stored`` with the open rows of ``symbols`` (symbol) ended on ``last_day``."""
+    gone = symbols.select("symbol").distinct().withColumn("_gone", F.lit(True))
+    end = F.when(F.col("_gone") & F.col("valid_to").isNull(), F.lit(last_day).cast("date")).otherwise(F.col("valid_to"))
+    return stored.join(gone, "symbol", "left").select(*[end.alias(c) if c == "valid_to" else F.col(c) for c in stored.columns])
+
+
+def record_snapshot(stored: DataFrame, roster: DataFrame, today: str, source: str = "snapshot") -> DataFrame:
+    """``stored`` after today's ``roster``: rows of symbols that left end yesterday, symbols that are new get a row open from today.
+
+    ``roster`` may lack columns of ``stored``; of several rows of a symbol the least counts. Recording a day twice changes nothing.
+    """
+    now = roster.filter("symbol IS NOT NULL").dropDuplicates(["symbol"])
+    open_ = stored.filter("valid_to IS NULL").select("symbol").distinct()
+    yesterday = F.date_sub(F.lit(today).cast("date"), 1)
+    gone = open_.join(now.select("symbol"), "symbol", "left_anti").withColumn("_gone", F.lit(True))
+    end = F.when(F.col("_gone") & F.col("valid_to").isNull(), yesterday).otherwise(F.col("valid_to"))
+    kept = stored.join(gone, "symbol", "left").select(*[end.alias(c) if c == "valid_to" else F.col(c) for c in stored.columns])
+    fixed = {"valid_from": F.lit(today).cast("date"), "valid_to": F.lit(None).cast("date"), "source": F.lit(source)}
+    kinds = dict(stored.dtypes)
+    fresh = now.join(open_, "symbol", "left_anti").select(*[(fixed[c] if c in fixed else F.col(c) if c in now.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in stored.columns])
+    return kept.unionByName(fresh)
+
+
+def backfilled(stored: DataFrame, built: DataFrame, source: str, force: bool = False) -> DataFrame:
+    """``stored`` with the rows of ``source`` built anew; as it is where it has such rows already, unless ``force``."""
+    if not force and not stored.filter(F.col("source") == source).isEmpty():
+        return stored
+    kinds = dict(stored.dtypes)
+    rows = built.select(*[(F.lit(source) if c == "source" else F.col(c) if c in built.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in stored.columns])
+    return stored.filter(~F.col("source").eqNullSafe(F.lit(source))).unionByName(rows)
+
+
+def relabelled(stored: DataFrame, updates: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``stored`` with the ``columns`` of ``updates`` (symbol, valid_from, columns) where it has a row of that symbol and day; nulls of an update are written."""
+    one = updates.select("symbol", "valid_from", *[F.col(c).alias(f"_{c}") for c in columns], F.lit(True).alias("_hit")).dropDuplicates(["symbol", "valid_from"])
+    return stored.join(one, ["symbol", "valid_from"], "left").select(*[F.when(F.col("_hit"), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in stored.columns])
+
+
+def coverage(stored: DataFrame, days: DataFrame) -> DataFrame:
+    """(day, problem): whether a list can be given for a day: ``empty`` without rows, ``too early`` before the first, else null."""
+    first = stored.agg(F.min("valid_from").alias("_first"))
+    problem = F.when(F.col("_first").isNull(), "empty").when(F.col("day") < F.col("_first"), "too early")
+    return days.select("day").distinct().join(F.broadcast(first)).select("day", problem.alias("problem"))
