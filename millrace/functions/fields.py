@@ -74,3 +74,23 @@ def symbol_on_cover(text: Column, ticker: Column, window: int = 900) -> Column:
     at = F.position(F.lit("trading symbol"), F.lower(bare))
     near = matching.edges(F.substr(bare, at, F.lit(window)))
     return F.when(at > 0, near.contains(F.concat(F.lit(" "), ticker, F.lit(" "))))
+
+
+#: fixed values: what to search a site for, per year and once per company
+SEARCHES = {
+    "cnbc.com": (("site:cnbc.com {ticker} {year}",), ("site:cnbc.com {company} stock news",)),
+    "ft.com": (("site:ft.com {ticker} {year}", 'site:ft.com "{company}" {year}'), ()),
+    "investing.com": (("site:investing.com/news {ticker} {year}", 'site:investing.com/news "{company}" {year}'), ()),
+    "nasdaq.com": (("site:nasdaq.com/articles {ticker} {year}",), ()),
+    "seekingalpha.com": (("site:seekingalpha.com/article {ticker} {year}",), ('site:seekingalpha.com "{ticker}" analysis',)),
+    "stocktwits.com": (("site:stocktwits.com {ticker} {year}",), ()),
+    "finance.yahoo.com": (("site:finance.yahoo.com {ticker} news {year}",), ()),
+}
+
+
+def site_searches(site: str, company: Column, ticker: Column, start: Column, end: Column) -> Column:
+    """The searches of one known site as an array, years first."""
+    yearly, once = SEARCHES[site]
+    fill = lambda text, year: F.replace(F.replace(F.replace(F.lit(text), F.lit("{company}"), company), F.lit("{ticker}"), ticker), F.lit("{year}"), year)
+    years = F.flatten(F.transform(F.sequence(F.year(start), F.year(end)), lambda y: F.array(*[fill(t, y.cast("string")) for t in yearly])))
+    return F.concat(years, F.array(*[fill(t, F.lit("")) for t in once])) if once else years

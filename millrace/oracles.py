@@ -262,6 +262,6 @@ b AS (SELECT s.*, arg_max(r.revid, (r.ts, r.revid)) AS revid, max(r.ts) AS ts FR
 d AS (SELECT b.symbol, b.cik, b.valid_from, b.valid_to, b.revid, count(t.ts) AS depth FROM b LEFT JOIN (SELECT DISTINCT revid, ts FROM r) t ON (t.ts > b.ts OR (t.ts = b.ts AND t.revid > b.revid)) AND t.ts < b.valid_to + INTERVAL 1 DAY GROUP BY ALL)
 SELECT s.symbol, s.cik, CAST(s.valid_from AS VARCHAR) AS valid_from, CAST(s.valid_to AS VARCHAR) AS valid_to, revid, coalesce(depth, -1) AS depth FROM s LEFT JOIN d ON s.symbol = d.symbol AND s.cik = d.cik AND s.valid_from = d.valid_from AND s.valid_to = d.valid_to""",
     }
-    from millrace import stored_queries
+    from millrace import reader_queries, stored_queries
 
-    return named | stored_queries.SQL
+    return named | stored_queries.SQL | reader_queries.SQL

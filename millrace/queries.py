@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace import stored_queries
+from millrace import reader_queries, stored_queries
 from millrace.functions import articles as A
 from millrace.functions import calendar, fields, matching, urls
 from millrace.operators import asof, audit, crawls, history, labels, membership, moments, preselect, queue, series
@@ -389,5 +389,5 @@ def queries() -> dict[str, Query]:
         latest_crawls, crawl_gaps, current_entries, entry_upsert, membership_as_of, members_by_day, closed_targets, snapshot_changes, resolve_names,
         membership_spans, ticker_names, label_stability, run_summary, field_formats, search_texts, name_presence, stored_presence, label_weights, stints_from_log, last_revisions,
         stream_hours, stream_queue, deletable_pairs, rule_scores, strata_sample, strata_rates, class_confusion, wilson_by_source, top_tickers, trading_sessions, quiet_sessions, date_windows, busiest_hour, user_sessions, daily_change, name_mentions,
-        *stored_queries.QUERIES,
+        *stored_queries.QUERIES, *reader_queries.QUERIES,
     )

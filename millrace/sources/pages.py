@@ -168,6 +168,21 @@ def constituents(pages: DataFrame, key: str = "path", text: str = "value", table
     return _rows_of(pages, key, text, parse, f"{key} string, " + ", ".join(f"{c} string" for c in CONSTITUENTS))
 
 
+def by_header(pages: DataFrame, wanted: dict[str, str], key: str = "path", text: str = "value", table_id: str | None = None) -> DataFrame:
+    """Columns ``wanted`` (name -> header) of a page's table, found by the names in its first row: rows without the first of them are skipped, columns that the table lacks are null."""
+    names = list(wanted)
+
+    def parse(html):
+        rows = html_rows(html, table_id)
+        at = {h: k for k, h in enumerate(rows[0])} if rows else {}
+        for cells in rows[1:]:
+            got = [cells[at[wanted[n]]] if wanted[n] in at and at[wanted[n]] < len(cells) else None for n in names]
+            if got[0]:
+                yield tuple(got)
+
+    return _rows_of(pages, key, text, parse, f"{key} string, " + ", ".join(f"{n} string" for n in names))
+
+
 def change_log(pages: DataFrame, key: str = "path", text: str = "value", table_id: str = "changes") -> DataFrame:
     """(ordinal, effective_date, added_ticker, added_security, removed_ticker, removed_security, reason): two header rows
     are skipped, as are rows without a readable date or without either ticker."""
@@ -210,6 +225,18 @@ def wiki_table(text: str | None) -> tuple[list[dict[str, str]], int]:
     return good, len(full) - len(good)
 
 
+def wiki_rows(pages: DataFrame, key: str = "path", text: str = "value") -> DataFrame:
+    """(path, row_no, header, cell, dropped): the cells of each page's first wiki table, with how many of its rows were dropped."""
+
+    def parse(t):
+        rows, dropped = wiki_table(t)
+        for n, row in enumerate(rows, 1):
+            for header, cell in row.items():
+                yield n, header, cell, dropped
+
+    return _rows_of(pages, key, text, parse, f"{key} string, row_no int, header string, cell string, dropped int")
+
+
 #: fixed values: headers of company lists
 COMPANY_HEADERS = {"ticker": ("ticker", "Symbol"), "name": ("name", "Security", "Company"), "sector": ("sector", "GICS Sector")}
 
