@@ -178,7 +178,11 @@ def found(articles: DataFrame, rows: DataFrame, residue_ids: DataFrame) -> DataF
     ``rows`` (id, prose) are stored labels of the bodies. Ids of ``residue_ids`` (problem 3) are never ``not_prose``; null
     bodies and null stored numbers give no case.
     """
-    n = F.regexp_count("body_text", F.lit(r"(?U)[^\s\x1c-\x1f]+"))
-    counted = articles.filter(F.col("word_count").isNotNull() & F.col("body_text").isNotNull() & (n != F.col("word_count")))
     grids = rows.filter("NOT prose").select("id").join(residue_ids, "id", "left_anti")
-    return counted.select("id", F.lit("word_count").alias("case_kind")).unionByName(grids.select("id", F.lit("not_prose").alias("case_kind"))).distinct()
+    return wrong_counts(articles).select("id", F.lit("word_count").alias("case_kind")).unionByName(grids.select("id", F.lit("not_prose").alias("case_kind"))).distinct()
+
+
+def wrong_counts(articles: DataFrame) -> DataFrame:
+    """(id, n_words) of articles whose stored number isn't the number of runs of non-blank characters; nulls on either side are no case."""
+    n = F.regexp_count("body_text", F.lit(r"(?U)[^\s\x1c-\x1f]+"))
+    return articles.select("id", "word_count", n.alias("n_words")).filter("word_count IS NOT NULL AND n_words <> word_count").select("id", "n_words")

@@ -48,6 +48,10 @@ def _p5_found(s: SparkSession, d: str) -> DataFrame:
     return quality.found(articles, rows, residue.excluded(rows, articles).select("id"))
 
 
+def _p5_word_counts(s: SparkSession, d: str) -> DataFrame:
+    return quality.wrong_counts(table(s, d, "articles"))
+
+
 def _p5_statistics(s: SparkSession, d: str) -> DataFrame:
     return quality.text_statistics(table(s, d, "articles"))
 
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "p4_found": _p4_found,
         "p4_main_bodies": _p4_main_bodies,
         "p5_found": _p5_found,
+        "p5_word_counts": _p5_word_counts,
         "p5_statistics": _p5_statistics,
         "p8_containers": _p8_containers,
         "p8_fill": _p8_fill,
@@ -109,12 +114,21 @@ lines AS (
 """
 
 
+_REPEATED = f"""
+{_LINES}, often AS (
+  SELECT source_domain, letters FROM lines WHERE length(letters) >= 12 GROUP BY ALL HAVING count(DISTINCT id) >= 5),
+found AS (SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM lines JOIN often USING (source_domain, letters))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "p1_found": f"""
-WITH {_LINES}, often AS (
-  SELECT source_domain, letters FROM lines WHERE length(letters) >= 12 GROUP BY ALL HAVING count(DISTINCT id) >= 5)
-SELECT DISTINCT id, CAST(line_no AS INTEGER) AS line_no FROM lines JOIN often USING (source_domain, letters)
+        "p1_found": f"WITH {_REPEATED} SELECT * FROM found",
+        "p1_clean_bodies": f"""
+WITH {_REPEATED}, cuts AS (SELECT id, list(line_no) AS c FROM found GROUP BY id)
+SELECT a.id, CASE WHEN c IS NULL THEN body_text ELSE array_to_string(list_filter(string_split(body_text, chr(10)), lambda x, i: NOT list_contains(c, CAST(i AS INTEGER))), chr(10)) END AS clean_text
+FROM articles a LEFT JOIN cuts ON cuts.id = a.id
 """,
+        "p5_word_counts": "SELECT id, len(list_filter(regexp_split_to_array(body_text, '[\\s\\x0b\\x1c-\\x1f\\x85\\x{00a0}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{3000}]+'), lambda w: w <> '')) AS n_words FROM articles WHERE word_count IS NOT NULL AND body_text IS NOT NULL AND n_words <> word_count",
         "p9_found": f"SELECT DISTINCT d.doc_id, i.item_id FROM ({_grams('documents', 'doc_id', 'text')}) d JOIN ({_grams('eval_items', 'item_id', 'item_text')}) i USING (g)",
     }

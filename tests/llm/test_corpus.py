@@ -198,7 +198,7 @@ def test_no_grades_no_levels(spark):
     assert reading.levels(d, labels).count() == 0 and reading.found(d, labels).count() == 0
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p9_found"])
+@pytest.mark.parametrize("name", ["p1_clean_bodies", "p1_found", "p5_word_counts", "p9_found"])
 def test_query_equals_sql(spark, small, name):
     from sqlcheck import assert_same, connect
 
