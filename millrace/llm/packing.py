@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,10 +43,15 @@ def encoding(path: str = TOKENIZER):
 
 
 def token_counts(documents: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """(doc_id, n_tokens); a null text has none, as an empty one."""
+    """(doc_id, n_tokens); a null text has none, as an empty one. The vocabulary is sent to executors that don't have it at ``path``."""
+    if not os.path.isfile(path):
+        raise FileNotFoundError(f"no vocabulary at {path}: set MILLRACE_TOKENIZER to one of a public tokenizer")
+    context = documents.sparkSession.sparkContext
+    if not context.master.startswith("local"):
+        context.addFile(path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own = encoding(path)
+        own = encoding(path if os.path.isfile(path) else SparkFiles.get(os.path.basename(path)))
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array([len(own.encode_ordinary(t)) if t else 0 for t in pdf["text"]], dtype=np.int32)})
 
