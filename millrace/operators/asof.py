@@ -19,6 +19,8 @@ from millrace.session import small_enough
 ATTRIBUTES = ("security", "gics_sector", "gics_sub_industry")
 #: Histories of at most so many rows may be broadcast (about 200 bytes a row).
 BROADCAST_ROWS = 200_000
+#: Copies of each history where they are too many to broadcast.
+SALT = 16
 
 
 def symbol_key(symbol: Column) -> Column:
@@ -60,9 +62,13 @@ def match(events: DataFrame, history: DataFrame, attributes: tuple[str, ...] = A
     entry = F.struct("valid_from", F.coalesce("known", F.lit(-(1 << 62))).alias("known"), "value", "valid_to")
     wide = history.groupBy("sym").pivot("attribute", list(attributes)).agg(F.sort_array(F.collect_list(entry), asc=False))
     wide = wide.select(F.col("sym").alias("_sym"), *[F.col(a).alias(f"_h_{a}") for a in attributes])
+    keyed = events.withColumn("_key", symbol_key(F.col(symbol)))
     if small_enough(history, BROADCAST_ROWS):
-        wide = F.broadcast(wide)
-    joined = events.withColumn("_key", symbol_key(F.col(symbol))).join(wide, F.col("_key") == F.col("_sym"), "left")
+        joined = keyed.join(F.broadcast(wide), F.col("_key") == F.col("_sym"), "left")
+    else:  # one symbol may hold a third of the events: they are spread over copies of its history
+        salted = keyed.withColumn("_salt", F.pmod(F.xxhash64(symbol, us, F.spark_partition_id()), F.lit(SALT)).cast("int"))
+        copies = wide.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+        joined = salted.join(copies, (F.col("_key") == F.col("_sym")) & (F.col("_salt") == F.col("_copy")), "left")
     day = F.date_from_unix_date(F.floor(F.col(us) / F.lit(float(ts.DAY_US))).cast("int"))
     joined = joined.withColumn("_day", day)
 
@@ -89,6 +95,5 @@ def attributes_at_publication(articles: DataFrame, membership: DataFrame, sites:
 
 def found(articles: DataFrame, membership: DataFrame, sites: DataFrame) -> DataFrame:
     """(id, valid_from): the version in force and known at each article's ``pub_date``."""
-    one = ("gics_sub_industry",)
-    out = match(article_moments(articles, sites), histories(membership, one), one)
+    out = match(article_moments(articles, sites), histories(membership))
     return out.filter(F.col("gics_sub_industry_from").isNotNull()).select("id", F.col("gics_sub_industry_from").cast("string").alias("valid_from")).distinct()

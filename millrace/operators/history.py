@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.store import BucketStore
-from millrace.session import materialize, shared_dir
+from millrace.session import materialize, work_dir
 
 LABELS = ("security", "gics_sector", "gics_sub_industry")
 OPEN_END = "9999-12-31"
@@ -128,7 +128,7 @@ def versions(snapshots: DataFrame, membership: DataFrame) -> DataFrame:
     flagged = snapshots.select(*cols, F.coalesce(mark, F.lit(False)).alias("_late"))
     base, late = flagged.filter(~F.col("_late")).drop("_late"), flagged.filter("_late").drop("_late")
     spark = snapshots.sparkSession
-    store = BucketStore(spark, f"{shared_dir(spark).rstrip('/')}/millrace/chains-{uuid.uuid4().hex}", ["symbol"])
+    store = BucketStore(spark, f"{work_dir(spark)}/chains-{uuid.uuid4().hex}", ["symbol"])
     store.replace(snapshot_chains(base, calendar(base)))
     update_store(store, base, late)
     return _spread(store.read(), "snapshots").unionByName(_spread(stored_chains(membership), "stored"))

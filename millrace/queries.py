@@ -13,7 +13,7 @@ from millrace.functions import articles as A
 from millrace.functions import calendar, fields, matching, urls
 from millrace.operators import asof, audit, crawls, history, labels, membership, moments, preselect, queue, series
 from millrace.operators.store import BucketStore
-from millrace.session import shared_dir
+from millrace.session import work_dir
 from millrace.sources.tables import table
 from millrace.streaming import ingest
 
@@ -359,7 +359,7 @@ def stream_hours(s: SparkSession, d: str) -> DataFrame:
 
 def stream_queue(s: SparkSession, d: str) -> DataFrame:
     """The queue that a stream of all its rows builds from nothing."""
-    base = f"{shared_dir(s).rstrip('/')}/millrace/queue-{uuid.uuid4().hex}"
+    base = f"{work_dir(s)}/queue-{uuid.uuid4().hex}"
     store = BucketStore(s, f"{base}/store", ["url", "ticker"])
     ingest.ingest(ingest.file_stream(s, f"{d.rstrip('/')}/discovered_urls.parquet"), store, f"{base}/checkpoint").awaitTermination()
     return store.read().select("url", "ticker", "status", "match_class", "query")

@@ -13,7 +13,7 @@ from millrace import oracles as O
 from millrace.functions import articles as A
 from millrace.functions import fields, urls
 from millrace.operators import facts, filings, labels, preselect, queue, series
-from millrace.session import materialize, shared_dir
+from millrace.session import materialize, work_dir
 from millrace.sources import pages, schema, sinks
 from millrace.sources.tables import table
 
@@ -283,7 +283,7 @@ def rule_violations(s: SparkSession, d: str) -> DataFrame:
 
 
 def _folder(s: SparkSession, name: str) -> str:
-    return f"{shared_dir(s).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(s)}/{name}-{uuid.uuid4().hex}"
 
 
 def pending_export(s: SparkSession, d: str) -> DataFrame:

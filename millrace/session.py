@@ -67,15 +67,38 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     Cuts lineage with files that outlive an executor, so a lost executor costs no recomputation.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_cleared: set[str] = set()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The folder of this application's intermediate tables in the shared folder; it is deleted when the driver's process ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/millrace/{spark.sparkContext.applicationId}"
+    if path not in _cleared:
+        _cleared.add(path)
+        atexit.register(_clear_quietly, spark, path)
+    return path
+
+
+def _clear_quietly(spark: SparkSession, path: str) -> None:
+    try:
+        _delete(spark, path)
+    except Exception:  # the session may be gone by then
+        pass
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def clear_materialized(spark: SparkSession) -> None:
-    """Deletes all intermediate tables in the shared folder: for when no DataFrame that reads one is used any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/millrace")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    """Deletes this application's intermediate tables before its end: for when no DataFrame that reads one is used any more."""
+    _delete(spark, work_dir(spark))
 
 
 def small_enough(df: DataFrame, max_rows: int) -> bool:

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators import queue
 from millrace.operators.store import BucketStore
-from millrace.session import materialize, shared_dir
+from millrace.session import materialize, work_dir
 
 
 def merge_into(store: BucketStore, empty: DataFrame) -> Callable[[DataFrame, int], None]:
@@ -49,7 +49,7 @@ def ingest(stream: DataFrame, store: BucketStore, checkpoint: str) -> StreamingQ
 def settle(stream: DataFrame, name: str) -> DataFrame:
     """Runs an aggregating stream over all input there is and gives its last state, written to the shared folder."""
     spark = stream.sparkSession
-    base = f"{shared_dir(spark).rstrip('/')}/millrace/{name}-{uuid.uuid4().hex}"
+    base = f"{work_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
     def keep(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/state")

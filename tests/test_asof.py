@@ -52,3 +52,13 @@ def test_equals_brute_force(spark, small):
             want[r.id] = str(max(fits))
     assert got == want and len(got) > 50
     assert ts.DAY_US == 86_400_000_000
+
+
+def test_histories_too_many_to_broadcast(spark, monkeypatch):
+    rows = [("A", "a", "s", "i1", "2020-01-01", "2020-12-31", None), ("A", "a", "s", "i2", "2021-01-01", None, None), ("B", "b", "s", "j", "2020-01-01", None, None)]
+    events = spark.createDataFrame([(i, x, us) for i, (x, us) in enumerate([("A", 1_590_000_000_000_000), (" a ", 1_650_000_000_000_000), ("B", 1_650_000_000_000_000), ("Z", 1), (None, 1)] * 9)], "id long, ticker string, us long")
+    got = []
+    for most in (200_000, 0):
+        monkeypatch.setattr(asof, "BROADCAST_ROWS", most)
+        got.append(sorted(map(str, asof.match(events, asof.histories(membership(spark, rows))).collect())))
+    assert got[0] == got[1] and len(got[0]) == 45
