@@ -54,3 +54,16 @@ def differences(actual: DataFrame, expected: DataFrame, key: str, value: str, to
 def excerpt(body: Column, length: int = 400) -> Column:
     """The head of a text on one line."""
     return F.substring(F.regexp_replace(F.trim(body), r"\s+", " "), 1, length)
+
+
+def spliced(sample: DataFrame, old: DataFrame) -> DataFrame:
+    """A new labelling sheet: each row of ``sample`` (id, ordinal) in its place, with the label and notes that ``old`` has for its id, else blank."""
+    kept = old.filter(F.trim(F.coalesce("label", F.lit(""))) != "").select("id", F.col("label").alias("_l"), F.col("notes").alias("_n")).dropDuplicates(["id"])
+    return sample.join(kept, "id", "left").select("id", "ordinal", F.coalesce("_l", F.lit("")).alias("label"), F.coalesce("_n", F.lit("")).alias("notes"))
+
+
+def verdict(labelled: DataFrame, most_wrong: int = 5, most_missed: int = 1) -> DataFrame:
+    """One row (wrong, missed, unlabelled, passed) of (match_class, label): accepts that are wrong, rejects that are right, rows without yes or no."""
+    wrong, missed = F.count_if((F.col("match_class") == "accept") & (F.col("label") == "no")), F.count_if((F.col("match_class") == "reject") & (F.col("label") == "yes"))
+    none = F.count_if(~F.coalesce(F.col("label").isin("yes", "no"), F.lit(False)))
+    return labelled.agg(wrong.alias("wrong"), missed.alias("missed"), none.alias("unlabelled")).withColumn("passed", (F.col("wrong") <= most_wrong) & (F.col("missed") <= most_missed) & (F.col("unlabelled") == 0))

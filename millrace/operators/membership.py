@@ -182,3 +182,24 @@ def coverage(stored: DataFrame, days: DataFrame) -> DataFrame:
     first = stored.agg(F.min("valid_from").alias("_first"))
     problem = F.when(F.col("_first").isNull(), "empty").when(F.col("day") < F.col("_first"), "too early")
     return days.select("day").distinct().join(F.broadcast(first)).select("day", problem.alias("problem"))
+
+
+PUBLIC = ("symbol", "security", "gics_sector", "gics_sub_industry", "hq_location", "date_added", "cik", "founded", "valid_from", "valid_to", "source", "gics_revision_id")
+
+
+def public(rows: DataFrame) -> DataFrame:
+    """``rows`` in the public form of twelve columns; columns that an older table lacks are null."""
+    return rows.select(*[F.col(c).cast("string").alias(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in PUBLIC])
+
+
+def tracked(asked: DataFrame, membership: DataFrame) -> DataFrame:
+    """(ticker, tracked): whether each asked ticker has an open row; blanks at the ends and case are ignored, null is not tracked."""
+    own = membership.filter("valid_to IS NULL").select(F.upper(F.trim("symbol")).alias("_s")).distinct().withColumn("_t", F.lit(True))
+    return asked.select("ticker").distinct().join(own, F.upper(F.trim("ticker")) == F.col("_s"), "left").select("ticker", F.coalesce("_t", F.lit(False)).alias("tracked"))
+
+
+def chosen_stint(membership: DataFrame, floor: str) -> DataFrame:
+    """(symbol, start, end): of the rows that end last the one that starts last, not before ``floor``; a symbol with an open row has no end."""
+    last = F.coalesce("valid_to", F.lit("9999-12-31").cast("date"))
+    best = membership.filter("symbol IS NOT NULL AND valid_from IS NOT NULL").groupBy("symbol").agg(F.max(F.struct(last.alias("e"), "valid_from", "valid_to")).alias("b"))
+    return best.select("symbol", F.greatest("b.valid_from", F.lit(floor).cast("date")).alias("start"), F.col("b.valid_to").alias("end"))

@@ -153,3 +153,21 @@ def fingerprint(queue: DataFrame, articles: DataFrame) -> DataFrame:
     a = articles.agg(F.count("*").alias("articles"), F.max("id").alias("article_max"))
     o = articles.join(queue, "id", "left_anti").agg(F.count("*").alias("orphans"))
     return q.join(F.broadcast(a)).join(F.broadcast(o))
+
+
+def delete_conditions(before: DataFrame, after: DataFrame, gone: DataFrame, articles: DataFrame) -> DataFrame:
+    """(condition, holds) after ``gone`` (id) was deleted: as many rows left as should be, none of those listed, no other row lost, no accept or review and no pair with an article among them."""
+    counts = before.agg(F.count("*").alias("b")).join(F.broadcast(after.agg(F.count("*").alias("a")))).join(F.broadcast(gone.agg(F.count_distinct("id").alias("g"))))
+    left = after.join(gone, "id", "left_semi").agg(F.count("*").alias("l"))
+    lost = before.join(after, "id", "left_anti").join(gone, "id", "left_anti").agg(F.count("*").alias("o"))
+    good = before.join(gone, "id", "left_semi").agg(F.count_if(F.col("match_class") != "reject").alias("r"))
+    held = articles.join(gone, "id", "left_semi").agg(F.count("*").alias("h"))
+    row = counts.join(F.broadcast(left)).join(F.broadcast(lost)).join(F.broadcast(good)).join(F.broadcast(held))
+    tests = {"count": F.col("b") - F.col("g") == F.col("a"), "none listed": F.col("l") == 0, "no other": F.col("o") == 0, "rejects only": F.col("r") == 0, "no article": F.col("h") == 0}
+    return row.select(F.inline(F.array(*[F.struct(F.lit(k).alias("condition"), v.alias("holds")) for k, v in tests.items()])))
+
+
+def progress(queue: DataFrame) -> DataFrame:
+    """(ticker, line): of a ticker's pairs that aren't rejects, how many are no longer pending."""
+    g = queue.filter("match_class <> 'reject'").groupBy("ticker").agg(F.count("*").alias("n"), F.count_if(F.col("status") != "pending").alias("k"))
+    return g.select("ticker", F.concat(F.col("k").cast("string"), F.lit(" of "), F.col("n").cast("string"), F.lit(" processed")).alias("line"))

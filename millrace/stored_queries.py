@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace import oracles as O
 from millrace.functions import calendar
-from millrace.operators import crawls, holds, membership, prices, queue, reclass
+from millrace.operators import crawls, holds, labels, membership, prices, queue, reclass
 from millrace.session import materialize
 from millrace.sources.pages import lenient_date
 from millrace.sources.tables import table
@@ -264,10 +264,84 @@ def live_after_cache(s: SparkSession, d: str) -> DataFrame:
     return crawls.cached_first(table(s, d, "discovered_urls").select("url", "title"), now, "2024-01-01", "2024-12-31").select("url")
 
 
+def members_public(s: SparkSession, d: str) -> DataFrame:
+    """Membership in its public form, from a table without citations."""
+    return membership.public(table(s, d, "universe_membership").drop("gics_revision_id", "gics_revision_timestamp"))
+
+
+def tracked_tickers(s: SparkSession, d: str) -> DataFrame:
+    return membership.tracked(table(s, d, "articles").filter("ticker IS NOT NULL"), table(s, d, "universe_membership"))
+
+
+def chosen_stints(s: SparkSession, d: str) -> DataFrame:
+    return membership.chosen_stint(table(s, d, "universe_membership"), "2022-06-01")
+
+
+def sheet_spliced(s: SparkSession, d: str) -> DataFrame:
+    """Every tenth pair as a new sheet, with what an older sheet of every fourth says of it."""
+    q = table(s, d, "discovered_urls")
+    old = q.filter("id % 4 = 0").select("id", F.when(F.col("id") % 3 == 0, "yes").otherwise("").alias("label"), F.lit("seen").alias("notes"))
+    return labels.spliced(q.filter("id % 10 = 0").select("id", (F.col("id") / 10).cast("long").alias("ordinal")), old)
+
+
+def sample_verdict(s: SparkSession, d: str) -> DataFrame:
+    """Whether labels that say no to every thousandth accept pass."""
+    q = table(s, d, "discovered_urls")
+    label = F.when(F.col("match_class") == "accept", F.when(F.col("id") % 1000 == 0, "no").otherwise("yes")).otherwise("no")
+    return labels.verdict(q.select("match_class", label.alias("label")))
+
+
+def class_members(s: SparkSession, d: str) -> DataFrame:
+    """Pairs per class as ruled now and source."""
+    rows = reclass.retags(_titled(s, d)).join(table(s, d, "discovered_urls").select("id", "source"), "id")
+    return rows.groupBy("new_class", "source").agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+
+
+def _deletable(s: SparkSession, d: str) -> DataFrame:
+    q = table(s, d, "discovered_urls")
+    return queue.deletable(q, table(s, d, "articles"), crawls.latest_complete(table(s, d, "sitemap_crawls")), q.filter("id % 50 = 0"))
+
+
+def deletable_kinds(s: SparkSession, d: str) -> DataFrame:
+    """Pairs that may go, by whether their address is in the current sitemaps, with shares."""
+    now = crawls.current_entries(table(s, d, "sitemap_entries"), table(s, d, "sitemap_crawls")).select("url").distinct().withColumn("_now", F.lit(True))
+    g = _deletable(s, d).join(now, "url", "left").groupBy(F.when(F.col("_now"), "listed").otherwise("left").alias("kind")).agg(F.count("*").alias("n"))
+    total = g.agg(F.sum("n").alias("t"))
+    return g.join(F.broadcast(total)).select("kind", "n", F.round(F.col("n") / F.col("t"), 6).alias("share"))
+
+
+def delete_conditions(s: SparkSession, d: str) -> DataFrame:
+    q, gone = table(s, d, "discovered_urls"), materialize(_deletable(s, d).select("id"), "gone")
+    return queue.delete_conditions(q, q.join(gone, "id", "left_anti"), gone, table(s, d, "articles"))
+
+
+def progress_lines(s: SparkSession, d: str) -> DataFrame:
+    return queue.progress(table(s, d, "discovered_urls"))
+
+
+def entry_counts(s: SparkSession, d: str) -> DataFrame:
+    """Current entries of each site in 2024 or undated."""
+    e = crawls.current_entries(table(s, d, "sitemap_entries"), table(s, d, "sitemap_crawls")).withColumn("day", lenient_date(F.col("lastmod")))
+    inside = F.col("day").isNull() | F.col("day").between(F.lit("2024-01-01").cast("date"), F.lit("2024-12-31").cast("date"))
+    return e.groupBy("domain").agg(F.count_if(inside).alias("n"))
+
+
+def startup_counts(s: SparkSession, d: str) -> DataFrame:
+    """Rows of the pipeline's tables, and membership rows that a backfill wrote."""
+    names = ("discovered_urls", "articles", "sitemap_entries", "sitemap_crawls", "universe_membership")
+    counts = [table(s, d, n).agg(F.count("*").alias("n")).select(F.lit(n).alias("of"), "n") for n in names]
+    counts.append(table(s, d, "universe_membership").filter("source = 'changes_backfill'").agg(F.count("*").alias("n")).select(F.lit("backfilled").alias("of"), "n"))
+    out = counts[0]
+    for c in counts[1:]:
+        out = out.unionByName(c)
+    return out
+
+
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     quarantine_sync, quarantine_counts, sync_forecast, held_accepts, fetch_marks, fetch_marks_by_url, reevaluated_pairs, recorded_fetch, reclass_audit, reclass_applied, reclass_reverted, reclass_report, reclass_conditions,
     reclass_problems, retag_counts, name_hits, redated, new_rejects, reset_pairs, adjusted_series, non_trades, split_events, vendor_candles, distributions, missing_sessions, session_steps, off_calendar_days, snapshot_recorded,
     membership_backfilled, membership_relabelled, coverage_days, crawl_policy, crawl_retention, live_after_cache,
+    members_public, tracked_tickers, chosen_stints, sheet_spliced, sample_verdict, class_members, deletable_kinds, delete_conditions, progress_lines, entry_counts, startup_counts,
 )
 
 _SYNC = """synced AS (SELECT a.*, d.match_class, CASE WHEN d.match_class <> 'accept' AND (fetch_status IS NULL OR fetch_status <> 'quarantined') THEN 'quarantined' WHEN d.match_class = 'accept' AND fetch_status = 'quarantined' THEN prev_fetch_status ELSE fetch_status END AS s2,
@@ -340,4 +414,18 @@ e AS (SELECT domain, count(*) AS entries FROM sitemap_entries WHERE epoch_us(las
     "live_after_cache": rf"""WITH c AS (SELECT domain, max(started_at) AS at FROM sitemap_crawls WHERE complete GROUP BY domain), k AS (SELECT {O._NORMAL} AS url FROM sitemap_entries e JOIN c ON c.domain = e.domain AND e.last_seen = c.at
   WHERE coalesce(coalesce(TRY_CAST(nullif(regexp_extract(trim(lastmod), '^(\d{{4}}-\d{{2}}-\d{{2}})(?:$|[T ])', 1), '') AS DATE), TRY_CAST(nullif(regexp_extract(trim(lastmod), '^(\d{{4}}-\d{{2}})$', 1), '') || '-01' AS DATE)) BETWEEN DATE '2024-01-01' AND DATE '2024-12-31', true))
 SELECT DISTINCT {O._NORMAL} AS url FROM discovered_urls WHERE {O._NORMAL} NOT IN (SELECT url FROM k)""",
+    "members_public": "SELECT symbol, security, gics_sector, gics_sub_industry, hq_location, date_added, cik, founded, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to, source, CAST(NULL AS VARCHAR) AS gics_revision_id FROM universe_membership",
+    "tracked_tickers": "SELECT DISTINCT ticker, upper(trim(ticker)) IN (SELECT upper(trim(symbol)) FROM universe_membership WHERE valid_to IS NULL AND symbol IS NOT NULL) AS tracked FROM articles WHERE ticker IS NOT NULL",
+    "chosen_stints": """SELECT symbol, CAST(greatest(valid_from, DATE '2022-06-01') AS VARCHAR) AS start, CAST(valid_to AS VARCHAR) AS "end" FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY coalesce(valid_to, DATE '9999-12-31') DESC, valid_from DESC) AS k FROM universe_membership WHERE symbol IS NOT NULL AND valid_from IS NOT NULL) WHERE k = 1""",
+    "sheet_spliced": "SELECT id, id // 10 AS ordinal, CASE WHEN id % 12 = 0 THEN 'yes' ELSE '' END AS label, CASE WHEN id % 12 = 0 THEN 'seen' ELSE '' END AS notes FROM discovered_urls WHERE id % 10 = 0",
+    "sample_verdict": "SELECT count(*) FILTER (match_class = 'accept' AND id % 1000 = 0) AS wrong, 0 AS missed, 0 AS unlabelled, count(*) FILTER (match_class = 'accept' AND id % 1000 = 0) <= 5 AS passed FROM discovered_urls",
+    "class_members": f"WITH {O._PAIRS}, n AS (SELECT d.id, d.source, CASE WHEN d.source = 'api' THEN 'accept' ELSE c.match_class END AS new_class FROM discovered_urls d LEFT JOIN classed c ON c.id = d.id WHERE d.source = 'api' OR c.id IS NOT NULL) SELECT new_class, source, count(*) AS n, min(id) AS first_id FROM n GROUP BY ALL",
+    "deletable_kinds": """WITH l AS (SELECT domain, max(started_at) AS began, arg_max(entries, started_at) AS n FROM sitemap_crawls WHERE complete GROUP BY domain), k AS (SELECT DISTINCT url FROM sitemap_entries e JOIN l ON l.domain = e.domain AND e.last_seen = l.began),
+g AS (SELECT CASE WHEN url IN (SELECT url FROM k) THEN 'listed' ELSE 'left' END AS kind, count(*) AS n FROM discovered_urls d WHERE match_class = 'reject' AND status = 'skipped' AND source = 'sitemap' AND domain IN (SELECT domain FROM l WHERE n > 0) AND id NOT IN (SELECT id FROM articles) AND id % 50 <> 0 GROUP BY 1)
+SELECT kind, n, round(n / sum(n) OVER (), 6) AS share FROM g""",
+    "delete_conditions": "SELECT * FROM (VALUES ('count', true), ('none listed', true), ('no other', true), ('rejects only', true), ('no article', true)) t(condition, holds)",
+    "progress_lines": "SELECT ticker, count(*) FILTER (status <> 'pending') || ' of ' || count(*) || ' processed' AS line FROM discovered_urls WHERE match_class <> 'reject' GROUP BY ticker",
+    "entry_counts": r"""WITH c AS (SELECT domain, max(started_at) AS began FROM sitemap_crawls WHERE complete GROUP BY domain) SELECT e.domain, count(*) FILTER (coalesce(coalesce(TRY_CAST(nullif(regexp_extract(trim(lastmod), '^(\d{4}-\d{2}-\d{2})(?:$|[T ])', 1), '') AS DATE), TRY_CAST(nullif(regexp_extract(trim(lastmod), '^(\d{4}-\d{2})$', 1), '') || '-01' AS DATE)) BETWEEN DATE '2024-01-01' AND DATE '2024-12-31', true)) AS n
+FROM sitemap_entries e JOIN c ON c.domain = e.domain AND e.last_seen = c.began GROUP BY e.domain""",
+    "startup_counts": " UNION ALL ".join(f"SELECT '{n}' AS of, count(*) AS n FROM {n}" for n in ("discovered_urls", "articles", "sitemap_entries", "sitemap_crawls", "universe_membership")) + " UNION ALL SELECT 'backfilled', count(*) FROM universe_membership WHERE source = 'changes_backfill'",
 }
