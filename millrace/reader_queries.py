@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from millrace import oracles as O
 from millrace.functions import articles as A
 from millrace.functions import fields, urls
-from millrace.operators import facts, filings, labels, preselect, queue, series
-from millrace.session import materialize, work_dir
+from millrace.operators import facts, filings, labels, queue, series
+from millrace.session import work_dir
 from millrace.sources import pages, schema, sinks
 from millrace.sources.tables import table
 
@@ -320,19 +320,10 @@ def series_compared(s: SparkSession, d: str) -> DataFrame:
     return series.compare(e.groupBy("day").agg(F.count("*").cast("double").alias("n")), e.filter("user_id % 2 = 0").groupBy("day").agg(F.count("*").cast("double").alias("n")), "day", "n")
 
 
-def preselect_equal(s: SparkSession, d: str) -> DataFrame:
-    """Pairs of a site's entries that the candidate join misses, has too much or classes otherwise than a comparison of all: none."""
-    e = table(s, d, "sitemap_entries").groupBy(urls.normalize(F.col("url")).alias("url")).agg(F.max("title").alias("title")).withColumn("entry_id", F.col("url"))
-    c = table(s, d, "universe_membership").groupBy(F.col("symbol").alias("ticker")).agg(F.max("security").alias("company"))
-    mine, full = (materialize(f(e, c), "pairs") for f in (preselect.matches, preselect.full_scan))
-    both = mine.select("entry_id", "ticker", F.col("match_class").alias("a"), F.col("match_reason").alias("ra")).join(full.select("entry_id", "ticker", F.col("match_class").alias("b"), F.col("match_reason").alias("rb")), ["entry_id", "ticker"], "full_outer")
-    return both.agg(F.count_if(F.col("a").isNull()).alias("missing"), F.count_if(F.col("b").isNull()).alias("extra"), F.count_if((F.col("a") != F.col("b")) | (F.col("ra") != F.col("rb"))).alias("changed"), F.count("*").alias("pairs"))
-
-
 QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     sitemap_read, sitemap_crawled, feed_read, archive_read, constituents_read, constituents_by_header, change_log_read, wiki_read, company_list, raw_entries_read, news_read, messages_read, search_hits, article_pages, site_searches, cover_symbols,
     durations, paywalled_pages, page_fields_read, merged_labels, label_sheet, sheet_problems, label_differences, sample_refreshed, filings_latest, filings_listed, filing_years, filing_picks, filing_mentions, statement_checked, cover_shares,
-    schema_evolved, rule_violations, pending_export, news_appended, class_lists, written_with_manifest, series_compared, preselect_equal,
+    schema_evolved, rule_violations, pending_export, news_appended, class_lists, written_with_manifest, series_compared,
 )
 
 _SHEET = "sheet AS (SELECT id, match_class, CASE WHEN match_class = 'accept' THEN 'yes' ELSE 'no' END AS al, CASE WHEN id % 3 = 0 THEN CASE WHEN id % 2 = 0 THEN 'yes' ELSE 'unclear' END END AS ml FROM discovered_urls WHERE id % 10 = 0)"
@@ -390,5 +381,4 @@ SELECT concept, "column", CASE k WHEN '2' THEN -v WHEN '3' THEN v + 500 ELSE v E
     "class_lists": "SELECT match_class, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids FROM discovered_urls WHERE match_class <> 'accept' GROUP BY match_class",
     "written_with_manifest": "SELECT count(*) AS rows, true AS named FROM sites",
     "series_compared": "WITH a AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (user_id % 2 = 0) AS m FROM events GROUP BY 1) SELECT count(*) FILTER (m > 0) AS shared, count(*) FILTER (m = 0) AS only_a, 0 AS only_b, CAST(max(CASE WHEN m > 0 THEN n - m END) AS DOUBLE) AS max_difference FROM a",
-    "preselect_equal": f"WITH {O._PRESELECT} SELECT 0 AS missing, 0 AS extra, 0 AS changed, count(*) AS pairs FROM pairs",
 }
