@@ -2,8 +2,9 @@
 
 The letters of a body are one stream, cut into chunks by content: a rolling hash over the letters ends a chunk wherever it
 hits a pattern, whatever lines the letters stand in, so a notice wrapped at another column has the same chunks. Distinct
-documents are counted per source and chunk. A line whose own chunks, those that its letters alone determine, don't all occur often
-enough is no case; what is left is then counted by line, exactly.
+documents are counted per source and chunk. Each line has chunks of its own, those that its letters alone determine; where it holds
+no whole one of the stream, that is the letters between the two strongest cuts of a narrower hash within it. A line whose own chunks
+don't all occur often enough is no case, and no line comes in otherwise; what is left is then counted by line, exactly.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from millrace.session import materialize
 
 #: Letters that the rolling hash sees; mean letters of a chunk (a power of two); articles from which a line is excessive; least letters of a line.
 WINDOW, MEAN, EXCESSIVE, LETTERS = 16, 128, 5, 12
+#: Letters that the narrower hash sees: fewer than ``LETTERS``, so that every line has two cuts.
+NARROW = 8
 
 _KEEP = np.zeros(256, bool)
 _KEEP[[0, 10, *range(97, 123), *range(128, 256)]] = True
@@ -30,11 +33,29 @@ def _letters(text: str) -> str:
     return low if low.isascii() else "".join(c for c in low if c == "\n" or c.isalpha())
 
 
+def _strongest(run: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of the letters between the two strongest cuts of each stretch [start, end), those where the hash of ``NARROW`` letters is
+    least (of equal ones the first), the windows of both included. No cut between them is as strong, so it is a chunk of that strength."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    n = end - start - NARROW + 1
+    begin = np.cumsum(n) - n
+    at = np.arange(n.sum()) + np.repeat(start - begin, n)
+    rolling = K.stretch(run, at, at + NARROW)
+    two = []
+    for _ in range(2):
+        hits = np.flatnonzero(rolling == np.repeat(np.minimum.reduceat(rolling, begin), n))
+        hit = hits[np.searchsorted(hits, begin)]
+        two.append(at[hit])
+        rolling[hit] = np.iinfo(np.uint64).max
+    return K.stretch(run, np.minimum(*two), np.maximum(*two) + NARROW)
+
+
 def cut(texts: list[str]) -> dict[str, np.ndarray]:
-    """The chunks of the letters of ``texts``, and their lines of at least ``LETTERS`` letters that hold no chunk, as arrays.
+    """The chunks of the letters of ``texts``, and one for each line of at least ``LETTERS`` letters that determines none, as arrays.
 
-    doc, chunk (hash, 0 for none), size (letters), first (of its chunk in its text); of the line that a chunk is determined by, or
-    of one without: line_no (from 1, or 0), letters, line (hash), parts (chunks that it determines).
+    doc, chunk (hash), size (letters, 0 for a chunk within those of the text), first (of its chunk in its text); of the line that a
+    chunk is determined by: line_no (from 1, or 0), letters, line (hash), parts (chunks that it determines).
     """
     raw = "\0".join(_letters(t) for t in texts) + "\0"
     full = np.frombuffer(raw.encode("utf-8", "replace"), np.uint8)
@@ -70,10 +91,6 @@ def cut(texts: list[str]) -> dict[str, np.ndarray]:
     same = np.append(owner[1:] == owner[:-1], False)  # whether a cut, not the end of the text, ends the chunk
     stop = np.where(same, np.append(bounds[1:], 0), doc_end[owner])
     chunk = K.stretch(run, bounds, stop)
-    chunk[chunk == 0] = 1
-    _, seen = np.unique(K.mix(chunk ^ K.mix(owner.astype(np.uint64))), return_index=True)
-    first = np.zeros(len(chunk), bool)
-    first[seen] = True
     # a chunk is determined by a line if both its ends are, each by the letters before it
     line = np.searchsorted(start, bounds - WINDOW, side="right") - 1
     held = (line >= 0) & same
@@ -88,9 +105,13 @@ def cut(texts: list[str]) -> dict[str, np.ndarray]:
         of_line = lambda x: np.zeros(len(line), x.dtype)
     both = lambda x, y: np.concatenate([x, y])
     none = np.zeros(len(bare), np.int64)
+    owner, chunk = both(owner, doc_of_line[bare]), both(chunk, _strongest(run, start[bare], end[bare]))
+    _, seen = np.unique(K.mix(chunk ^ K.mix(owner.astype(np.uint64))), return_index=True)
+    first = np.zeros(len(chunk), bool)
+    first[seen] = True
     return {
-        "doc": both(owner, doc_of_line[bare]), "chunk": both(chunk.view(np.int64), none), "size": both(lead[stop] - lead[bounds], none), "first": both(first, none.astype(bool)),
-        "line_no": both(of_line(line_no), line_no[bare]), "letters": both(of_line(letters), letters[bare]), "line": both(of_line(hashes), hashes[bare]), "parts": both(of_line(parts), none),
+        "doc": owner, "chunk": chunk.view(np.int64), "size": both(lead[stop] - lead[bounds], none), "first": first,
+        "line_no": both(of_line(line_no), line_no[bare]), "letters": both(of_line(letters), letters[bare]), "line": both(of_line(hashes), hashes[bare]), "parts": both(of_line(parts), none + 1),
     }
 
 
@@ -104,7 +125,7 @@ def _chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def chunk_rows(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
-    """A row per chunk, and per line without one, as of ``cut``: (id, source, chunk, size, first, line_no, letters, line, parts).
+    """A row per chunk, as of ``cut``: (id, source, chunk, size, first, line_no, letters, line, parts).
 
     ``source`` is a hash of the source's name. Texts without a source or without a body give no row.
     """
@@ -116,7 +137,7 @@ def chunk_rows(docs: DataFrame, key: str, text: str, source: str) -> DataFrame:
 def repeated_chunks(rows: DataFrame, least: int = EXCESSIVE) -> DataFrame:
     """(source, chunk, documents) of chunks that at least ``least`` documents of a source have; repeated rows of an id count once."""
     ids = F.count_distinct("id")
-    counts = rows.filter("chunk <> 0").groupBy("source", "chunk").agg(F.sum(F.col("first").cast("long")).alias("documents")).filter(F.col("documents") >= least)
+    counts = rows.groupBy("source", "chunk").agg(F.sum(F.col("first").cast("long")).alias("documents")).filter(F.col("documents") >= least)
     # rows of one id that repeat are told apart only where enough rows have the chunk
     return rows.filter("first").join(counts.select("source", "chunk"), ["source", "chunk"], "left_semi").groupBy("source", "chunk").agg(ids.alias("documents")).filter(F.col("documents") >= least)
 
@@ -124,25 +145,29 @@ def repeated_chunks(rows: DataFrame, least: int = EXCESSIVE) -> DataFrame:
 def stretches(docs: DataFrame, key: str = "id", text: str = "body_text", source: str = "source_domain", least: int = EXCESSIVE) -> DataFrame:
     """(id, letters, repeated): how many letters a text has, and how many of them stand in chunks that at least ``least`` documents of its
     source have, however their lines are wrapped. Texts without letters or source give no row."""
-    rows = materialize(chunk_rows(docs, key, text, source).filter("chunk <> 0").select("id", "source", "chunk", "size", "first"), "chunks")
+    rows = materialize(chunk_rows(docs, key, text, source).filter("size > 0").select("id", "source", "chunk", "size", "first"), "chunks")
     often = repeated_chunks(rows, least).select("source", "chunk", F.lit(True).alias("_often"))
     each = rows.groupBy("id", "source", "chunk").agg(F.sum("size").alias("size")).join(often, ["source", "chunk"], "left")
     return each.groupBy("id").agg(F.sum("size").alias("letters"), F.sum(F.when(F.col("_often"), F.col("size")).otherwise(F.lit(0))).alias("repeated"))
 
 
+def candidates(rows: DataFrame, least: int = EXCESSIVE) -> DataFrame:
+    """(id, source, line_no, letters, line) of ``rows`` of ``chunk_rows``: lines whose own chunks are all in at least ``least`` texts of their source."""
+    often = rows.groupBy("source", "chunk").agg(F.sum(F.col("first").cast("long")).alias("documents")).filter(F.col("documents") >= least)
+    own = ["id", "source", "line_no", "letters", "line"]
+    kept = rows.filter("parts > 0").select(*own, "chunk", "parts").join(often.select("source", "chunk"), ["source", "chunk"], "left_semi")
+    one = kept.filter("parts = 1").select(*own)
+    more = kept.filter("parts > 1").groupBy(*own, "parts").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("parts"))
+    return one.unionByName(more.select(*own))
+
+
 def repeated_lines(docs: DataFrame, key: str = "id", text: str = "body_text", source: str = "source_domain", least: int = EXCESSIVE) -> DataFrame:
     """(id, line_no): lines that at least ``least`` documents of their source have, letters alone and case ignored.
 
     Lines with fewer than ``LETTERS`` letters never count; repeated rows of one id count once.
     """
     rows = materialize(chunk_rows(docs, key, text, source), "chunks")
-    often = rows.filter("chunk <> 0").groupBy("source", "chunk").agg(F.sum(F.col("first").cast("long")).alias("documents")).filter(F.col("documents") >= least)
-    own = ["id", "source", "line_no", "letters", "line"]
-    kept = rows.filter("parts > 0").select(*own, "chunk", "parts").join(often.select("source", "chunk"), ["source", "chunk"], "left_semi")
-    one = kept.filter("parts = 1").select(*own)
-    more = kept.filter("parts > 1").groupBy(*own, "parts").agg(F.count("*").alias("n")).filter(F.col("n") >= F.col("parts"))
-    short = rows.filter("line_no > 0 AND parts = 0").select(*own)
-    lines = materialize(one.unionByName(more.select(*own)).unionByName(short), "lines")
+    lines = materialize(candidates(rows, least), "lines")
     # the exact check: distinct documents of the whole line
     full = lines.groupBy("source", "line", "letters").agg(F.count_distinct("id").alias("n")).filter(F.col("n") >= least)
     return lines.join(full.select("source", "line", "letters"), ["source", "line", "letters"], "left_semi").select("id", "line_no").distinct()

@@ -1,6 +1,7 @@
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from millrace.llm import kernels as K
 from millrace.llm import repeated
@@ -60,6 +61,38 @@ def test_lines_and_chunks_cover_all(texts):
     assert all(len(h) == 1 for h in by_line.values()) and len({next(iter(h)) for h in by_line.values()}) == len(by_line)
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeéß’ \nXYZ.9", max_size=400), max_size=5), st.text(alphabet="abé", min_size=12, max_size=300))
+def test_every_line_has_chunks_that_its_letters_alone_determine(texts, line):
+    for same in (line, "a" * len(line)):
+        got = repeated.cut([*texts, *(f"{t}\n{same.upper()}!\n{t}" for t in texts), same])
+        own = {}
+        for d, n, h, parts, chunk in zip(got["doc"], got["line_no"], got["line"], got["parts"], got["chunk"]):
+            if n:
+                own.setdefault((int(h), int(parts)), {}).setdefault((int(d), int(n)), []).append(int(chunk))
+        assert len({h for h, _ in own}) == len(own)
+        for (_, parts), lines in own.items():
+            assert {len(c) for c in lines.values()} == {parts} and len({tuple(sorted(c)) for c in lines.values()}) == 1
+        pairs = list(zip(got["doc"][got["first"]].tolist(), got["chunk"][got["first"]].tolist()))
+        assert len(pairs) == len(set(pairs)) and set(pairs) == set(zip(got["doc"].tolist(), got["chunk"].tolist()))
+
+
+def test_lines_come_in_by_their_chunks_alone(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    word = lambda: "".join(rng.choice(list("abcdefghij"), 8))
+    line = lambda n: " ".join(word() for _ in range(n))
+    often, seldom = [line(n) for n in (2, 5, 12, 60)], [line(n) for n in (2, 5, 12, 60)]
+    rows = [(i, "\n".join([*often, *(seldom if i < 4 else []), *(line(n) for n in (2, 5, 12, 60))]), "a") for i in range(6)]
+    df = spark.createDataFrame(rows, "id long, body_text string, source_domain string")
+    want = [(i, k) for i in range(6) for k in range(1, 5)]
+    whole = repeated.chunk_rows(df, "id", "body_text", "source_domain")
+    assert sorted(map(tuple, repeated.repeated_lines(df).collect())) == want
+    # were no two chunks alike, no line would come in, short or long
+    monkeypatch.setattr(repeated, "chunk_rows", lambda *_: whole.withColumn("chunk", F.monotonically_increasing_id()))
+    assert repeated.repeated_lines(df).count() == 0
+    assert sorted(map(tuple, repeated.candidates(whole).select("id", "line_no").distinct().collect())) == want
+
+
 def test_a_notice_wrapped_otherwise_is_found(spark):
     rng = np.random.default_rng(4)
     word = lambda: "".join(rng.choice(list("abcdefghij"), 8))
