@@ -121,7 +121,8 @@ def _simhash(s: np.ndarray, at: np.ndarray, n_docs: int) -> tuple[np.ndarray, np
     """(fingerprint, hash of all shingles in order) of each text, from its shingles."""
     sim, whole = np.zeros(n_docs, np.uint64), np.zeros(n_docs, np.uint64)
     if len(s):
-        own, first = np.unique(at, return_index=True)
+        first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+        own = at[first]
         total = np.diff(np.append(first, len(s)))
         place = np.arange(len(s)) - np.repeat(first, total)
         part = np.flatnonzero(place % 255 == 0)
@@ -134,7 +135,9 @@ def _simhash(s: np.ndarray, at: np.ndarray, n_docs: int) -> tuple[np.ndarray, np
 
 def _bottoms(s: np.ndarray, at: np.ndarray, n_docs: int, share: float) -> tuple[np.ndarray, list[np.ndarray]]:
     # text and the upper 44 bits of a shingle in one number: sorted by text, then hash
-    key = np.unique(at.astype(np.uint64) << np.uint64(44) | s >> np.uint64(20))
+    key = at.astype(np.uint64) << np.uint64(44) | s >> np.uint64(20)
+    key.sort()  # np.unique hashes first, at several times the cost
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])] if len(key) else key
     n = np.bincount((key >> np.uint64(44)).astype(np.int64), minlength=n_docs)
     first = np.cumsum(n) - n
     take = np.where(n > 0, n - np.ceil(share * n - 1e-9).astype(np.int64) + 1, 0)

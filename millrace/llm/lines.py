@@ -5,15 +5,19 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Collection
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pandas as pd
 
 BLANK, SITE, PROSE, GRID, SHORT = range(5)
 #: Least shares of the titles, for a word to stay in a headline's shape and for a shape to be kept.
 WORD_SHARE, SHAPE_SHARE = 0.04, 0.0004
-#: ASCII letters and digits, as bytes.
+#: ASCII letters and digits, as bytes; what ASCII words are split at; all but that as one letter.
 ALNUM = bytes(x for x in range(128) if chr(x).isalnum())
+BLANKS = bytes(x for x in range(128) if chr(x).isspace())
+_SOLID = bytes(x if x in BLANKS else 120 for x in range(256))
+#: Characters of a word that is code rather than language.
+CODE = 40
 #: Tags that a sign of page furniture counts for.
 MARK = 14
 
@@ -53,10 +57,29 @@ _NAV_SPLIT = re.compile(r"\s*(?:\||>|»|›|·|•| / )\s*")
 
 def plain(line: str) -> str:
     """The line without its bullet or number, lower case, straight quotes, single spaces."""
-    s = " ".join(line.split()).lower()
+    return _plain(line.lower().split())[0]
+
+
+def _plain(words: list[str]) -> tuple[str, list[str]]:
+    """As ``plain``, of a line's words in lower case; and the words that are left."""
+    s = text = " ".join(words)
     if not s.isascii():
-        s = s.replace("’", "'").replace("“", '"').replace("”", '"')
-    return s if s[:1].isalpha() else _LEAD.sub("", s)
+        text = text.replace("’", "'").replace("“", '"').replace("”", '"')
+    if not text[:1].isalpha():
+        text = _LEAD.sub("", text)
+    return text, words if text == s else text.split()
+
+
+def row_words(body: str) -> list[list[str]]:
+    """The words of each line, in lower case."""
+    return [r.split() for r in body.lower().split("\n")]
+
+
+def has_run(body: str, n: int) -> bool:
+    """Whether any word has ``n`` characters or more."""
+    if body.isascii():
+        return b"x" * n in body.encode().translate(_SOLID)
+    return max(map(len, body.split()), default=0) >= n
 
 
 @dataclass
@@ -66,14 +89,27 @@ class Headlines:
     kept: frozenset = frozenset()
     shapes: frozenset = frozenset()
     longest: int = 0  # words of the longest title
+    tree: dict = field(init=False, compare=False, repr=False)  # of the shapes' tokens; None where a shape ends
+
+    def __post_init__(self) -> None:
+        self.tree = {}
+        for shape in self.shapes:
+            node = self.tree
+            for token in shape.split(" "):
+                node = node.setdefault(token, {})
+            node[None] = {}
+
+    def _token(self, word: str) -> tuple[str, str]:
+        """What a word stands for in a shape, and the mark that follows it."""
+        core = word.strip("\"'()[]")
+        end = core[-1:] if core[-1:] in ",:;?" else ""
+        core = core.rstrip(".,:;?!'\"")
+        return core if core in self.kept else "0" if core[:1].isdigit() or core[:1] in "$€£" else "w", end
 
     def shape(self, text: str) -> str:
         out: list[str] = []
         for w in text.split():
-            core = w.strip("\"'()[]")
-            end = core[-1:] if core[-1:] in ",:;?" else ""
-            core = core.rstrip(".,:;?!'\"")
-            token = core if core in self.kept else "0" if core[:1].isdigit() or core[:1] in "$€£" else "w"
+            token, end = self._token(w)
             if not (token == "w" and out and out[-1] == "w"):
                 out.append(token)
             if end:
@@ -81,7 +117,20 @@ class Headlines:
         return " ".join(out)
 
     def fits(self, text: str) -> bool:
-        return self.shape(text) in self.shapes
+        """Whether ``shape`` is one of ``shapes``, read no further than any of them agrees."""
+        node, last = self.tree, ""
+        for w in text.split():
+            token, end = self._token(w)
+            if not token == last == "w":
+                node = node.get(token)
+                if node is None:
+                    return False
+            if end:
+                node = node.get(end)
+                if node is None:
+                    return False
+            last = end or token
+        return None in node
 
 
 def title_words(title: str) -> set[str]:
@@ -120,14 +169,14 @@ class Line:
     phrase: bool = False  # has function words
 
 
-def _grid(s: str, text: str, words: int, function: bool) -> bool:
+def _grid(s: str, text: str, words: int, function: bool, code: bool) -> bool:
     """Table rows, labels in a row, encoded or unreadable characters, heaps of words."""
     n = len(s)
     blanks = s.count(" ") + s.count("\t")
     symbols = len(s.encode().translate(None, ALNUM)) - blanks if s.isascii() else n - blanks - sum(map(str.isalpha, s)) - sum(map(str.isdigit, s))
     if symbols > 0.4 * (n - blanks):
         return True
-    if n > 40 and max(map(len, s.split())) >= 40 and "://" not in s:
+    if code and n > CODE and max(map(len, s.split())) >= CODE and "://" not in s:
         return True
     if function:
         return False
@@ -166,7 +215,7 @@ def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines,
         tags += MARK
     if _START.match(bare):
         tags += MARK
-    if (bare.endswith(")") or any(x in bare for x in parts)) and _INSIDE.search(bare):
+    if (bare.endswith(")") or parts and any(x in bare for x in parts)) and _INSIDE.search(bare):
         tags += MARK
     if bare[:1] in "bwrvp" and _BYLINE.match(bare):
         tags += MARK
@@ -179,15 +228,14 @@ def _marks(s: str, text: str, words: list[str], site: str, headlines: Headlines,
     return tags
 
 
-def read_line(line: str, site: str, headlines: Headlines, parts: Collection[str] = _INSIDE_PARTS) -> Line:
+def read_line(line: str, site: str, headlines: Headlines, parts: Collection[str] = _INSIDE_PARTS, words: list[str] | None = None, code: bool = True) -> Line:
     """What a line is by itself: prose, part of a grid, or too short to tell, and how many tags its signs of furniture count for; SITE if they outweigh it.
 
-    ``parts`` are those of ``parts_in`` its body."""
+    ``parts`` are those of ``parts_in`` its body, ``words`` those of ``row_words``; without ``code`` its body has no word of ``CODE`` characters."""
     s = line.strip()
     if not s:
         return Line(BLANK)
-    text = plain(s)
-    words = text.split()
+    text, words = _plain(s.lower().split() if words is None else words)
     n = len(words)
     chars = len(text)
     function = not FUNCTION.isdisjoint(words) or not FUNCTION.isdisjoint(w.strip(".,;:!?\"'()") for w in words)
@@ -195,7 +243,7 @@ def read_line(line: str, site: str, headlines: Headlines, parts: Collection[str]
     tags = _marks(s, text, words, site, headlines, parts)
     if tags * 20 > chars:
         kind = SITE
-    elif _grid(s, text, n, function) or not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«·»°€£©") > 0.08 * len(s):
+    elif _grid(s, text, n, function, code) or not s.isascii() and sum(1 for c in s if c > "\u007f" and not c.isalpha() and c not in "’‘“”„–—…•·«·»°€£©") > 0.08 * len(s):
         kind = GRID  # or wrongly decoded
     elif n >= 6 and function and (stop or n >= 12 or text.endswith(_FORMS)):
         kind = PROSE

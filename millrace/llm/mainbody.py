@@ -107,7 +107,12 @@ def page_lines(body: str) -> tuple[list[str], dict[int, int], set[int]]:
 def smooth(x: list[float]) -> list[float]:
     out = []
     n = len(x)
+    far, near, own = _KERNEL[: RADIUS + 1]
+    whole = far + near + own + near + far
     for i in range(n):
+        if 2 <= i < n - 2:
+            out.append((far * x[i - 2] + near * x[i - 1] + own * x[i] + near * x[i + 1] + far * x[i + 2]) / whole)
+            continue
         top = low = 0.0
         for k in range(max(0, i - RADIUS), min(n, i + RADIUS + 1)):
             w = _KERNEL[k - i + RADIUS]
@@ -146,7 +151,7 @@ def ratios(read: list[L.Line], at: list[int], tags: dict[int, int], heads: set[i
         if x.kind in (L.PROSE, L.GRID) or i in heads:
             chars = max(chars, HEADING)
         elif x.kind == L.SHORT:
-            if x.words <= 3 and not x.ends and not any(c.isdigit() for c in x.text):
+            if x.words <= 3 and not x.ends and not any(map(str.isdigit, x.text)):
                 count += x.words
             elif x.words >= 5 and x.phrase or leads[i] in (L.PROSE, L.GRID):
                 chars = max(chars, HEADING)
@@ -156,11 +161,14 @@ def ratios(read: list[L.Line], at: list[int], tags: dict[int, int], heads: set[i
     return out
 
 
-def main_lines(body: str, site: str, headlines: L.Headlines) -> list[bool | None]:
-    """For each line whether it is main body; None for blank lines. A line of markup alone isn't."""
+def main_lines(body: str, site: str, headlines: L.Headlines, words: list[list[str]] | None = None) -> list[bool | None]:
+    """For each line whether it is main body; None for blank lines. A line of markup alone isn't. ``words`` are ``row_words`` of the body."""
     rows, tags, heads = page_lines(body)
     parts = L.parts_in(body)
-    read = [L.read_line(r, site, headlines, parts) for r in rows]
+    if words is None or "<" in body:
+        words = [r.lower().split() for r in rows]
+    code = "<" in body or L.has_run(body, L.CODE)
+    read = [L.read_line(r, site, headlines, parts, w, code) for r, w in zip(rows, words)]
     at = [i for i, x in enumerate(read) if x.kind != L.BLANK]
     out: list[bool | None] = [None] * len(read)
     if tags or heads:
@@ -179,7 +187,11 @@ def reader(headlines: L.Headlines):
     """The lines of prose bodies that aren't main body, for ``residue.labels``, which reads bodies once."""
 
     def run(bodies: list[str], sites: list[str]) -> dict[str, list]:
-        return {"other": [[k for k, main in enumerate(main_lines(b, s, headlines), 1) if main is False] if is_prose(b) else [] for b, s in zip(bodies, sites)]}
+        other = []
+        for b, s in zip(bodies, sites):
+            words = L.row_words(b)
+            other.append([k for k, main in enumerate(main_lines(b, s, headlines, words), 1) if main is False] if is_prose(b, words) else [])
+        return {"other": other}
 
     return run
 

@@ -73,32 +73,40 @@ def _aligned(rows: list[str]) -> list[bool]:
     return marked
 
 
-def features(body: str) -> list[float]:
-    """The ``FEATURES`` of a body with at least one non-blank character.
+def features(body: str, words: list[list[str]] | None = None, whole: bool = True) -> list[float | None]:
+    """The ``FEATURES`` of a body with at least one non-blank character; ``words`` are its ``row_words``.
+
+    Without ``whole``, those that compare lines or look at their ends, all between 0 and 1, are None.
 
     Shares of words: function words, words that end in a full stop in lines with a function word, separators a word. Shares of characters: symbols,
     digits, lines with two function words out of columns, lines with a sentence end, rows of aligned columns (cubed, as half a page of them is still a story with a table), runs of thirty and more, signs that neither words nor typesetting use.
     """
-    rows = [r for r in body.split("\n") if r.strip()]
-    words = body.split()
-    n = len(words)
-    run = "".join(words)
-    solid = len(run)
+    words = words or L.row_words(body)
+    rows = [r for r, w in zip(body.split("\n"), words) if w]
+    n = sum(map(len, words))
     size = sum(map(len, rows))
-    own = [sum(map(L.FUNCTION.__contains__, r.split())) for r in "\n".join(rows).lower().split("\n")]
-    symbols = len(run.encode().translate(None, L.ALNUM)) if body.isascii() else solid - sum(map(str.isalnum, run))
-    digits = sum(map(body.count, "0123456789"))
+    own = [sum(map(L.FUNCTION.__contains__, w)) for w in words if w]
+    if body.isascii():
+        run = body.encode().translate(None, L.BLANKS)
+        symbols = len(run.translate(None, L.ALNUM))
+        digits = len(run) - len(run.translate(None, b"0123456789"))
+    else:
+        run = "".join(body.split())
+        symbols = len(run) - sum(map(str.isalnum, run))
+        digits = sum(map(body.count, "0123456789"))
+    solid = len(run)
     columns = _aligned(rows) if "|" in body or "\t" in body or "    " in body else [False] * len(rows)
     marked = sum(len(r) for r, x in zip(rows, columns) if x)
-    aligned, period, auto = layout(rows)
+    aligned, period, auto = layout(rows) if whole else (0.0, None, None)
     unusual = 0 if body.isascii() else sum(c > "\x7f" and not c.isalpha() and c not in _TYPESET for c in run)
-    long = sum(len(w) for w in words if len(w) >= 30) if max(map(len, words)) >= 30 else 0
-    last = [r.rstrip()[-1] for r in rows]
-    stops = sum(r.count(". ") + r.count("! ") + r.count("? ") + (e in ".!?" and r[-1] == e) for r, e, k in zip(rows, last, own) if k)
+    long = sum(len(w) for w in body.split() if len(w) >= 30) if L.has_run(body, 30) else 0
+    ended = sum(len(r) for r in rows if r.rstrip()[-1] in _ENDS) / size if whole else None
+    stops = sum(r.count(". ") + r.count("! ") + r.count("? ") + (r[-1] in ".!?") for r, k in zip(rows, own) if k)
     common = sum(own) / n
+    columned = (marked / size) ** 3 if common else max(marked / size, aligned) ** 3 if whole else None
     return [
-        common, symbols / solid, digits / solid, sum(len(r) for r, k, x in zip(rows, own, columns) if k > 1 and not x) / size, sum(len(r) for r, e in zip(rows, last) if e in _ENDS) / size,
-        max(marked / size, aligned if not common else 0.0) ** 3, period, max(auto, 0.0), long / solid, stops / n, sum(map(body.count, ",;|\t")) / n, abs(solid / n - 6) / 6, unusual / solid,
+        common, symbols / solid, digits / solid, sum(len(r) for r, k, x in zip(rows, own, columns) if k > 1 and not x) / size, ended,
+        columned, period, max(auto, 0.0) if whole else None, long / solid, stops / n, sum(map(body.count, ",;|\t")) / n, abs(solid / n - 6) / 6, unusual / solid,
     ]
 
 
@@ -122,11 +130,22 @@ WEIGHTS = [-5.024, 10.173, -4.428, -4.999, 0.017, 3.451, 0.478, -3.158, 4.458, -
 CONSTANT = 4.898
 
 
-def is_prose(body: str) -> bool:
-    """Whether a body is natural prose: every body is judged by its score alone; one of too few characters, or none, is prose."""
-    if len(body) < LEAST or len("".join(body.split())) < LEAST:
+def is_prose(body: str, words: list[list[str]] | None = None) -> bool:
+    """Whether a body is natural prose: every body is judged by its score alone; one of too few characters, or none, is prose.
+
+    What compares lines, and the ends of lines, is left out where no value of it can turn the score. ``words`` are ``row_words`` of the body."""
+    if len(body) < LEAST:
+        return True
+    words = words or L.row_words(body)
+    if sum(map(len, words)) < LEAST and len("".join(body.split())) < LEAST:
         return True
-    return sum(w * v for w, v in zip(WEIGHTS, features(body))) + CONSTANT <= 0
+    least = most = CONSTANT
+    for w, v in zip(WEIGHTS, features(body, words, whole=False)):
+        least += min(w, 0.0) if v is None else w * v
+        most += max(w, 0.0) if v is None else w * v
+    if most < -1e-6 or least > 1e-6:  # beyond what rounding can do
+        return most < 0
+    return sum(w * v for w, v in zip(WEIGHTS, features(body, words))) + CONSTANT <= 0
 
 
 STATISTICS = "n_words int, mean_word_length double, symbol_ratio double, ended_share double, common_share double, aligned double, period double, autocorrelation double, is_prose boolean"

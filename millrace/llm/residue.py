@@ -37,9 +37,11 @@ STORY_WORDS = 12
 #: fixed values: unfilled placeholders of template languages
 _PLACEHOLDER = re.compile(
     r"\{\{[^{}\n]{1,200}\}\}|\{%-?[^%{}\n]{1,200}%\}|<%[=-]?[^%<>\n]{1,200}%>|</?#[a-z]+(?: [^<>\n]{1,200})?>|\[\[[^\[\]\n]{1,200}\]\]|#\{[a-z][^{}\n]{1,200}\}|\$\{[a-z][^{}\n]{1,200}\}|(?<!\w)__[a-z][a-z0-9_.]{1,80}__(?!\w)|@@[a-z][a-z0-9_.]{1,80}@@|"
-    r"(?<![\w{$#])\{[a-z][a-z0-9]*(?:[_.][a-z0-9]+)*\}(?![\w}])|\[(?:insert|add|enter|placeholder|todo|tbd|tk)\b[^\]\n]{0,200}\]|\bdear \[[^\]\n]{1,200}\]|(?<!\w)%%?[a-z]+(?:_[a-z]+)+%%?(?!\w)|<(?:insert|your|enter)\b[^<>\n]{1,200}>",
+    r"(?<![\w{$#])\{[a-z][a-z0-9]*(?:[_.][a-z0-9]+)*\}(?![\w}])|\[(?:insert|add|enter|placeholder|todo|tbd|tk)\b[^\]\n]{0,200}\]|(?<=\bdear )\[[^\]\n]{1,200}\]|(?<!\w)%%?[a-z]+(?:_[a-z]+)+%%?(?!\w)|<(?:insert|your|enter)\b[^<>\n]{1,200}>",
     re.IGNORECASE,
 )
+#: the characters that a placeholder may begin with; the pattern itself is tried only there
+_OPENS = re.compile(r"[{\[<_@%$#]")
 #: fixed values: editors' stand-ins, unset values printed as text, error reports of programs
 _STAND_IN = re.compile(
     r"\btktk\b|(?:^|\n)\W*tk\s*[:\-–]|\btk\s*:\s|\b(?:text|copy|quote|headline|photo|caption|details|story) (?:to come|tk|to follow)\b|\blorem ipsum\b|\bdolor sit amet\b|\bplaceholder (?:text|copy)\b|\b(?:dummy|sample) (?:text|copy)\b|"
@@ -58,6 +60,8 @@ _NOTICE = re.compile(
 #: fixed values: a part of every wording above, to pass over texts and lines that have none
 _STAND_IN_PARTS = ("tk", "to come", "to follow", "lorem", "dolor sit", "placeholder", "dummy", "sample", "undefined", "null", " nan", "nan%", "none%", "none %", "$none", "[object", "traceback", "error", "exception", "stack trace", "php ", "err_")
 _NOTICE_PARTS = ("not found", "sorry", "error", "gateway", "unavailable", "denied", "forbidden", "timed", "oops", "no longer", "maintenance", "expired", "script", "http", " js")
+#: stand-ins with "error", from a letter on that no other letter equals when case is ignored
+_ERROR_PARTS = ("keyerror", "typeerror", "valueerror", "buteerror", "nameerror", "dexerror", "taxerror", "renceerror", "fatal error")
 _parts = L.finder(_STAND_IN_PARTS + _NOTICE_PARTS)
 _LATIN = re.compile(r"^[^\W\d_]+$")
 
@@ -80,11 +84,12 @@ def _filler(line: str) -> bool:
 
 def residue_kind(body: str, site: str = "") -> str:
     """The kind of residue that a body shows by its wording, or nothing: ``placeholder``, ``stand_in``, ``filler``, ``notice``."""
-    if ("{" in body or "[" in body or "__" in body or "@@" in body or "_" in body and "%" in body or "<" in body) and _PLACEHOLDER.search(body):
+    if ("{" in body or "[" in body or "__" in body or "@@" in body or "_" in body and "%" in body or "<" in body) and any(_PLACEHOLDER.match(body, m.start()) for m in _OPENS.finditer(body)):
         return "placeholder"
     low = body.lower()
     have = _parts(low)
-    if not have.isdisjoint(_STAND_IN_PARTS) and _STAND_IN.search(body):
+    worded = have.intersection(_STAND_IN_PARTS)
+    if worded and (worded != {"error"} or any(x in low for x in _ERROR_PARTS)) and _STAND_IN.search(body):
         return "stand_in"
     rows = low.split("\n")
     parts = have.intersection(_NOTICE_PARTS)
